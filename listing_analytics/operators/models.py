@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -12,11 +13,12 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_analytics.functions import vectors
 from listing_analytics.sources.tables import quoted
+from listing_analytics.staging import stage, stage_path
 
 FEATURES, LABEL = "features", "label"
 
@@ -57,11 +59,22 @@ def svm_head(train: DataFrame, epochs: int = 100, seed: int = 1) -> Estimator:
 MODELS = {"dense": dense_head, "softmax": softmax_head, "svm": svm_head}
 
 
+def saved(model: Model) -> Model:
+    """The model as written to the shared folder and read back.
+
+    A fresh two-class model carries its training summary, and with it the whole session, into
+    every task of a prediction; that fails once the session has observed a row count.
+    """
+    path = stage_path(SparkSession.active(), "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def train_model(train: DataFrame, model: str = "dense", **options) -> Model:
     """Fit the model of that name on `features` and `label`."""
     if model not in MODELS:
         raise ValueError(f"model {model!r} could not be found; expected one of {sorted(MODELS)}")
-    return MODELS[model](train, **options).fit(train)
+    return saved(MODELS[model](train, **options).fit(train))
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:
@@ -74,13 +87,11 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
 
 def train_ordinal(train: DataFrame, targets: Sequence[str], epochs: int = 100) -> list[Model]:
     """One binary model per threshold column `t0, t1, ...`."""
-    rows = train.persist()
+    rows = train.select(FEATURES, *[F.col(quoted(t)).cast("double").alias(t) for t in targets]).persist()
     try:
         return [
-            LogisticRegression(featuresCol=FEATURES, labelCol=target, maxIter=epochs, family="binomial").fit(
-                rows.withColumn(target, F.col(quoted(target)).cast("double"))
-            )
-            for target in targets
+            saved(LogisticRegression(featuresCol=FEATURES, labelCol=t, maxIter=epochs, family="binomial").fit(rows))
+            for t in targets
         ]
     finally:
         rows.unpersist()
@@ -133,21 +144,27 @@ def random_search(
 ) -> list[Trial]:
     """Fit randomly drawn settings of `space`; each score is the mean validation accuracy of its runs.
 
-    Trials are returned best first.
+    Every run splits the rows anew. Up to `parallelism` settings are fitted at a time. Trials are
+    returned best first.
     """
     grid = ParamGridBuilder()
     for name, values in space.items():
         grid = grid.addGrid(estimator.getParam(name), list(values))
     settings = grid.build()
     drawn = random.Random(seed).sample(settings, min(max_trials, len(settings)))
-    scores = np.zeros(len(drawn))
     evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
+    rows = stage(train.select(FEATURES, LABEL), "search")
+    scores = np.zeros(len(drawn))
     for run in range(executions):
-        search = TrainValidationSplit(
-            estimator=estimator, estimatorParamMaps=drawn, evaluator=evaluator,
-            trainRatio=1 - validation, seed=seed + run, parallelism=parallelism,
-        )
-        scores += np.array(search.fit(train).validationMetrics) / executions
+        fit_rows, check_rows = (part.persist() for part in rows.randomSplit([1 - validation, validation], seed + run))
+
+        def score(setting: dict) -> float:
+            return evaluator.evaluate(saved(estimator.fit(fit_rows, setting)).transform(check_rows))
+
+        with ThreadPool(parallelism) as pool:
+            scores += np.array(pool.map(score, drawn)) / executions
+        fit_rows.unpersist()
+        check_rows.unpersist()
     trials = [
         Trial(i, {p.name: str(v) for p, v in setting.items()}, float(scores[i])) for i, setting in enumerate(drawn)
     ]

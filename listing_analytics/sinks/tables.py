@@ -27,6 +27,8 @@ def write_csv(df: DataFrame, path: str | None, mode: str = "overwrite") -> int |
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     return rows.get["rows"]

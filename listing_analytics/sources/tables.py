@@ -55,8 +55,9 @@ def read_text_table(
     """A CSV file with a header, all columns as text under their header names.
 
     `multi_line` allows line breaks inside quotes, at the price of one task per file;
-    without it a large file is split over many tasks. `mode="PERMISSIVE"` keeps malformed
-    rows and adds their raw text as `_corrupt_record`.
+    without it a large file is split over many tasks. A row with fewer or more cells than the
+    header is malformed and ends the read; `mode="PERMISSIVE"` keeps such rows and adds their raw
+    text as `_corrupt_record`.
     """
     reader = (
         spark.read.option("header", True)
