@@ -64,10 +64,22 @@ def filter_categories(
     return df.join(matches.distinct(), key, "left_semi")
 
 
+def distinct_ids(ids: DataFrame, column: str) -> DataFrame:
+    """The distinct ids of a table, taken from its column of that name, else its first.
+
+    They are grouped by a second column as well, so that a join shuffles them once more. Adaptive
+    execution splits a hot key only when both inputs of the join come straight from a shuffle;
+    `distinct` alone would leave its aggregation in between.
+    """
+    name = column if column in ids.columns else ids.columns[0]
+    key = ids.select(F.col(quoted(name)).alias(column))
+    spread = F.pmod(F.xxhash64(quoted(column)), F.lit(2)).alias("_spread")
+    return key.groupBy(quoted(column), spread).agg(F.lit(1)).select(quoted(column))
+
+
 def _id_table(df: DataFrame, ids: Iterable | DataFrame, column: str) -> DataFrame:
     if isinstance(ids, DataFrame):
-        table = ids if column in ids.columns else ids.withColumnRenamed(ids.columns[0], column)
-        return table.select(quoted(column)).distinct()
+        return distinct_ids(ids, column)
     values = [(value,) for value in dict.fromkeys(ids)]
     kind = df.schema[column].dataType.simpleString()
     return df.sparkSession.createDataFrame(values, f"{quoted(column)} {kind}")

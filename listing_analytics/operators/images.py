@@ -35,6 +35,9 @@ PIXELS = T.StructType([
 JPEG_MODES = {1: "L", 3: "RGB", 4: "CMYK"}
 PNG_MODES = {0: "L", 2: "RGB", 3: "P", 4: "LA", 6: "RGBA"}
 
+# Bytes of a file that are looked at first.
+HEADER_BYTES = 65536
+
 # Reach of the Lanczos kernel in source pixels.
 LANCZOS_REACH = 3
 
@@ -89,12 +92,18 @@ def image_attributes(df: DataFrame, content: str = "content", unreadable: str =
         return table.astype({"width": "Int32", "height": "Int32"})
 
     kept = [quoted(c) for c in df.columns if c != content]
-    read = df.select(*kept, attributes(F.col(quoted(content))).alias("_attributes")).select(*kept, "_attributes.*")
+    whole = F.col(quoted(content))
+    # nearly every header ends within its first bytes; only the others are handed over whole
+    read = (
+        df.withColumn("_start", attributes(F.substring(whole, 1, HEADER_BYTES)))
+        .withColumn("_rest", attributes(F.when(F.col("_start.format").isNull(), whole)))
+        .select(*kept, *[F.coalesce(f"_start.{n}", f"_rest.{n}").alias(n) for n in ATTRIBUTES.names])
+    )
     if unreadable == "drop":
         return read.where(F.col("format").isNotNull())
     if unreadable == "error":
-        known = F.when(F.col("format").isNull(), F.raise_error(F.lit("not a known picture format")))
-        return read.withColumn("format", known.otherwise(F.col("format")))
+        unknown = F.when(F.col("format").isNull(), F.raise_error(F.lit("not a known picture format")))
+        return read.withColumn("format", unknown.otherwise(F.col("format")))
     return read
 
 

@@ -14,29 +14,35 @@ ROW_BITS = 33
 BUCKET_DIGITS = 5
 
 
-def with_ordinal(df: DataFrame, *keys: str, name: str = "ordinal") -> DataFrame:
+def with_ordinal(df: DataFrame, *keys: str, name: str = "ordinal", total: str | None = None) -> DataFrame:
     """Add the zero-based position of each row in the order of the unique columns `keys`.
 
     Rows are range-partitioned and sorted once and written with their partition and place;
     the positions are then the places plus the sizes of the partitions before. The written
     table fixes the sampled range bounds: a recomputed plan could draw others. Select the
-    columns needed before, because all columns of `df` are written.
+    columns needed before, because all columns of `df` are written. `total` names a column for
+    the number of rows.
     """
     columns = [F.col(quoted(k)) for k in keys]
     ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     placed = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "ordinal")
     part = F.shiftright("_place", ROW_BITS)
-    # one row per partition of the range shuffle
+    # one row per partition of the range shuffle, so the windows and the broadcast stay small
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    starts = sizes.select(
+        "_part",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
+        F.sum("_size").over(Window.partitionBy()).alias("_total"),
+    )
     within = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return (
+    positioned = (
         placed.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + within)
-        .drop("_part", "_place", "_start")
     )
+    kept = [quoted(c) for c in df.columns] + [quoted(name)]
+    return positioned.select(*kept, *([F.col("_total").alias(total)] if total else []))
 
 
 def seeded_hash(keys: tuple[str, ...], seed: int) -> Column:

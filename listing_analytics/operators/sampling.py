@@ -1,12 +1,12 @@
 """Exact, repeatable samples by row or by key.
 
 A row belongs to the sample when its seeded hash is among the n smallest. The sample has exactly
-n rows, does not depend on partitioning, and selecting it moves hashes, never whole rows.
+n rows, does not depend on partitioning, and choosing it moves hashes, never whole rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from listing_analytics.operators.filters import keep_ids, require_columns
 from listing_analytics.operators.ordinals import bucket_starts, hash_bucket, seeded_hash
@@ -14,61 +14,53 @@ from listing_analytics.sources.tables import quoted
 from listing_analytics.staging import stage
 
 
-def _check_size(size: float) -> None:
-    if size < 0:
-        raise ValueError(f"sample size must not be negative: {size}")
-
-
-def _wanted(total: Column, size: float) -> Column:
-    """Rows to draw: `size` itself from 1 upwards, below that a fraction of `total`, half to even."""
-    if size >= 1:
-        return F.least(F.lit(int(size)).cast("bigint"), total)
-    return F.rint(F.lit(float(size)) * total).cast("bigint")
-
-
-def _smallest_hashes(df: DataFrame, keys: tuple[str, ...], size: float, seed: int) -> DataFrame:
-    """One row: the greatest `{hash, keys}` in the sample, null when the sample is empty.
+def _last_row(hashed: DataFrame, size: float, order: list[str]) -> Row | bool:
+    """The last row of the sample in hash order, or whether the sample is the whole table.
 
     A histogram over the leading hash digits finds the bucket in which the sample ends, and only
-    the rows of that bucket are ordered.
+    the rows of that bucket are ordered. Each step returns one row.
     """
-    names = [F.col(quoted(k)) for k in keys]
-    hashed = df.select(seeded_hash(keys, seed).alias("_hash"), *names)
-    starts = bucket_starts(hashed.select("_hash"))
-    total = F.coalesce(F.sum("_size"), F.lit(0))
-    # buckets begin below the wanted count up to the one in which it is reached
-    wanted = starts.agg(_wanted(total, size).alias("n")).scalar()
-    last = starts.withColumn("_wanted", wanted).where(F.col("_start") < F.col("_wanted")).agg(
-        F.max_by(F.struct("_bucket", (F.col("_wanted") - F.col("_start")).alias("take")), "_bucket").alias("last")
-    )
-    in_last = (
-        hashed.withColumn("_last", last.scalar())
-        .where(hash_bucket(F.col("_hash")) == F.col("_last")["_bucket"])
-    )
-    order = Window.partitionBy(F.col("_last")["_bucket"]).orderBy("_hash", *names)
-    return (
-        in_last.withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") == F.col("_last")["take"])
-        .agg(F.max(F.struct("_hash", *names)).alias("threshold"))
+    everything = F.sum("_size").over(Window.partitionBy())
+    if size >= 1:
+        wanted = F.least(F.lit(int(size)).cast("bigint"), F.col("_total"))
+    else:
+        # half to even, as for the number of rows of a fraction elsewhere
+        wanted = F.rint(F.lit(float(size)) * F.col("_total")).cast("bigint")
+    last = (
+        bucket_starts(hashed.select("_hash")).withColumn("_total", everything).withColumn("_wanted", wanted)
+        .where(F.col("_start") < F.col("_wanted"))
+        .agg(F.max_by(F.struct("_bucket", "_start", "_wanted", "_total"), "_bucket").alias("last"))
+        .head()["last"]
     )
+    if last is None:
+        return False
+    if last["_wanted"] == last["_total"]:
+        return True
+    in_bucket = hashed.where(hash_bucket(F.col("_hash")) == last["_bucket"])
+    return in_bucket.orderBy(*order).offset(last["_wanted"] - last["_start"] - 1).limit(1).head()
 
 
 def sample_rows(df: DataFrame, size: float, *keys: str, seed: int = 1) -> DataFrame:
     """Exactly `size` rows (from 1 upwards; at most all), or that fraction of the rows (below 1).
 
-    `keys` are columns that together are unique and not null. `df` is read three times, twice for
-    its keys alone; `stage` it before when it is costly to compute.
+    `keys` are columns that together are unique and not null. They are read twice before the
+    result is returned; the result itself is a filter on `df`. `stage` a costly `df` before.
     """
-    _check_size(size)
+    if size < 0:
+        raise ValueError(f"sample size must not be negative: {size}")
     require_columns(df, *keys)
-    threshold = _smallest_hashes(df, keys, size, seed).scalar()
-    key = F.struct(seeded_hash(keys, seed).alias("_hash"), *[F.col(quoted(k)) for k in keys])
-    return df.where(key <= threshold)
+    names = [quoted(k) for k in keys]
+    last = _last_row(df.select(seeded_hash(keys, seed).alias("_hash"), *names), size, ["_hash", *names])
+    if last is True:
+        return df
+    if last is False:
+        return df.where(F.lit(False))
+    bound = [F.lit(last["_hash"]), *[F.lit(last[k]).cast(df.schema[k].dataType) for k in keys]]
+    return df.where(F.struct(seeded_hash(keys, seed), *names) <= F.struct(*bound))
 
 
 def sample_by_key(df: DataFrame, size: float, column: str, seed: int = 1) -> DataFrame:
     """All rows of a sample of the distinct values of `column`."""
-    _check_size(size)
     require_columns(df, column)
     # written once: the sample reads the distinct values three times
     values = stage(df.where(F.col(quoted(column)).isNotNull()).select(quoted(column)).distinct(), "keys")

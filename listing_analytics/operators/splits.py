@@ -29,19 +29,28 @@ class Split:
             raise ValueError(f"validation_from must be 'tail' or 'head': {self.validation_from!r}")
 
 
-def _total(df: DataFrame):
-    return df.agg(F.count(F.lit(1))).scalar()
+def _counted(df: DataFrame, total: str | None) -> DataFrame:
+    """`df` with its number of rows as `_n`, from the column `total` where it has one."""
+    rows = F.col(total) if total else df.agg(F.count(F.lit(1))).scalar()
+    return df.withColumn("_n", rows.cast("double"))
 
 
-def split_rows(df: DataFrame, split: Split, ordinal: str = "ordinal") -> DataFrame:
-    """Add the column `split`: train, validation or verify, by position."""
-    n = F.col("_n").cast("double")
-    rest = F.floor(n - n * F.lit(split.verification))
-    counted = df.withColumn("_n", _total(df)).withColumn("_rest", rest.cast("double"))
+def _before_tail(fraction: float):
+    """Number of rows before a tail of that fraction of `_n`."""
+    return F.floor(F.col("_n") - F.col("_n") * F.lit(float(fraction)))
+
+
+def split_rows(df: DataFrame, split: Split, ordinal: str = "ordinal", total: str | None = None) -> DataFrame:
+    """Add the column `split`: train, validation or verify, by position.
+
+    `total` names a column with the number of rows; without it the rows are counted.
+    """
+    counted = _counted(df, total).withColumn("_rest", _before_tail(split.verification).cast("double"))
+    share = F.col("_rest") * F.lit(float(split.validation))
     if split.validation_from == "tail":
-        in_validation = F.col(ordinal) >= F.floor(F.col("_rest") - F.col("_rest") * F.lit(split.validation))
+        in_validation = F.col(ordinal) >= F.floor(F.col("_rest") - share)
     else:
-        in_validation = F.col(ordinal) < F.floor(F.col("_rest") * F.lit(split.validation))
+        in_validation = F.col(ordinal) < F.floor(share)
     part = (
         F.when(F.col(ordinal) >= F.col("_rest"), VERIFY)
         .when(in_validation, VALIDATION)
@@ -50,12 +59,10 @@ def split_rows(df: DataFrame, split: Split, ordinal: str = "ordinal") -> DataFra
     return counted.withColumn("split", part).drop("_n", "_rest")
 
 
-def holdout_rows(df: DataFrame, fraction: float, ordinal: str = "ordinal") -> DataFrame:
+def holdout_rows(df: DataFrame, fraction: float, ordinal: str = "ordinal", total: str | None = None) -> DataFrame:
     """The verification tail alone; the whole table when the rest would be empty."""
-    n = F.col("_n").cast("double")
-    cut = F.floor(n - n * F.lit(fraction))
-    counted = df.withColumn("_n", _total(df))
-    return counted.where((cut < 1) | (F.col(ordinal) >= cut)).drop("_n")
+    cut = _before_tail(fraction)
+    return _counted(df, total).where((cut < 1) | (F.col(ordinal) >= cut)).drop("_n")
 
 
 def warn_if_empty(df: DataFrame, fraction: float) -> None:

@@ -27,7 +27,8 @@ def split_dataset(
         dataset = first_rows(dataset, photo_limit, *order)
     if sample is not None:
         dataset = sampling.sample_rows(dataset, sample, *order)
-    return splits.split_rows(with_ordinal(dataset, *order), split)
+    positioned = with_ordinal(dataset, *order, total="_rows")
+    return splits.split_rows(positioned, split, total="_rows").drop("_rows")
 
 
 def split_frequencies(dataset: DataFrame, column: str = "stars") -> dict[str, DataFrame]:

@@ -36,14 +36,19 @@ def labelled_photos(
 
     Businesses are selected under the rule id `biz_photo`, photos under `pin`.
     """
-    rated = projections.add_labels(business_extract(business, spec, ids=ids, rule_id="biz_photo"))
-    chosen = records_for_ids(photos, ids, spec, "photo")
-    # the outer join without the businesses that have no photo
-    joined = joins.attach(
-        chosen.where(F.col("photo_id").isNotNull()),
-        rated.select(spec.key, "stars", "stars_cat", "stars_ord", "stars_num"),
-        spec.key,
+    rated = projections.add_labels(business_extract(business, spec, ids=ids, rule_id="biz_photo")).select(
+        spec.key, "stars", "stars_cat", "stars_ord", "stars_num"
     )
+    # no photo, no row: this is the outer join without the businesses that have no photo
+    photos = photos.where(F.col("photo_id").isNotNull())
+    if isinstance(ids, DataFrame) and spec.limit is None:
+        # ids and ratings are joined first and written, as one table with a row per business. Photos
+        # then meet it in a single join of two plain inputs, in which a hot business can be split;
+        # in a chain of joins on one key it could not
+        ratings = stage(filters.distinct_ids(ids, spec.key).join(rated, spec.key, "left"), "ratings")
+        joined = joins.attach(records_for_ids(photos, None, spec, "photo"), ratings, spec.key, "inner")
+    else:
+        joined = joins.attach(records_for_ids(photos, ids, spec, "photo"), rated, spec.key)
     if sample is not None:
         joined = sampling.sample(stage(joined, "photos"), sample.size, sample.select_on, "photo_id", seed=sample.seed)
     return joined

@@ -59,8 +59,10 @@ def business_extract(
     return projections.fill_missing(projections.drop_expanded_roots(rows))
 
 
-def records_for_ids(records: DataFrame, ids: Iterable | DataFrame, spec: SubsetSpec, entity: str) -> DataFrame:
-    """The reviews, tips, check-ins or photos of these businesses."""
+def records_for_ids(
+    records: DataFrame, ids: Iterable | DataFrame | None, spec: SubsetSpec, entity: str
+) -> DataFrame:
+    """The reviews, tips, check-ins or photos of these businesses; of all without `ids`."""
     rows = filters.apply_filter(records, spec.rows(entity), ids)
     return projections.drop_matching(rows, spec.drop, keep=(spec.key,)) if spec.drop else rows
 

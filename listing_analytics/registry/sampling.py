@@ -50,7 +50,9 @@ def row_ordinals(spark, sf):
 
 
 def placed(spark, sf):
-    return ordinals.with_ordinal(orders(spark, sf).select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    return ordinals.with_ordinal(
+        orders(spark, sf).select("o_orderkey", "o_orderstatus"), "o_orderkey", total="rows_in_all"
+    )
 
 
 PLACED = """
@@ -63,7 +65,7 @@ REST = f"SELECT *, floor(n - n * 0.05::DOUBLE) AS rest FROM ({PLACED}) AS p"
 
 @query("split_holdout", f"SELECT o_orderkey, ordinal FROM ({REST}) AS r WHERE ordinal >= rest")
 def split_holdout(spark, sf):
-    return splits.holdout_rows(placed(spark, sf), 0.05).select("o_orderkey", "ordinal")
+    return splits.holdout_rows(placed(spark, sf), 0.05, total="rows_in_all").select("o_orderkey", "ordinal")
 
 
 THREE_WAY = f"""
@@ -74,7 +76,7 @@ THREE_WAY = f"""
 
 @query("split_three_way", f"SELECT o_orderkey, split FROM ({THREE_WAY}) AS t")
 def split_three_way(spark, sf):
-    return splits.split_rows(placed(spark, sf), splits.Split(0.05, 0.2)).select("o_orderkey", "split")
+    return splits.split_rows(placed(spark, sf), splits.Split(0.05, 0.2), total="rows_in_all").select("o_orderkey", "split")
 
 
 @query("split_head_validation", f"""
@@ -83,7 +85,7 @@ def split_three_way(spark, sf):
     FROM ({REST}) AS r""")
 def split_head_validation(spark, sf):
     split = splits.Split(0.05, 0.2, validation_from="head")
-    return splits.split_rows(placed(spark, sf), split).select("o_orderkey", "split")
+    return splits.split_rows(placed(spark, sf), split, total="rows_in_all").select("o_orderkey", "split")
 
 
 @query("batch_plan", f"SELECT o_orderkey, ordinal // 32 AS batch FROM ({PLACED}) AS p")
@@ -95,7 +97,7 @@ def batch_plan(spark, sf):
     SELECT split, count(*) AS rows, CAST(ceil(count(*) / 32.0) AS BIGINT) AS steps
     FROM ({THREE_WAY}) AS t GROUP BY split""")
 def batch_steps(spark, sf):
-    return splits.batch_steps(splits.split_rows(placed(spark, sf), splits.Split(0.05, 0.2)), 32)
+    return splits.batch_steps(splits.split_rows(placed(spark, sf), splits.Split(0.05, 0.2), total="rows_in_all"), 32)
 
 
 @query("frequency_by_split", f"""
@@ -103,7 +105,7 @@ def batch_steps(spark, sf):
            count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY split)::DOUBLE AS percent
     FROM ({THREE_WAY}) AS t GROUP BY split, o_orderstatus""")
 def frequency_by_split(spark, sf):
-    split = splits.split_rows(placed(spark, sf), splits.Split(0.05, 0.2))
+    split = splits.split_rows(placed(spark, sf), splits.Split(0.05, 0.2), total="rows_in_all")
     return profile.frequency_table(split, "o_orderstatus", by="split")
 
 

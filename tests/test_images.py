@@ -65,6 +65,15 @@ def test_jpeg_headers():
     assert images.picture_header(b"") is None and images.picture_header(None) is None
 
 
+def test_header_beyond_the_first_bytes(spark):
+    segment = b"\xff\xe1" + struct.pack(">H", 65535) + b"\0" * 65533
+    far = b"\xff\xd8" + segment * 2 + b"\xff\xc0\x00\x11\x08" + struct.pack(">HHB", 21, 34, 3) + b"\0" * 20
+    near = b"\xff\xd8\xff\xc0\x00\x11\x08" + struct.pack(">HHB", 5, 6, 3) + b"\0" * 200000
+    df = spark.createDataFrame([("far", far), ("near", near)], "name string, content binary")
+    got = {r["name"]: (r.width, r.height) for r in images.image_attributes(df).collect()}
+    assert got == {"far": (34, 21), "near": (6, 5)}
+
+
 @pytest.mark.parametrize("size,expected", [((150, 100), (150, 100, 0, 0)), (299, (299, 199, 0, 50))])
 def test_letterbox_by_hand(spark, size, expected):
     df = spark.createDataFrame([(600, 400)], "width int, height int")
