@@ -13,17 +13,21 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_BLANK = r"[\s\x1c-\x1f]"
+# The white-space characters of Unicode, and the four information separators.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of any kind at both ends (`trim` removes blanks only)."""
-    return F.regexp_replace(text, rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    """Remove white space of any kind at both ends (`trim` alone removes blanks only)."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def rstrip(text: Column) -> Column:
     """Remove white space of any kind at the end."""
-    return F.regexp_replace(text, rf"(?U){_BLANK}+$", "")
+    return F.rtrim(text, F.lit(WHITE_SPACE))
 
 
 def split_values(text: Column, separator: str = ",") -> Column:

@@ -81,16 +81,26 @@ def classification_report(df: DataFrame, actual: str = "actual", predicted: str
 
 
 def report_averages(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """`average, precision, recall, f1, support`: unweighted (macro) and support-weighted means."""
+    """`average, precision, recall, f1, support`: unweighted (macro) and support-weighted means.
+
+    The row `accuracy` holds the share of right predictions as its `f1` and nothing else; it is the
+    recall of all labels weighted by support.
+    """
     scores = ("precision", "recall", "f1")
-    macro = [F.avg(c).alias(c) for c in scores]
-    weighted = [_ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in scores]
     total = F.sum("support").alias("support")
-    one = classification_report(df, actual, predicted).agg(
-        F.struct(F.lit("macro avg").alias("average"), *macro, total).alias("m"),
-        F.struct(F.lit("weighted avg").alias("average"), *weighted, total).alias("w"),
+
+    def weighted(score: str):
+        return _ratio(F.sum(F.col(score) * F.col("support")), F.sum("support"))
+
+    none = F.lit(None).cast("double")
+    rows = F.array(
+        F.struct(F.lit("accuracy").alias("average"), none.alias("precision"), none.alias("recall"),
+                 weighted("recall").alias("f1"), total),
+        F.struct(F.lit("macro avg").alias("average"), *[F.avg(c).alias(c) for c in scores], total),
+        F.struct(F.lit("weighted avg").alias("average"), *[weighted(c).alias(c) for c in scores], total),
     )
-    return one.select(F.explode(F.array("m", "w")).alias("r")).select("r.*")
+    one = classification_report(df, actual, predicted).agg(rows.alias("rows"))
+    return one.select(F.explode("rows").alias("r")).select("r.*")
 
 
 def prediction_range(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:

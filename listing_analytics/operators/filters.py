@@ -24,6 +24,13 @@ TABLE_ALIASES = {"tips": "tip"}
 Predicate = Callable[[Column], Column]
 
 
+def join_on(df: DataFrame, other: DataFrame, keys: str | list[str], how: str) -> DataFrame:
+    """Equi-join with the columns of `df` first, in their order; a plain join moves the keys to the front."""
+    joined = df.join(other, keys, how)
+    rest = [c for c in joined.columns if c not in df.columns]
+    return joined.select(*[quoted(c) for c in df.columns + rest])
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
     """Refuse a plan that names columns the table does not have."""
     absent = [name for name in names if name not in df.columns]
@@ -61,7 +68,7 @@ def filter_categories(
         .join(wanted, "_value", "left_semi")
         .select(quoted(key))
     )
-    return df.join(matches.distinct(), key, "left_semi")
+    return join_on(df, matches.distinct(), key, "left_semi")
 
 
 def distinct_ids(ids: DataFrame, column: str) -> DataFrame:
@@ -77,34 +84,41 @@ def distinct_ids(ids: DataFrame, column: str) -> DataFrame:
     return key.groupBy(quoted(column), spread).agg(F.lit(1)).select(quoted(column))
 
 
-def _id_table(df: DataFrame, ids: Iterable | DataFrame, column: str) -> DataFrame:
+def _id_table(df: DataFrame, ids: Iterable | DataFrame, column: str, unique: bool) -> DataFrame:
     if isinstance(ids, DataFrame):
-        return distinct_ids(ids, column)
+        if not unique:
+            return distinct_ids(ids, column)
+        return ids.select(F.col(quoted(column if column in ids.columns else ids.columns[0])).alias(column))
     values = [(value,) for value in dict.fromkeys(ids)]
     kind = df.schema[column].dataType.simpleString()
     return df.sparkSession.createDataFrame(values, f"{quoted(column)} {kind}")
 
 
-def keep_ids(df: DataFrame, ids: Iterable | DataFrame, column: str = "business_id") -> DataFrame:
+def keep_ids(
+    df: DataFrame, ids: Iterable | DataFrame, column: str = "business_id", unique: bool = False
+) -> DataFrame:
     """Rows whose id is in `ids`: a list, or a table with a column of that name (else its first).
 
-    The ids are made distinct before they move; a hot id on the kept side stays on that side,
-    where adaptive execution splits its partition.
+    A table's ids are made distinct before they move, which `unique` saves where they hardly
+    repeat. Rows of a hot id are split by adaptive execution.
     """
     require_columns(df, column)
     if not isinstance(ids, DataFrame):
         ids = list(ids)
         if len(ids) <= LITERAL_IDS:
             return df.where(F.col(quoted(column)).isin(ids))
-    return df.join(_id_table(df, ids, column), column, "left_semi")
+    return join_on(df, _id_table(df, ids, column, unique), column, "left_semi")
 
 
-def drop_ids(df: DataFrame, ids: Iterable | DataFrame, column: str = "business_id") -> DataFrame:
+def drop_ids(
+    df: DataFrame, ids: Iterable | DataFrame, column: str = "business_id", unique: bool = False
+) -> DataFrame:
     """Rows whose id is not in `ids`; rows without an id are kept."""
     if ids is None:
         raise ValueError("excluding by id needs an id list")
     require_columns(df, column)
-    return df.join(_id_table(df, ids if isinstance(ids, DataFrame) else list(ids), column), column, "left_anti")
+    ids = ids if isinstance(ids, DataFrame) else list(ids)
+    return join_on(df, _id_table(df, ids, column, unique), column, "left_anti")
 
 
 def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
@@ -146,6 +160,7 @@ class RowFilter:
     rule: RegexRule | None = None
     id_column: str = "business_id"
     exclude_ids: bool = False
+    unique_ids: bool = False
     limit: int | None = None
     order: tuple[str, ...] = ()
 
@@ -165,7 +180,7 @@ def apply_filter(df: DataFrame, spec: RowFilter, ids: Iterable | DataFrame | Non
     if spec.rule is not None:
         df = filter_regex(df, spec.rule.column, spec.rule.pattern)
     if ids is not None:
-        df = (drop_ids if spec.exclude_ids else keep_ids)(df, ids, spec.id_column)
+        df = (drop_ids if spec.exclude_ids else keep_ids)(df, ids, spec.id_column, spec.unique_ids)
     return df if spec.limit is None else first_rows(df, spec.limit, *spec.order)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from listing_analytics.operators.filters import require_columns
+from listing_analytics.operators.filters import join_on, require_columns
 from listing_analytics.sources.tables import quoted
 
 MANY_TO_ONE = ("inner", "left", "left_semi", "left_anti")
@@ -23,11 +23,11 @@ def attach(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left", sal
     require_columns(facts, key)
     require_columns(lookup, key)
     if salts <= 1:
-        return facts.join(lookup, key, how)
+        return join_on(facts, lookup, key, how)
     salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in facts.columns]), F.lit(salts))
     every_salt = F.array(*[F.lit(i).cast("bigint") for i in range(salts)])
     copies = lookup.withColumn("_salt", F.explode(every_salt))
-    return facts.withColumn("_salt", salt).join(copies, [key, "_salt"], how).drop("_salt")
+    return join_on(facts.withColumn("_salt", salt), copies, [key, "_salt"], how).drop("_salt")
 
 
 def attach_outer(facts: DataFrame, lookup: DataFrame, key: str, match_nulls: bool = False) -> DataFrame:

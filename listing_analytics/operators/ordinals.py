@@ -10,8 +10,8 @@ from listing_analytics.staging import stage
 # `monotonically_increasing_id` holds the partition above this bit and the row within it below.
 ROW_BITS = 33
 
-# Leading hex digits of a hash that name its bucket: 16 ** 5 buckets at most.
-BUCKET_DIGITS = 5
+# Leading hex digits of a hash that name its bucket: 65,536 buckets at most.
+BUCKET_DIGITS = 4
 
 
 def with_ordinal(df: DataFrame, *keys: str, name: str = "ordinal", total: str | None = None) -> DataFrame:
@@ -57,7 +57,7 @@ def hash_bucket(digest: Column) -> Column:
 def bucket_starts(digests: DataFrame) -> DataFrame:
     """`_bucket, _size, _start`: rows per bucket of `_hash` and in the buckets before it.
 
-    The window runs in one task over at most 16 ** BUCKET_DIGITS rows, whatever the input size.
+    The window runs in one task over one row per bucket, whatever the input size.
     """
     sizes = digests.groupBy(hash_bucket(F.col("_hash")).alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

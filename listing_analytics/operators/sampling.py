@@ -36,8 +36,9 @@ def _last_row(hashed: DataFrame, size: float, order: list[str]) -> Row | bool:
         return False
     if last["_wanted"] == last["_total"]:
         return True
-    in_bucket = hashed.where(hash_bucket(F.col("_hash")) == last["_bucket"])
-    return in_bucket.orderBy(*order).offset(last["_wanted"] - last["_start"] - 1).limit(1).head()
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    in_bucket = hashed.withColumn("_bucket", hash_bucket(F.col("_hash"))).where(F.col("_bucket") == last["_bucket"])
+    return in_bucket.withColumn("_rank", rank).where(F.col("_rank") == last["_wanted"] - last["_start"]).head()
 
 
 def sample_rows(df: DataFrame, size: float, *keys: str, seed: int = 1) -> DataFrame:

@@ -34,8 +34,9 @@ class SubsetSpec:
     order: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     key: str = "business_id"
 
-    def rows(self, entity: str, rule_id: str | None = None) -> filters.RowFilter:
+    def rows(self, entity: str, rule_id: str | None = None, unique_ids: bool = False) -> filters.RowFilter:
         return filters.RowFilter(
+            unique_ids=unique_ids,
             rule=filters.rule_for(self.rules, rule_id or RULE_IDS[entity]),
             id_column=self.key,
             limit=self.limit,
@@ -60,10 +61,10 @@ def business_extract(
 
 
 def records_for_ids(
-    records: DataFrame, ids: Iterable | DataFrame | None, spec: SubsetSpec, entity: str
+    records: DataFrame, ids: Iterable | DataFrame | None, spec: SubsetSpec, entity: str, unique_ids: bool = False
 ) -> DataFrame:
     """The reviews, tips, check-ins or photos of these businesses; of all without `ids`."""
-    rows = filters.apply_filter(records, spec.rows(entity), ids)
+    rows = filters.apply_filter(records, spec.rows(entity, unique_ids=unique_ids), ids)
     return projections.drop_matching(rows, spec.drop, keep=(spec.key,)) if spec.drop else rows
 
 
@@ -110,8 +111,10 @@ def run_subset(
     else:
         spark: SparkSession = (business if business is not None else next(iter(records.values()))).sparkSession
         id_table = spark.createDataFrame([(i,) for i in ids], f"`{spec.key}` string")
+    # the ids of found businesses are one per business
+    unique = ids is None
     return Subset(
-        found, id_table, {e: records_for_ids(df, id_table, spec, e) for e, df in records.items()}
+        found, id_table, {e: records_for_ids(df, id_table, spec, e, unique) for e, df in records.items()}
     )
 
 

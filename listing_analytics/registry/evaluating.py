@@ -71,7 +71,9 @@ def classification_report(spark, sf):
     UNION ALL
     SELECT 'weighted avg', round(sum("precision" * support) / sum(support), 9),
            round(sum(recall * support) / sum(support), 9), round(sum(f1 * support) / sum(support), 9),
-           CAST(sum(support) AS BIGINT) FROM r""")
+           CAST(sum(support) AS BIGINT) FROM r
+    UNION ALL
+    SELECT 'accuracy', NULL, NULL, round(avg(CAST(actual = predicted AS DOUBLE)), 9), count(*) FROM ({PAIRS}) AS p""")
 def classification_averages(spark, sf):
     averages = evaluation.report_averages(base.pairs(spark, sf))
     return averages.select(

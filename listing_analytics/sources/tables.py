@@ -18,6 +18,20 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def with_file_order(df: DataFrame, name: str = "file_order") -> DataFrame:
+    """Add a unique column that orders the rows as they stand in their files, files by path.
+
+    `df` must come straight from a file scan. The order is a key for `first_rows` and
+    `with_ordinal`, not a position.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return df.withColumn(name, place)
+
+
 def apply_types(
     df: DataFrame,
     types: Mapping[str, str],
@@ -27,13 +41,16 @@ def apply_types(
 ) -> DataFrame:
     """Type a table of text columns: casts, nullable booleans, and null for missing cells.
 
-    Columns named by `types` or `flags` but absent from `df` are ignored.
+    Columns named by `types` or `flags` but absent from `df` are ignored, and columns that are not
+    text are kept as they are.
     """
     flag_names, tokens = set(flags), list(missing)
     columns = []
-    for name in df.columns:
+    for name, kind in df.dtypes:
         cell = F.col(quoted(name))
-        if name in flag_names:
+        if kind != "string":
+            typed = cell
+        elif name in flag_names:
             typed = text.nullable_bool(cell, strict_flags)
         elif tokens:
             typed = text.missing_to_null(cell, tokens)
@@ -51,13 +68,14 @@ def read_text_table(
     multi_line: bool = True,
     max_field_chars: int = -1,
     mode: str = "FAILFAST",
+    file_order: str | None = None,
 ) -> DataFrame:
     """A CSV file with a header, all columns as text under their header names.
 
     `multi_line` allows line breaks inside quotes, at the price of one task per file;
     without it a large file is split over many tasks. A row with fewer or more cells than the
     header is malformed and ends the read; `mode="PERMISSIVE"` keeps such rows and adds their raw
-    text as `_corrupt_record`.
+    text as `_corrupt_record`. `file_order` names a column for `with_file_order`.
     """
     reader = (
         spark.read.option("header", True)
@@ -68,14 +86,11 @@ def read_text_table(
         .option("maxCharsPerColumn", max_field_chars)
         .option("mode", mode)
     )
-    if mode != "PERMISSIVE":
-        return reader.csv(path)
-    header = reader.csv(path).schema
-    return (
-        reader.option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(header.add(CORRUPT, "string"))
-        .csv(path)
-    )
+    table = reader.csv(path)
+    if mode == "PERMISSIVE":
+        with_raw = table.schema.add(CORRUPT, "string")
+        table = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(with_raw).csv(path)
+    return with_file_order(table, file_order) if file_order else table
 
 
 def read_entity(

@@ -51,6 +51,7 @@ def test_report_by_hand(pairs):
     assert averages["macro avg"].recall == pytest.approx((5 / 7 + 4 / 5 + 0 + 0) / 4)
     assert averages["weighted avg"].recall == pytest.approx(9 / 15)
     assert averages["weighted avg"].support == 15
+    assert averages["accuracy"].f1 == pytest.approx(9 / 15) and averages["accuracy"].precision is None
 
 
 def test_empty_evaluation(pairs):

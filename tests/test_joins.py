@@ -30,6 +30,11 @@ def test_salted_join_equals_plain_join(photos, business, how):
     assert rows(plain) == rows(photos.join(business, "business_id", how)) == rows(salted)
 
 
+def test_column_order_is_kept(photos, business):
+    assert joins.attach(photos, business, "business_id").columns == ["photo_id", "business_id", "stars"]
+    assert joins.attach_outer(photos, business, "business_id").columns == ["photo_id", "business_id", "stars"]
+
+
 def test_outer_equals_full_outer(photos, business):
     expected = photos.join(business, "business_id", "outer")
     assert rows(joins.attach_outer(photos, business, "business_id")) == rows(expected)
