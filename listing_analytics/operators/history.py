@@ -10,9 +10,9 @@ from listing_analytics.sources.tables import quoted
 
 
 def last_epoch(history: DataFrame, run: Sequence[str], epoch: str, metrics: Sequence[str]) -> DataFrame:
-    """Per run, the metrics of its highest epoch."""
-    values = F.struct(F.col(quoted(epoch)), *[F.col(quoted(m)) for m in metrics])
-    return history.groupBy(*run).agg(F.max_by(values, quoted(epoch)).alias("_last")).select(*run, "_last.*")
+    """Per run, the metrics of its highest epoch; epochs are unique within a run."""
+    last = [F.max_by(quoted(m), quoted(epoch)).alias(m) for m in metrics]
+    return history.groupBy(*run).agg(F.max(quoted(epoch)).alias(epoch), *last)
 
 
 def best_epoch(

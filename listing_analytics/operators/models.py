@@ -70,11 +70,21 @@ def saved(model: Model) -> Model:
     return type(model).load(path)
 
 
-def train_model(train: DataFrame, model: str = "dense", **options) -> Model:
-    """Fit the model of that name on `features` and `label`."""
+def estimator_for(train: DataFrame, model: str, **options) -> Estimator:
+    """The estimator of the model function of that name."""
     if model not in MODELS:
         raise ValueError(f"model {model!r} could not be found; expected one of {sorted(MODELS)}")
-    return saved(MODELS[model](train, **options).fit(train))
+    return MODELS[model](train, **options)
+
+
+def losses(model: Model) -> list[float]:
+    """The training objective after every iteration, where the fresh model has recorded it."""
+    return list(model.summary.objectiveHistory) if getattr(model, "hasSummary", False) else []
+
+
+def train_model(train: DataFrame, model: str = "dense", **options) -> Model:
+    """Fit the model of that name on `features` and `label`."""
+    return saved(estimator_for(train, model, **options).fit(train))
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from listing_analytics.operators import evaluation, models, projections
+from listing_analytics.operators.splits import Split
+from listing_analytics.plans.training import TrainSpec, train_categorical
 from listing_analytics.registry import base
 from listing_analytics.registry.base import query
 
@@ -57,3 +59,14 @@ def random_search(spark, sf):
         [(t.trial, t.params["regParam"], t.params["maxIter"], t.score) for t in trials],
         "trial int, regParam string, maxIter string, score double",
     )
+
+
+@query("train_evaluate")
+def train_evaluate(spark, sf):
+    rated = projections.add_labels(base.vectors(spark, sf).select(
+        base.text("label").alias("business_id"), base.text("vec_id").alias("photo_id"),
+        (F.lit(1.0) + F.col("label") % 9 / F.lit(2.0)).alias("stars"), F.col("embedding").alias("features"),
+    ))
+    # in the order of the photo ids every part holds every category
+    spec = TrainSpec("softmax", {"epochs": 10}, split=Split(0.1, 0.2), order=("photo_id",))
+    return train_categorical(rated, spec, "run").evaluation.confusion

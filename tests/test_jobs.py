@@ -156,18 +156,6 @@ def test_outer_join_and_filter_is_a_left_join(business, photos):
     assert "FullOuter" not in optimized(joins.attach_outer(photos, business, "business_id"))
 
 
-PYTHON_QUERIES = {
-    "image_attributes", "image_channel_mean", "letterbox_images", "letterbox_resized", "zca_whitening", "rff_svm",
-}
-
-
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - PYTHON_QUERIES))
-def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
-    text = physical(entry.queries()[name](spark, SF))
-    for word in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert word not in text
-
-
 @pytest.mark.parametrize("name", ["id_semi_filter", "reviews_for_ids", "column_range", "frequency_table", "value_counts"])
 def test_scans_read_only_needed_columns(spark, name):
     for line in physical(entry.queries()[name](spark, SF)).splitlines():

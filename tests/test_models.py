@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from listing_analytics.operators import evaluation, models, projections, vectors
+from listing_analytics.operators.splits import Split
+from listing_analytics.plans import training
+from listing_analytics.sinks import runs
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +79,44 @@ def test_ordinal_training(points):
     assert evaluation.accuracy(decoded, "stars_num", "predicted").head()[0] > 0.9
 
 
+@pytest.fixture(scope="module")
+def rated(points):
+    shuffled = F.md5(F.col("id").cast("string"))
+    return projections.add_labels(points.select(
+        shuffled.alias("business_id"), F.col("id").cast("string").alias("photo_id"), "stars", F.col("v").alias("features"),
+    ))
+
+
+def test_training_job(spark, rated, tmp_path):
+    spec = training.TrainSpec("softmax", {"epochs": 30}, split=Split(0.2, 0.25), params={"seed": 1})
+    trained = training.train_categorical(rated, spec, "r1", out="somewhere")
+    assert {r.split: r["count"] for r in trained.rows.groupBy("split").count().collect()} == {
+        "train": 90, "validation": 30, "verify": 30
+    }
+    assert trained.predictions.count() == 30
+    assert trained.evaluation.accuracy.head()[0] > 0.9
+    assert trained.evaluation.confusion.agg(F.sum("value")).head()[0] == 30
+    for _ in range(2):
+        training.write_run(trained, str(tmp_path / "run"), str(tmp_path / "log"))
+    log = runs.run_log_text(spark.read.parquet(str(tmp_path / "log"))).collect()
+    assert len(log) == 2 and log[0].params == "epochs=30;seed=1" and log[0].val_accuracy > 0.9
+    assert log[0].epochs == spark.read.parquet(str(tmp_path / "run/epochs")).count() > 1
+    assert log[0].loss is not None and log[0].val_loss > 0
+    predictions, report = training.predict_saved(spark, str(tmp_path / "run"), rated)
+    assert predictions.count() == 150 and report.accuracy.head()[0] > 0.9
+
+
+def test_training_needs_the_same_classes(rated):
+    spec = training.TrainSpec("softmax", split=Split(0.1, 0.2), order=("stars", "photo_id"))
+    with pytest.raises(ValueError, match="one split only"):
+        training.train_categorical(rated, spec, "r1")
+
+
+def test_ordinal_training_job(rated):
+    fitted, predictions, report = training.train_ordinal(rated, training.TrainSpec(split=Split(0.2, 0.25)))
+    assert len(fitted) == 2 and predictions.count() == 30 and report.accuracy.head()[0] > 0.9
+
+
 def test_fourier_features(points):
     out = models.fourier_features(points, "v", dims=2000, scale=2.0, seed=3)
     x = matrix(points)
