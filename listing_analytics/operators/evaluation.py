@@ -10,11 +10,19 @@ from listing_analytics.sources.tables import quoted
 NORMALIZE = (None, "true", "pred", "all")
 
 
+def _labelled(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """The rows that have both labels; no metric counts the others."""
+    return df.where(F.col(quoted(actual)).isNotNull() & F.col(quoted(predicted)).isNotNull())
+
+
 def pair_counts(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """`actual, predicted, n`: at most one row per pair of labels, whatever the size of `df`."""
-    return df.groupBy(F.col(quoted(actual)).alias("actual"), F.col(quoted(predicted)).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """`actual, predicted, n`: at most one row per pair of labels, whatever the size of `df`.
+
+    Every pair counts at least 1. The filter on it keeps the count in each use of the result, also
+    where only the labels are read, so that the uses share one shuffle and one scan of `df`.
+    """
+    pairs = _labelled(df, actual, predicted).groupBy(F.col(quoted(actual)).alias("actual"), F.col(quoted(predicted)).alias("predicted"))
+    return pairs.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0)
 
 
 def _ratio(part, whole):
@@ -53,7 +61,7 @@ def confusion_matrix(
 def accuracy(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """One row: share of rows whose prediction is right."""
     right = F.count_if(F.col(quoted(actual)) == F.col(quoted(predicted)))
-    return df.agg(_ratio(right, F.count(F.lit(1))).alias("accuracy"))
+    return _labelled(df, actual, predicted).agg(_ratio(right, F.count(F.lit(1))).alias("accuracy"))
 
 
 def classification_report(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:

@@ -54,6 +54,23 @@ def test_report_by_hand(pairs):
     assert averages["accuracy"].f1 == pytest.approx(9 / 15) and averages["accuracy"].precision is None
 
 
+def test_rows_without_a_label_do_not_count(spark, pairs):
+    more = pairs.unionByName(spark.createDataFrame([(None, 2), (2, None), (None, None)], "actual int, predicted int"))
+    for metric in (evaluation.confusion_matrix, evaluation.classification_report, evaluation.accuracy):
+        assert sorted(metric(more).collect()) == sorted(metric(pairs).collect())
+
+
+def test_matrix_scans_its_table_once(spark, tmp_path):
+    spark.createDataFrame(PAIRS, "actual int, predicted int").write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    for mode in evaluation.NORMALIZE:
+        matrix = evaluation.confusion_matrix(df, normalize=mode)
+        matrix.collect()
+        final = matrix._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        # the plan shows the scan once at most: the other uses read the same shuffle
+        assert final.count("FileScan") <= 1 and "ReusedExchange" in final
+
+
 def test_empty_evaluation(pairs):
     none = pairs.where("actual > 99")
     assert evaluation.accuracy(none).head()[0] == 0.0
