@@ -101,10 +101,13 @@ def image_attributes(df: DataFrame, content: str = "content", unreadable: str =
     )
     if unreadable == "drop":
         return read.where(F.col("format").isNotNull())
-    if unreadable == "error":
-        unknown = F.when(F.col("format").isNull(), F.raise_error(F.lit("not a known picture format")))
-        return read.withColumn("format", unknown.otherwise(F.col("format")))
-    return read
+    return require_readable(read) if unreadable == "error" else read
+
+
+def require_readable(df: DataFrame) -> DataFrame:
+    """Raise an error when a row without a picture format is read."""
+    unknown = F.when(F.col("format").isNull(), F.raise_error(F.lit("not a known picture format")))
+    return df.withColumn("format", unknown.otherwise(F.col("format")))
 
 
 def letterbox_plan(df: DataFrame, size: int | tuple[int, int], width: str = "width", height: str = "height") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,7 +54,7 @@ def extract_subset(
     businesses from an id list. A limit in `spec` counts rows in the order of the files.
     """
     if spec.limit is not None:
-        spec = subsets.SubsetSpec(**{**vars(spec), "order": {**{e: (FILE_ORDER,) for e in paths}, **spec.order}})
+        spec = replace(spec, order={**{e: (FILE_ORDER,) for e in paths}, **spec.order})
     loaded = read_tables(spark, paths, nrows, ordered=spec.limit is not None, **options)
     subset = subsets.run_subset(
         spec,
@@ -88,8 +89,8 @@ def build_photo_dataset(
     """Write the labelled photo dataset as CSV, and its business ids; the number of photos."""
     loaded = read_tables(spark, {"business": business_csv, "photo": photo_csv}, **options)
     dataset = datasets.photo_dataset(
-        loaded["business"], loaded["photo"], photos.read_photos(spark, photo_folder).drop("path"), list(extensions),
-        spec, ids=lists.read_lines(spark, id_list, spec.key) if id_list else None, sample=sample,
+        loaded["business"], loaded["photo"], photos.read_photos(spark, photo_folder, extensions).drop("path"),
+        list(extensions), spec, ids=lists.read_lines(spark, id_list, spec.key) if id_list else None, sample=sample,
     )
     return datasets.write_photo_dataset(dataset, out, ids_out)
 

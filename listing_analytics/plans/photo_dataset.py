@@ -70,10 +70,12 @@ def photo_dataset(
     `format, width, height, mode`.
     """
     labelled = labelled_photos(business, photos, spec, ids, sample)
-    with_files = joins.match_files(labelled, files, extensions, unmatched)
-    if "content" in with_files.columns:
-        with_files = images.image_attributes(with_files)
-    return with_files.select(*schemas.PHOTO_DATASET_COLUMNS)
+    if "content" in files.columns:
+        # attributes are read where the file is, so that no file content is shuffled; files of other
+        # photos may be unreadable
+        files = images.image_attributes(files, unreadable="keep")
+    dataset = joins.match_files(labelled, files, extensions, unmatched).select(*schemas.PHOTO_DATASET_COLUMNS)
+    return images.require_readable(dataset)
 
 
 def dataset_profile(dataset: DataFrame) -> dict[str, DataFrame]:

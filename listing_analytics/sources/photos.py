@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -16,14 +18,21 @@ def with_stem(df: DataFrame, path: str = "path") -> DataFrame:
     })
 
 
-def list_photos(spark: SparkSession, folder: str) -> DataFrame:
+def _files(spark: SparkSession, folder: str, extensions: Sequence[str] | None) -> DataFrame:
+    reader = spark.read.format("binaryFile")
+    if extensions:
+        reader = reader.option("pathGlobFilter", "*{" + ",".join(extensions) + "}")
+    return reader.load(folder)
+
+
+def list_photos(spark: SparkSession, folder: str, extensions: Sequence[str] | None = None) -> DataFrame:
     """`path, photo_file, stem, ext` of the files in a folder; contents are not read."""
-    return with_stem(spark.read.format("binaryFile").load(folder).select("path"))
+    return with_stem(_files(spark, folder, extensions).select("path"))
 
 
-def read_photos(spark: SparkSession, folder: str) -> DataFrame:
+def read_photos(spark: SparkSession, folder: str, extensions: Sequence[str] | None = None) -> DataFrame:
     """The listing with each file's bytes as `content`."""
-    return with_stem(spark.read.format("binaryFile").load(folder).select("path", "content"))
+    return with_stem(_files(spark, folder, extensions).select("path", "content"))
 
 
 def read_pictures(spark: SparkSession, folder: str, drop_invalid: bool = False) -> DataFrame:

@@ -73,7 +73,9 @@ def test_first_rows_of_the_files(spark, folder):
     assert "file_order" not in got.columns
 
 
-def test_file_order_over_splits_and_files(spark, tmp_path):
+@pytest.mark.parametrize("limit", [10, 100_000])
+def test_file_order_over_splits_and_files(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(filters, "TOP_ROWS", limit)  # below the rows wanted, positions are counted
     for part in range(3):
         body = "".join(f"{part * 2000 + i}\n" for i in range(2000))
         (tmp_path / f"part{part}.csv").write_text("n\n" + body)
@@ -84,6 +86,7 @@ def test_file_order_over_splits_and_files(spark, tmp_path):
         assert [int(r.n) for r in df.orderBy("at").collect()] == list(range(6000))
         first = filters.first_rows(df, 2500, "at")
         assert sorted(int(r.n) for r in first.collect()) == list(range(2500))
+        assert first.columns == ["n", "at"]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -105,6 +108,30 @@ def test_dataset_and_resize(spark, folder, tmp_path):
     assert {(r.width, r.height, len(r.data)) for r in resized.collect()} == {(6, 5, 90)}
 
 
+def test_unreadable_files_matter_only_to_their_photos(spark, folder, tmp_path):
+    photo_folder = tmp_path / "photos"
+    photo_folder.mkdir()
+    for name in ("p3.png", "p7.png", "p11.png"):
+        (photo_folder / name).write_bytes((folder / "photos" / name).read_bytes())
+    (photo_folder / "other.png").write_bytes(b"broken")
+    (photo_folder / "p3.txt").write_bytes(b"not tried")
+    (tmp_path / "ids.txt").write_text("b4\n")
+
+    def build(out):
+        return files.build_photo_dataset(
+            spark, str(folder / "business.csv"), str(folder / "photo.csv"), str(photo_folder), str(tmp_path / out),
+            id_list=str(tmp_path / "ids.txt"),
+        )
+
+    assert build("good") == 3
+    (photo_folder / "p7.png").write_bytes(b"broken")
+    with pytest.raises(Exception, match="not a known picture"):
+        build("bad")
+    (photo_folder / "p7.png").unlink()
+    with pytest.raises(Exception, match="no file for photo p7"):
+        build("missing")
+
+
 def test_sampled_dataset_from_files(spark, folder, tmp_path):
     n = files.build_photo_dataset(
         spark, str(folder / "business.csv"), str(folder / "photo.csv"), str(folder / "photos"), str(tmp_path / "set"),
