@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +27,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    """A given table; its footers are read for the schema once per process, not once per query."""
+    path = f"{sf.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def text(name: str):
