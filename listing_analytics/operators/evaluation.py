@@ -21,7 +21,9 @@ def pair_counts(df: DataFrame, actual: str = "actual", predicted: str = "predict
     Every pair counts at least 1. The filter on it keeps the count in each use of the result, also
     where only the labels are read, so that the uses share one shuffle and one scan of `df`.
     """
-    pairs = _labelled(df, actual, predicted).groupBy(F.col(quoted(actual)).alias("actual"), F.col(quoted(predicted)).alias("predicted"))
+    pairs = _labelled(df, actual, predicted).groupBy(
+        F.col(quoted(actual)).alias("actual"), F.col(quoted(predicted)).alias("predicted")
+    )
     return pairs.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0)
 
 
