@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from listing_analytics.llm import bpe, decontamination, linespread, resampling, simhash
+from listing_analytics.llm import (
+    bpe, decontamination, directcodes, linespread, permutation, preference, resampling, simhash,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +70,59 @@ def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+PREFERENCE_SQL = """
+    WITH last AS (
+        SELECT conv_id, max(turn) AS last_turn FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+    reply AS (
+        SELECT conv_id, max(text) AS reply FROM conversations JOIN last USING (conv_id)
+        WHERE role = 'assistant' AND turn = last_turn GROUP BY conv_id),
+    sides AS (
+        SELECT c.conv_id, turn, role, text,
+               CASE WHEN role = 'assistant' AND turn = last_turn THEN reply ELSE text END AS other
+        FROM conversations c JOIN last USING (conv_id)
+        JOIN reply ON reply.conv_id = c.conv_id + 1 - 2 * (c.conv_id % 2)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place FROM sides),
+    common AS (
+        SELECT conv_id, coalesce(min(place) FILTER (text <> other) - 1, count(*)) AS n_common FROM placed GROUP BY conv_id),
+    parts AS (
+        SELECT placed.*, n_common, '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body,
+               other || '<|end|>' || chr(10) AS other_body, CASE WHEN role = 'assistant' THEN ' +' ELSE ' -' END AS sign
+        FROM placed JOIN common USING (conv_id))
+    SELECT conv_id AS pair_id, any_value(n_common) AS n_common,
+           coalesce(string_agg(head || body, '' ORDER BY place) FILTER (place <= n_common), '') AS prompt,
+           coalesce(string_agg(head || body, '' ORDER BY place) FILTER (place > n_common), '') AS chosen,
+           coalesce(string_agg('-' || length(head) || sign || length(body), ' ' ORDER BY place) FILTER (place > n_common), '')
+               AS chosen_mask,
+           coalesce(string_agg(head || other_body, '' ORDER BY place) FILTER (place > n_common), '') AS rejected,
+           coalesce(string_agg('-' || length(head) || sign || length(other_body), ' ' ORDER BY place)
+               FILTER (place > n_common), '') AS rejected_mask
+    FROM parts GROUP BY conv_id"""
+
+
+@query("op2_preference_pairs", PREFERENCE_SQL)
+def op2_preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each conversation against itself with the last reply of its neighbour (ids 2k and 2k + 1)."""
+    turns = table(spark, sf, "conversations")
+    chosen, rejected = preference.swapped_replies(turns, F.col("conv_id") + 1 - 2 * (F.col("conv_id") % 2))
+
+    def as_text(mask: str):
+        return F.array_join(F.transform(mask, lambda m: F.concat(F.when(m["trained"], "+").otherwise("-"), m["n_chars"])), " ")
+
+    return preference.preference_pairs(chosen, rejected).withColumns(
+        {m: as_text(m) for m in ("chosen_mask", "rejected_mask")}
+    )
+
+
+@query("op3_permutation_index")
+def op3_permutation_index(spark: SparkSession, sf: str) -> DataFrame:
+    return permutation.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op6_direct_codes")
+def op6_direct_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return directcodes.write_and_digest(table(spark, sf, "documents"))
+
+
 LINES_SQL = rf"""
     WITH l AS (
         SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from listing_analytics.llm.words import free_name
 from listing_analytics.staging import stage
 
-WORD_CELLS, PAIR_CELLS = 1 << 18, 1 << 19
+WORD_CELLS, PAIR_CELLS = 1 << 20, 1 << 19
 CELLS = WORD_CELLS + PAIR_CELLS
 #: Labelled documents that the models are fitted on, at most (about; drawn by the hash of the id). Bounds the broadcasts.
 MAX_LABELLED = 200_000
