@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_analytics.llm import (
-    bpe, decontamination, directcodes, linespread, permutation, preference, resampling, simhash,
+    bilinear, bpe, decontamination, directcodes, linespread, permutation, preference, resampling, simhash,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,11 @@ def op3_permutation_index(spark: SparkSession, sf: str) -> DataFrame:
     return permutation.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query("op4_log_bilinear")
+def op4_log_bilinear(spark: SparkSession, sf: str) -> DataFrame:
+    return bilinear.score(table(spark, sf, "documents"))
+
+
 @query("op6_direct_codes")
 def op6_direct_codes(spark: SparkSession, sf: str) -> DataFrame:
     return directcodes.write_and_digest(table(spark, sf, "documents"))
