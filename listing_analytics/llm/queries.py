@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_analytics.llm import (
-    bilinear, bpe, decontamination, directcodes, linespread, permutation, preference, resampling, simhash,
+    bilinear, bpe, bwt, decontamination, directcodes, linespread, permutation, preference, resampling, simhash,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,13 @@ def op4_log_bilinear(spark: SparkSession, sf: str) -> DataFrame:
     return bilinear.score(table(spark, sf, "documents"))
 
 
+@query("op5_merged_transforms")
+def op5_merged_transforms(spark: SparkSession, sf: str) -> DataFrame:
+    return bwt.remove_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query("op6_direct_codes")
 def op6_direct_codes(spark: SparkSession, sf: str) -> DataFrame:
     return directcodes.write_and_digest(table(spark, sf, "documents"))
