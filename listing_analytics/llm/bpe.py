@@ -21,9 +21,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from listing_analytics.llm.chunks import ChunkTable
+from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Pieces that a worker keeps the ids of; the table is emptied beyond.
+MAX_PIECES = 500_000
 _NONE = 1 << 60
 
 
@@ -93,6 +95,7 @@ class Coder:
         self.text_of = {i: str(i) for i in self.bytes_of}
         self.split = regex.compile(pattern).findall
         self.table = ChunkTable(self._ids_of)
+        self.pieces: dict[str, list[int]] = {}
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "Coder":
@@ -102,7 +105,21 @@ class Coder:
         return cls._loaded[path, pattern]
 
     def _ids_of(self, chunks: list[str]) -> list[list[int]]:
-        return [[i for piece in self.split(c) for i in merge(piece.encode(), self.ranks)] for c in chunks]
+        known = self.pieces
+        if len(known) > MAX_PIECES:
+            known.clear()
+        found = []
+        for chunk in chunks:
+            ids: list[int] = []
+            for piece in self.split(chunk):
+                own = known.get(piece)
+                if own is None:
+                    own = merge(piece.encode(), self.ranks)
+                    if len(piece) <= MAX_CHUNK_CHARS:
+                        known[piece] = own
+                ids += own
+            found.append(ids)
+        return found
 
     def encode(self, text: str | None) -> np.ndarray:
         return self.table.encode(text or "")

@@ -12,7 +12,7 @@ from itertools import repeat
 
 import numpy as np
 
-MAX_CHUNKS = 300_000
+MAX_CHUNKS = 700_000
 MAX_CHUNK_CHARS = 256
 
 
@@ -45,6 +45,8 @@ class ChunkTable:
 
     def _add(self, chunks: list[str]) -> list[int]:
         """Numbers of new chunks."""
+        if not chunks:
+            return []
         found = self.encode_all(chunks)
         need = int(self.starts[self.n_chunks]) + sum(map(len, found))
         if need > len(self.ids):
@@ -76,18 +78,24 @@ class ChunkTable:
         if not text:
             return np.zeros(0, np.uint32)
         parts = text.split(" ")
+        from_start = bool(parts[0])  # else the text begins with a space, and so does each chunk
+        if not from_start:
+            del parts[0]
         numbers = np.fromiter(map(self.after_space.get, parts, repeat(-1)), np.int64, len(parts))
-        numbers[0] = -1
-        missing = np.flatnonzero(numbers < 0)
-        odd = [i for i in missing if not (p := parts[i]) or p[0].isspace() or p[-1].isspace()]
-        if odd:
+        if from_start:
+            numbers[0] = -1
+        missing = np.flatnonzero(numbers < 0).tolist()
+        if any(not (p := parts[i]) or p[0].isspace() or p[-1].isspace() for i in missing):
             numbers = self._numbers(cut(text))
         else:
-            chunks = [parts[i] if i == 0 else " " + parts[i] for i in missing]
-            numbers[missing] = new = self._numbers(chunks)
-            for i, n in zip(missing.tolist(), new.tolist()):
-                if i and len(parts[i]) <= MAX_CHUNK_CHARS:
-                    self.after_space[parts[i]] = n
+            if from_start:
+                numbers[0] = self._numbers(parts[:1])[0]
+                del missing[0]
+            fresh = list(dict.fromkeys(parts[i] for i in missing))
+            new = dict(zip(fresh, self._add([" " + p for p in fresh])))
+            self.after_space.update((p, n) for p, n in new.items() if len(p) <= MAX_CHUNK_CHARS)
+            for i in missing:
+                numbers[i] = new[parts[i]]
         starts = self.starts[numbers]
         lengths = self.starts[numbers + 1] - starts
         ends = np.cumsum(lengths)

@@ -50,9 +50,8 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, sketch_bits:
     )
     near = F.col("sites") <= math.ceil(min_sites * (1 + error))
     exact = (
-        lines.select("h1", "h2", "site")
+        lines.select("h1", "h2", "site").distinct()  # before the join, so that a line has a row for each site at most
         .join(spread.where(near).select("h1", "h2"), ["h1", "h2"], "left_semi")
-        .groupBy("h1", "h2", "site").agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2").agg(F.count("site").alias("exact_sites"))
     )
     return (
