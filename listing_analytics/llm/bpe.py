@@ -21,12 +21,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable
+from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable, grouped
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces that a worker keeps the ids of; the table is emptied beyond.
 MAX_PIECES = 500_000
 _NONE = 1 << 60
+_NO_RANK = (1 << 31) - 1
+#: Pieces of up to so many bytes are merged many at a time.
+WIDTHS = (8, 16, 32)
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -83,6 +86,72 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class PairRanks:
+    """The rank of the token that two neighbouring tokens make, for arrays of them."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pairs = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = rank
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
+        self.of_byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(left.shape, _NO_RANK, np.int32)
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], _NO_RANK)
+
+
+def merge_many(pieces: list[bytes], width: int, pair_rank: PairRanks) -> list[list[int]]:
+    """`merge` for pieces of at most `width` bytes (a power of two): a row of a matrix is a piece's segment tree."""
+    n = np.array([len(p) for p in pieces])
+    token = pair_rank.of_byte[np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)]
+    columns = np.arange(width)
+    live = columns < n[:, None]
+    end = np.tile(np.arange(1, width + 1), (len(pieces), 1))
+    before = np.tile(np.arange(-1, width - 1), (len(pieces), 1))
+    tree = np.full((len(pieces), 2 * width), _NO_RANK, np.int32)
+    inside = columns[1:] < n[:, None]
+    tree[:, width:-1][inside] = pair_rank(token[:, :-1][inside], token[:, 1:][inside])
+    level = width // 2
+    while level:
+        below = tree[:, 2 * level:4 * level]
+        tree[:, level:2 * level] = np.minimum(below[:, ::2], below[:, 1::2])
+        level //= 2
+    row = np.arange(len(pieces))
+    while len(row := row[tree[row, 1] != _NO_RANK]):
+        low = tree[row, 1]
+        k = np.ones(len(row), np.int64)
+        for _ in range(width.bit_length() - 1):
+            k *= 2
+            k += tree[row, k] != low
+        at = k - width
+        right = end[row, at]
+        stop = end[row, right]
+        token[row, at], end[row, at], live[row, right] = low, stop, False
+        more, some = stop < n[row], at > 0
+        next_ = np.minimum(stop, width - 1)
+        before[row[more], stop[more]] = at[more]
+        left = np.maximum(before[row, at], 0)
+        tree[row, width + right] = _NO_RANK
+        tree[row, width + at] = np.where(more, pair_rank(low.astype(np.int64), token[row, next_]), _NO_RANK)
+        new_left = pair_rank(token[row, left], low.astype(np.int64))
+        tree[row[some], width + left[some]] = new_left[some]
+        nodes = np.stack((right, at, left)) + width
+        for _ in range(width.bit_length() - 1):
+            nodes >>= 1
+            tree[row, nodes] = np.minimum(tree[row, 2 * nodes], tree[row, 2 * nodes + 1])
+    ids = token[live].tolist()
+    cuts = np.cumsum(live.sum(1)).tolist()
+    return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+
+
 class Coder:
     """A vocabulary of ranks, with the chunks seen so far."""
 
@@ -96,6 +165,7 @@ class Coder:
         self.split = regex.compile(pattern).findall
         self.table = ChunkTable(self._ids_of)
         self.pieces: dict[str, list[int]] = {}
+        self.pair_rank = PairRanks(self.ranks)
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "Coder":
@@ -108,21 +178,37 @@ class Coder:
         known = self.pieces
         if len(known) > MAX_PIECES:
             known.clear()
+        cut = [self.split(c) for c in chunks]
+        fresh = list({p: None for pieces in cut for p in pieces if p not in known})
+        new = dict(zip(fresh, self._merged([p.encode() for p in fresh])))
         found = []
-        for chunk in chunks:
+        for pieces in cut:
             ids: list[int] = []
-            for piece in self.split(chunk):
-                own = known.get(piece)
-                if own is None:
-                    own = merge(piece.encode(), self.ranks)
-                    if len(piece) <= MAX_CHUNK_CHARS:
-                        known[piece] = own
-                ids += own
+            for piece in pieces:
+                ids += new[piece] if piece in new else known[piece]
             found.append(ids)
+        known.update((p, ids) for p, ids in new.items() if len(p) <= MAX_CHUNK_CHARS)
+        return found
+
+    def _merged(self, pieces: list[bytes]) -> list[list[int]]:
+        found: list = [None] * len(pieces)
+        by_width: dict[int, list[int]] = {w: [] for w in WIDTHS}
+        for i, piece in enumerate(pieces):
+            if piece in self.ranks:
+                found[i] = [self.ranks[piece]]
+            elif len(piece) > WIDTHS[-1]:
+                found[i] = merge(piece, self.ranks)
+            else:
+                by_width[next(w for w in WIDTHS if len(piece) <= w)].append(i)
+        for width, places in by_width.items():
+            if places:
+                for i, ids in zip(places, merge_many([pieces[i] for i in places], width, self.pair_rank)):
+                    found[i] = ids
         return found
 
-    def encode(self, text: str | None) -> np.ndarray:
-        return self.table.encode(text or "")
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        for group in grouped(texts):
+            yield from self.table.encode_all(group)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -139,7 +225,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder.of(path, pattern)
         for batch in batches:
-            ids = pa.array([coder.encode(t.as_py()).astype(np.int32) for t in batch.column("text")], pa.list_(pa.int32()))
+            ids = pa.array([x.astype(np.int32) for x in coder.encode(batch.column("text").to_pylist())], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -168,8 +254,8 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str = public_t
         coder = Coder.of(path, pattern)
         for batch in batches:
             n, ids_hash, decoded_hash = [], [], []
-            for text in batch.column("text"):
-                ids = coder.encode(text.as_py()).tolist()
+            for found in coder.encode(batch.column("text").to_pylist()):
+                ids = found.tolist()
                 n.append(len(ids))
                 ids_hash.append(hashlib.sha256(coder.joined(ids).encode()).hexdigest())
                 decoded_hash.append(hashlib.sha256(coder.decode(ids)).hexdigest())

@@ -7,13 +7,15 @@ chunks is emptied when it is full, which bounds a worker's memory and changes no
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
 
 MAX_CHUNKS = 700_000
 MAX_CHUNK_CHARS = 256
+#: Texts of about so many characters are encoded together.
+GROUP_CHARS = 1 << 20
 
 
 def cut(text: str) -> list[str]:
@@ -33,7 +35,7 @@ class ChunkTable:
     """Ids of chunks seen, one after the other in one array."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode_all = encode
+        self.encode_chunks = encode
         self.clear()
 
     def clear(self) -> None:
@@ -47,7 +49,7 @@ class ChunkTable:
         """Numbers of new chunks."""
         if not chunks:
             return []
-        found = self.encode_all(chunks)
+        found = self.encode_chunks(chunks)
         need = int(self.starts[self.n_chunks]) + sum(map(len, found))
         if need > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros(max(need, len(self.ids)), np.uint32)))
@@ -62,41 +64,56 @@ class ChunkTable:
             self.starts[self.n_chunks] = at + len(ids)
         return numbers
 
-    def _numbers(self, chunks: list[str]) -> np.ndarray:
-        numbers = np.fromiter(map(self.whole.get, chunks, repeat(-1)), np.int64, len(chunks))
-        missing = list(dict.fromkeys(chunks[i] for i in np.flatnonzero(numbers < 0)))
-        if missing:
-            new = dict(zip(missing, self._add(missing)))
-            self.whole.update((c, n) for c, n in new.items() if len(c) <= MAX_CHUNK_CHARS)
-            for i in np.flatnonzero(numbers < 0):
-                numbers[i] = new[chunks[i]]
-        return numbers
+    def _learn(self, chunks: dict[str, None], after_space: bool) -> dict[str, int]:
+        """Numbers of chunks that are not in the table; those of ordinary length enter it."""
+        names = list(chunks)
+        new = dict(zip(names, self._add([" " + c for c in names] if after_space else names)))
+        kept = self.after_space if after_space else self.whole
+        kept.update((c, n) for c, n in new.items() if len(c) <= MAX_CHUNK_CHARS)
+        return new
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; what several of them lack is found at once."""
         if self.n_chunks > MAX_CHUNKS or self.starts[self.n_chunks] > 16 * MAX_CHUNKS:
             self.clear()
-        if not text:
-            return np.zeros(0, np.uint32)
-        parts = text.split(" ")
-        from_start = bool(parts[0])  # else the text begins with a space, and so does each chunk
-        if not from_start:
-            del parts[0]
-        numbers = np.fromiter(map(self.after_space.get, parts, repeat(-1)), np.int64, len(parts))
-        if from_start:
-            numbers[0] = -1
-        missing = np.flatnonzero(numbers < 0).tolist()
-        if any(not (p := parts[i]) or p[0].isspace() or p[-1].isspace() for i in missing):
-            numbers = self._numbers(cut(text))
-        else:
-            if from_start:
-                numbers[0] = self._numbers(parts[:1])[0]
-                del missing[0]
-            fresh = list(dict.fromkeys(parts[i] for i in missing))
-            new = dict(zip(fresh, self._add([" " + p for p in fresh])))
-            self.after_space.update((p, n) for p, n in new.items() if len(p) <= MAX_CHUNK_CHARS)
+        cuts, lack_after, lack_whole = [], {}, {}
+        for text in texts:
+            after = text.split(" ")
+            first = after.pop(0)
+            before = [first] if first else []  # else the text begins with a space
+            numbers = np.fromiter(map(self.after_space.get, after, repeat(-1)), np.int64, len(after))
+            missing = np.flatnonzero(numbers < 0).tolist()
+            if any(not (p := after[i]) or p[0].isspace() or p[-1].isspace() for i in missing) or before and before[0][-1].isspace():
+                before, after, numbers, missing = cut(text) if text else [], [], numbers[:0], []
+            lack_after.update((after[i], None) for i in missing)
+            lack_whole.update((c, None) for c in before if c not in self.whole)
+            cuts.append((before, after, numbers, missing))
+        new_after, new_whole = self._learn(lack_after, True), self._learn(lack_whole, False)
+        found = []
+        for before, after, numbers, missing in cuts:
             for i in missing:
-                numbers[i] = new[parts[i]]
-        starts = self.starts[numbers]
-        lengths = self.starts[numbers + 1] - starts
-        ends = np.cumsum(lengths)
-        return self.ids[np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)]
+                numbers[i] = new_after[after[i]]
+            if before:
+                first = [self.whole[c] if c in self.whole else new_whole[c] for c in before]
+                numbers = np.concatenate((np.array(first, np.int64), numbers))
+            if not len(numbers):
+                found.append(np.zeros(0, np.uint32))
+                continue
+            starts = self.starts[numbers]
+            lengths = self.starts[numbers + 1] - starts
+            ends = np.cumsum(lengths)
+            found.append(self.ids[np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)])
+        return found
+
+
+def grouped(texts: Iterable[str | None], chars: int = GROUP_CHARS) -> Iterator[list[str]]:
+    """Texts in groups of about `chars` characters, nulls as empty ones."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text or "")
+        size += len(group[-1])
+        if size >= chars:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group

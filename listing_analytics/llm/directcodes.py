@@ -27,7 +27,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from listing_analytics.llm.chunks import ChunkTable
+from listing_analytics.llm.chunks import ChunkTable, grouped
 from listing_analytics.staging import stage_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -138,8 +138,10 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
 
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.concatenate((table.encode(text.as_py() or ""), end))
+            texts = (t.as_py() for t in batch.column("text"))
+            encoded = (ids for group in grouped(texts) for ids in table.encode_all(group))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+                ids = np.concatenate((ids, end))
                 doc_ids.append(doc_id)
                 pieces.append(ids)
                 size += len(ids)
