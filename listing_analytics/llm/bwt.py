@@ -18,7 +18,7 @@ places; no suffix is sorted again. Within an interval of equal `WIDTH`-byte stri
 
 Defined cases: a null text is empty. A null id is above all others and its rows are not above each other. Rows with
 equal ids do not remove from each other. Texts shorter than `WIDTH` bytes stay whole. Strings are told apart by their
-bytes; segments in the last join by a hash of 128 bits.
+bytes; equal segments are found by 128 bits, the hashes of the segment and of its gram.
 """
 
 from __future__ import annotations
@@ -30,16 +30,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from listing_analytics.staging import stage
+from listing_analytics.staging import stage_path
 
 WIDTH = 50
-GRAM = 24
+GRAM = 34
 #: Bits of the table of grams that several documents have: 16 MB, whatever the corpus.
 TABLE_BITS = 27
 BUCKET_BITS = 12
-SHARDS = 4
+SHARDS = 2
 #: Bytes of segments in a group that is merged, about.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 18
 _NO_ID = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -86,7 +86,11 @@ def segments(data: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np
         least(wanted - size)
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     last = np.append(first[1:], len(place)) - 1
-    return first, last, hashes[place[first]]
+    # the least hashes are small numbers: mixed again, their leading bits are spread evenly
+    with np.errstate(over="ignore"):
+        chosen = hashes[place[first]] * np.uint64(_BASE)
+        chosen = (chosen ^ (chosen >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    return first, last, chosen
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -133,16 +137,22 @@ def repeated_grams(docs: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits:
 
 
 def candidates(docs: DataFrame, table) -> DataFrame:
-    """`id, row, gram, s1, s2, start, segment` of the segments whose grams the broadcast bit table has."""
+    """`id, row, gram, hash, start, places, segment` of the segments whose grams the broadcast bit table has.
+
+    Of equal segments that are written together, only the first has its bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
-        names = ["id", "row", "gram", "s1", "s2", "start", "segment"]
+        names = ["id", "row", "gram", "hash", "start", "places", "segment"]
 
         def out(ids, rows, grams, starts, parts) -> pa.RecordBatch:
-            hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(p) for p in parts]), "<i8").reshape(-1, 2)
-            columns = [np.concatenate(ids), np.concatenate(rows), np.concatenate(grams).view(np.int64), hashes[:, 0], hashes[:, 1], np.concatenate(starts)]
-            return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(c)) for c in columns), pa.array(parts, pa.binary())], names)
+            hashes = np.array([xxhash.xxh3_64_intdigest(p) for p in parts], np.uint64).view(np.int64)
+            seen: set[bytes] = set()
+            first = [None if p in seen else seen.add(p) or p for p in parts]
+            columns = [np.concatenate(ids), np.concatenate(rows), np.concatenate(grams).view(np.int64), hashes, np.concatenate(starts)]
+            places = pa.array(np.fromiter(map(len, parts), np.int16, len(parts)) - (WIDTH - 1), pa.int16())
+            return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), places, pa.array(first, pa.binary())], names)
 
         ids, rows, grams, starts, parts = [], [], [], [], []
         for batch in batches:
@@ -155,28 +165,30 @@ def candidates(docs: DataFrame, table) -> DataFrame:
                 content = data.tobytes()
                 parts += [content[a:b] for a, b in zip(first[hit].tolist(), (last[hit] + WIDTH).tolist())]
                 ids.append(np.full(len(hit), doc_id))
-                rows.append(np.full(len(hit), row))
+                rows.append(np.full(len(hit), row, np.int32))
                 grams.append(gram[hit])
-                starts.append(first[hit])
-                if len(parts) > 50_000:
+                starts.append(first[hit].astype(np.int32))
+                if len(parts) > 100_000:
                     yield out(ids, rows, grams, starts, parts)
                     ids, rows, grams, starts, parts = [], [], [], [], []
         if parts:
             yield out(ids, rows, grams, starts, parts)
 
-    return docs.mapInArrow(run, "id long, row long, gram long, s1 long, s2 long, start long, segment binary")
+    return docs.mapInArrow(run, "id long, row int, gram long, hash long, start int, places short, segment binary")
 
 
 class Shard:
     """Suffixes of strings, each string followed by a mark, in the order of their first `depth` symbols."""
 
-    def __init__(self, strings: list[bytes], depth: int):
+    def __init__(self, strings: list[bytes], depth: int, wide: bool):
         lengths = np.array([len(s) + 1 for s in strings])
-        text = np.zeros(lengths.sum(), np.uint16)  # 0 is the mark
+        data = np.frombuffer(b"".join(strings), np.uint8)
+        shift = int(wide)  # 0 is the mark; where a byte of 0 occurs, symbols are wider
+        text = np.zeros(lengths.sum(), np.uint16 if shift else np.uint8)
         ends = np.cumsum(lengths) - 1
         body = np.ones(len(text), bool)
         body[ends] = False
-        text[body] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
+        text[body] = data.astype(text.dtype) + shift
         rank, size = text.astype(np.int64), 1
         while size < depth:
             both = rank * (int(rank.max()) + 1) + np.roll(rank, -size)
@@ -197,7 +209,7 @@ def merged(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """
     interleave = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.order) for s in shards])
     interval = np.zeros(len(interleave), np.int32)
-    symbol = np.empty(len(interleave), np.uint16)
+    symbol = np.empty(len(interleave), np.result_type(*(s.transform for s in shards)))
     for _ in range(depth):
         for i, shard in enumerate(shards):
             symbol[interleave == i] = shard.transform
@@ -211,7 +223,8 @@ def merged(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
 def least_ids(strings: list[bytes], ids: np.ndarray, width: int = WIDTH, n_shards: int = SHARDS) -> list[np.ndarray]:
     """For each string the least id among the strings that hold the `width` bytes at each of its places."""
     parts = [np.arange(i, len(strings), n_shards) for i in range(min(n_shards, len(strings)))]
-    shards = [Shard([strings[j] for j in part], width) for part in parts]
+    wide = any(b"\0" in x for x in strings)
+    shards = [Shard([strings[j] for j in part], width, wide) for part in parts]
     interleave, interval = merged(shards, width)
     string, offset = np.empty(len(interleave), np.int64), np.empty(len(interleave), np.int64)
     for i, (shard, part) in enumerate(zip(shards, parts)):
@@ -227,19 +240,29 @@ def least_ids(strings: list[bytes], ids: np.ndarray, width: int = WIDTH, n_shard
     return np.split(found[order], np.cumsum(np.maximum(lengths - width + 1, 0))[:-1])
 
 
+def compact(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder as small as may be."""
+    path = stage_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def repeats(found: DataFrame) -> DataFrame:
-    """`s1, s2, runs` of the distinct segments of `candidates`: up to which place in the segment which least id holds."""
-    distinct = stage(
-        found.groupBy("gram", "s1", "s2", "segment").agg(F.min("id").alias("least"), F.max("id").alias("most")),
-        "segments",
+    """`gram, hash, runs` of the distinct segments of `candidates`: up to which place in the segment which least id holds."""
+    key = ["gram", "hash"]
+    distinct = compact(
+        found.groupBy(*key).agg(F.max("places").alias("places"), F.min("id").alias("least"), F.max("id").alias("most")), "segments"
     )
-    alone = distinct.groupBy("gram").agg(F.count("*").alias("n")).where("n = 1").select("gram")
-    whole = distinct.join(alone, "gram", "left_semi").where("least < most").select(
-        "s1", "s2", F.array(F.struct((F.octet_length("segment") - WIDTH + 1).cast("int").alias("upto"), F.col("least").alias("id"))).alias("runs")
+    # a gram of one segment in one document came through the table by chance
+    grams = distinct.groupBy("gram").agg(F.count("*").alias("n"), F.min("least").alias("a"), F.max("most").alias("b")).where("a < b")
+    alone, several = grams.where("n = 1").select("gram"), grams.where("n > 1").select("gram")
+    whole = distinct.join(alone, "gram", "left_semi").select(
+        *key, F.array(F.struct(F.col("places").cast("int").alias("upto"), F.col("least").alias("id"))).alias("runs")
     )
-    several = distinct.join(alone, "gram", "left_anti")
-    size = several.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
-    groups = 1 + size // GROUP_BYTES
+    several = distinct.join(several, "gram", "left_semi").select(*key, "least")
+    groups = 1 + (several.count() * 2 * WIDTH) // GROUP_BYTES
+    # several tasks may have written the bytes of a segment
+    several = several.join(found.where("segment IS NOT NULL").select(*key, "segment"), key).dropDuplicates(key)
 
     def merge(table: pa.Table) -> pa.Table:
         least = least_ids([x.as_py() for x in table.column("segment")], table.column("least").to_numpy())
@@ -248,9 +271,9 @@ def repeats(found: DataFrame) -> DataFrame:
             last = np.flatnonzero(np.concatenate((ids[1:] != ids[:-1], [True])))
             runs.append([{"upto": int(i) + 1, "id": int(ids[i])} for i in last])
         kind = pa.list_(pa.struct([("upto", pa.int32()), ("id", pa.int64())]))
-        return pa.table({"s1": table.column("s1"), "s2": table.column("s2"), "runs": pa.array(runs, kind)})
+        return pa.table({"gram": table.column("gram"), "hash": table.column("hash"), "runs": pa.array(runs, kind)})
 
-    kind = "s1 long, s2 long, runs array<struct<upto:int,id:bigint>>"
+    kind = "gram long, hash long, runs array<struct<upto:int,id:bigint>>"
     compared = several.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(groups))).groupBy("bucket").applyInArrow(merge, kind)
     return whole.unionByName(compared)
 
@@ -258,13 +281,13 @@ def repeats(found: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """`doc_id, n_bytes, n_removed, n_spans, kept (binary)` of each row of `docs (doc_id, text, ...)`."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.hash("doc_id", "text").alias("row"), "text")
     table = docs.sparkSession.sparkContext.broadcast(repeated_grams(docs))
     found = candidates(source, table)
-    occurrences = stage(found, "occurrences")
+    occurrences = compact(found, "occurrences")
     runs = repeats(occurrences)
     spans = (
-        occurrences.select("id", "row", "s1", "s2", "start").join(runs, ["s1", "s2"])
+        occurrences.select("id", "row", "gram", "hash", "start").join(runs, ["gram", "hash"])
         .withColumn("ends", F.transform("runs", lambda r, i: F.struct(
             (F.col("start") + F.when(i == 0, 0).otherwise(F.get("runs", i - 1)["upto"])).alias("lo"),
             (F.col("start") + r["upto"] + WIDTH - 1).alias("hi"), (r["id"] < F.col("id")).alias("gone"),
@@ -290,7 +313,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary())], names
             )
 
-    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64("doc_id", "text").alias("row"))
+    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.hash("doc_id", "text").alias("row"))
     return keyed.join(spans, ["id", "row"], "left").select("doc_id", "text", "spans").mapInArrow(
         cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
     )
