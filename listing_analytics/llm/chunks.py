@@ -8,7 +8,7 @@ chunks is emptied when it is full, which bounds a worker's memory and changes no
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -50,19 +50,18 @@ class ChunkTable:
         if not chunks:
             return []
         found = self.encode_chunks(chunks)
-        need = int(self.starts[self.n_chunks]) + sum(map(len, found))
-        if need > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros(max(need, len(self.ids)), np.uint32)))
-        if self.n_chunks + len(found) + 1 >= len(self.starts):
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        begin = int(self.starts[self.n_chunks])
+        stop = begin + int(lengths.sum())
+        if stop > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(stop, len(self.ids)), np.uint32)))
+        first, last = self.n_chunks, self.n_chunks + len(found)
+        if last + 1 >= len(self.starts):
             self.starts = np.concatenate((self.starts, np.zeros(len(self.starts) + len(found), np.int64)))
-        numbers = []
-        for ids in found:
-            at = int(self.starts[self.n_chunks])
-            self.ids[at:at + len(ids)] = ids
-            numbers.append(self.n_chunks)
-            self.n_chunks += 1
-            self.starts[self.n_chunks] = at + len(ids)
-        return numbers
+        self.ids[begin:stop] = np.fromiter(chain.from_iterable(found), np.uint32, stop - begin)
+        self.starts[first + 1:last + 1] = begin + np.cumsum(lengths)
+        self.n_chunks = last
+        return list(range(first, last))
 
     def _learn(self, chunks: dict[str, None], after_space: bool) -> dict[str, int]:
         """Numbers of chunks that are not in the table; those of ordinary length enter it."""

@@ -18,6 +18,7 @@ An empty table has no files.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -25,15 +26,18 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from listing_analytics.llm.chunks import ChunkTable, grouped
+from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable, grouped
 from listing_analytics.staging import stage_path
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 FILE_IDS = 1 << 21
 BLOCK = 512
+#: Pieces that a worker keeps the ids of; the table is emptied beyond.
+MAX_PIECES = 400_000
 _MAGIC = b"DAC1"
 
 
@@ -104,19 +108,63 @@ class CodeFile:
         return self.range(int(self.starts[i]), int(self.starts[i + 1]))
 
 
-_tables: dict[str, ChunkTable] = {}
+class Pieces:
+    """Ids of chunks by the tokenizers library: its model for each piece of a chunk that is not known yet.
 
+    For tokenizers of bytes that split by the public pattern; a chunk with the text of an added token, and any chunk of
+    another kind of tokenizer, goes through the whole tokenizer.
+    """
 
-def id_table(path: str) -> ChunkTable:
-    """The tokenizer of a file, one for each Python worker."""
-    if path not in _tables:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        _tables[path] = ChunkTable(
-            lambda chunks: [x.ids for x in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        self.tokenizer = Tokenizer.from_file(path)
+        kind = json.loads(self.tokenizer.to_str())
+        split = kind["pre_tokenizer"] or {}
+        self.plain = (
+            kind["normalizer"] is None and kind["post_processor"] is None and kind["model"]["type"] == "BPE"
+            and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         )
+        added = [t["content"] for t in kind["added_tokens"]]
+        self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)").search
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        # the signs that stand for bytes: printable ones themselves, the others from 256 upwards
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.signs = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def whole(self, chunks: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def __call__(self, chunks: list[str]) -> list[list[int]]:
+        if not self.plain or self.added("\0".join(chunks)):
+            return self.whole(chunks)
+        known, model, signs = self.known, self.tokenizer.model.tokenize, self.signs
+        if len(known) > MAX_PIECES:
+            known.clear()
+        found = []
+        for chunk in chunks:
+            ids: list[int] = []
+            for piece in self.split(chunk):
+                own = known.get(piece)
+                if own is None:
+                    own = tuple(t.id for t in model(piece.encode().decode("latin-1").translate(signs)))
+                    if len(piece) <= MAX_CHUNK_CHARS:
+                        known[piece] = own
+                ids += own
+            found.append(ids)
+        return found
+
+
+_tables: dict[str, ChunkTable] = {}
+
+
+def id_table(path: str) -> ChunkTable:
+    """The tokenizer of a file, one for each Python worker."""
+    if path not in _tables:
+        _tables[path] = ChunkTable(Pieces(path))
     return _tables[path]
 
 
