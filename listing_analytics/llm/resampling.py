@@ -1,7 +1,7 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, Gumbel top-k.
 
 The target model counts the documents of a labelled sample that are good; the raw model counts all documents. The
-n-grams are words, their first four and five letters, and word pairs; in a run of one word the fifth and later count as a
+n-grams are words, their first four and five bytes, and word pairs; in a run of one word the fifth and later count as a
 repeat mark.
 Each falls into a cell by its hash (pairs into cells of their own, as they are many) and counts once a document, so that
 one long or repetitive document cannot make a word look typical. A cell's log ratio is
@@ -24,11 +24,14 @@ together. A null id is an id like any other for the noise, but never labelled.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from listing_analytics.llm.chunks import grouped
 from listing_analytics.llm.words import free_name
 from listing_analytics.staging import stage
 
@@ -44,36 +47,59 @@ SEED = 17
 GOOD_COUNTS = 3.0
 
 
-def with_cells(docs: DataFrame, name: str) -> DataFrame:
-    """`docs (text, ...)` with the distinct cells of each text's n-grams in column `name`.
+# kinds of bytes: white space, letters and digits (with all bytes of signs beyond ASCII), other signs
+_KIND = np.array([
+    0 if b in b" \t\n\r\x0b\x0c" else 1 if 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 2 for b in range(256)
+], np.uint8)
+_STEP, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_BACK = pow(_STEP, -1, 1 << 64)
 
-    Words: runs of letters or digits, or of other signs, in lower case. Each step is a projection of its own, so that
-    what several n-grams need is computed once.
-    """
-    read, words, types, parts = (free_name(docs, f"{name}_{x}") for x in ("read", "words", "types", "parts"))
-    docs = docs.withColumn(
-        read, F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"([\p{L}\p{N}]+|[^\s\p{L}\p{N}]+)"), F.lit(1))
-    )
-    def shifted(n: int) -> Column:
-        return F.concat(F.array_repeat(F.lit(""), n), F.slice(read, 1, F.greatest(F.size(read) - n, F.lit(0))))
 
-    # equal to the word before and to the fourth before
-    before = F.zip_with(shifted(1), shifted(4), lambda x, y: F.when(x == y, x))
-    docs = docs.withColumn(
-        words, F.array_compact(F.zip_with(read, before, lambda w, b: F.when(w == b, F.lit("\x01")).otherwise(w)))
-    )
-    docs = docs.withColumn(types, F.array_distinct(words))
-    docs = docs.withColumn(parts, F.array_distinct(F.concat(
-        F.transform(types, lambda w: F.xxhash64(w)),
-        *[F.transform(types, lambda w, n=n: F.xxhash64(F.lit(n), F.substring(w, 1, n))) for n in (4, 5)],
-    )))
-    # the second array is one shorter: the last word begins no pair
-    pairs = F.zip_with(
-        words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.when(b.isNotNull(), (F.pmod(F.xxhash64(a, b), F.lit(PAIR_CELLS)) + WORD_CELLS).cast("int")),
-    )
-    single = F.transform(parts, lambda h: F.pmod(h, F.lit(WORD_CELLS)).cast("int"))
-    return docs.withColumn(name, F.array_distinct(F.concat(single, F.array_compact(pairs)))).drop(read, words, types, parts)
+def _powers(base: int, n: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(_MIX)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(_STEP) >> np.uint64(20)
+
+
+def cells_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Document numbers and the distinct cells of each document's n-grams, sorted.
+
+    Words, in lower case: runs of letters and digits, or of other signs. A word's hash is a difference of running sums of
+    its bytes times powers, so all words of the texts are hashed at once.
+    """
+    # a blank before each text keeps words of neighbours apart
+    parts = [b" " + (t or "").lower().encode() for t in texts]
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    kind = _KIND[data]
+    change = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    starts = change[kind[change] != 0]
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    stops = np.append(change, len(data))[np.searchsorted(change, starts, "right")]
+    doc = np.searchsorted(np.cumsum([len(p) for p in parts]), starts, "right")
+    with np.errstate(over="ignore"):
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_STEP, len(data))[:-1], dtype=np.uint64)))
+        back = _powers(_BACK, len(data))[starts]
+
+        def hashed(upto: np.ndarray) -> np.ndarray:
+            return (sums[upto] - sums[starts]) * back
+
+        words = hashed(stops)
+        # the fifth and later of a run of one word
+        run = np.zeros(len(words), bool)
+        run[4:] = (words[4:] == words[3:-1]) & (words[4:] == words[:-4]) & (doc[4:] == doc[:-4])
+        words[run] = np.uint64(1)
+        keys = [_mixed(words)] + [_mixed(hashed(np.minimum(stops, starts + n)) + np.uint64(n)) for n in (4, 5)]
+        pairs = _mixed(_mixed(words[:-1]) * np.uint64(_STEP) + words[1:])
+    together = doc[1:] == doc[:-1]
+    cells = [(k & np.uint64(WORD_CELLS - 1)).astype(np.int64) for k in keys]
+    pair_cells = (pairs & np.uint64(PAIR_CELLS - 1)).astype(np.int64)[together] + WORD_CELLS
+    both = np.unique(np.concatenate([np.tile(doc, 3), doc[1:][together]]) << 32 | np.concatenate([*cells, pair_cells]))
+    return both >> 32, both & 0xFFFFFFFF
 
 
 def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -94,12 +120,24 @@ def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Data
 def log_ratios(docs: DataFrame, known: DataFrame, alpha: float = ALPHA, dead_zone: float = DEAD_ZONE) -> np.ndarray:
     """The log ratio of every cell; `CELLS` numbers, whatever the corpus."""
     good = known.where("good").select(F.col("id").alias("good_id"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, target = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
+        for batch in batches:
+            hits = iter(batch.column("hit").to_numpy(zero_copy_only=False))
+            for group in grouped(t.as_py() for t in batch.column("text")):
+                hit = np.array([next(hits) for _ in group])
+                doc, cell = cells_of(group)
+                raw += np.bincount(cell, minlength=CELLS)
+                target += np.bincount(cell[hit[doc]], minlength=CELLS)
+        found = np.flatnonzero(raw)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found.astype(np.int32), raw[found], target[found])], ["cell", "raw", "target"])
+
     counts = stage(
         docs.select("doc_id", "text")
         .join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left")
-        .transform(with_cells, "cells")
-        .select(F.explode("cells").alias("cell"), F.col("good_id").isNotNull().cast("int").alias("hit"))
-        .groupBy("cell").agg(F.count("*").alias("raw"), F.sum("hit").alias("target")),
+        .select("text", F.col("good_id").isNotNull().alias("hit"))
+        .mapInArrow(count, "cell int, raw long, target long")
+        .groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")),
         "cells",
     )
     share = (
@@ -191,14 +229,18 @@ def resample(
     known = stage(labelled_sample(labels, max_labelled), "labelled")
     table = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, known, alpha, dead_zone))
 
-    @F.pandas_udf("double")
-    def log_weight(found: pd.Series) -> pd.Series:
-        return pd.Series([float(table.value[c].sum()) for c in found], dtype=float)
-
     keep = list(docs.columns if columns is None else columns)
     weight, key = free_name(docs, "log_weight"), free_name(docs, "sample_key")
-    found = free_name(docs, "cells")
-    scored = with_cells(docs, found).withColumn(weight, log_weight(found)).drop(found)
+
+    @F.pandas_udf("double")
+    def log_weight(texts: pd.Series) -> pd.Series:
+        found = []
+        for group in grouped(texts):
+            doc, cell = cells_of(group)
+            found.append(np.bincount(doc, table.value[cell], len(group)))
+        return pd.Series(np.concatenate(found) if found else [], dtype=float)
+
+    scored = docs.withColumn(weight, log_weight("text"))
     scored = scored.withColumn(key, F.col(weight) / temperature + gumbel(F.col("doc_id").cast("string"), seed))
     scored = stage(scored.select(*dict.fromkeys([*keep, "doc_id", weight, key])), "scored")
     if k is None:
