@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     context_dir = spark.sparkContext.getCheckpointDir()
     if context_dir:
         return context_dir.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="listing-analytics-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")

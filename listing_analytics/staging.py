@@ -12,8 +12,12 @@ ROOT = "listing_analytics_stages"
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{ROOT}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below this application's part of the shared folder."""
+    return f"{_own_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{ROOT}/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -28,7 +32,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def clear_stages(spark: SparkSession) -> None:
-    """Delete every staged table below the shared folder of this session."""
+    """Delete the tables that this application has staged; those of others stay."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{ROOT}")
+    path = jvm.org.apache.hadoop.fs.Path(_own_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
