@@ -25,7 +25,7 @@ from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable, grouped
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces that a worker keeps the ids of; the table is emptied beyond.
-MAX_PIECES = 500_000
+MAX_PIECES = 250_000
 _NONE = 1 << 60
 _NO_RANK = (1 << 31) - 1
 #: Pieces of up to so many bytes are merged many at a time.

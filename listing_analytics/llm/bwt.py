@@ -93,6 +93,11 @@ def segments(data: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np
     return first, last, chosen
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     for text in batch.column("text"):
         yield np.frombuffer((text.as_py() or "").encode(), np.uint8)
@@ -103,7 +108,7 @@ def repeated_grams(docs: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [np.unique(segments(data)[2]) for data in _texts(batch)]
+            own = [_distinct(segments(data)[2]) for data in _texts(batch)]
             if not own:
                 continue
             found, times = np.unique(np.concatenate(own), return_counts=True)

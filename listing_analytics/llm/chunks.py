@@ -12,7 +12,7 @@ from itertools import chain, repeat
 
 import numpy as np
 
-MAX_CHUNKS = 700_000
+MAX_CHUNKS = 400_000
 MAX_CHUNK_CHARS = 256
 #: Texts of about so many characters are encoded together.
 GROUP_CHARS = 1 << 20

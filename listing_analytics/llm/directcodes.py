@@ -37,7 +37,7 @@ END_ID = 0
 FILE_IDS = 1 << 21
 BLOCK = 512
 #: Pieces that a worker keeps the ids of; the table is emptied beyond.
-MAX_PIECES = 400_000
+MAX_PIECES = 250_000
 _MAGIC = b"DAC1"
 
 

@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from listing_analytics.llm.chunks import grouped
+from listing_analytics.llm.chunks import GROUP_CHARS, grouped
 from listing_analytics.llm.words import free_name
 from listing_analytics.staging import stage
 
@@ -55,9 +55,19 @@ _STEP, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _BACK = pow(_STEP, -1, 1 << 64)
 
 
+_power_tables: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)))
+    """The first n + 1 powers; those of texts of ordinary length are kept."""
+    found = _power_tables.get(base)
+    if found is None or len(found) <= n:
+        found = np.full(max(n, 2 * GROUP_CHARS) + 1, base, np.uint64)
+        found[0] = 1
+        np.cumprod(found, out=found)
+        if n <= 2 * GROUP_CHARS:
+            _power_tables[base] = found
+    return found[:n + 1]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -76,14 +86,15 @@ def cells_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"".join(parts), np.uint8)
     kind = _KIND[data]
     change = np.flatnonzero(kind[1:] != kind[:-1]) + 1
-    starts = change[kind[change] != 0]
+    begins = np.flatnonzero(kind[change])
+    starts = change[begins]
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    stops = np.append(change, len(data))[np.searchsorted(change, starts, "right")]
+    stops = np.append(change, len(data))[begins + 1]
     doc = np.searchsorted(np.cumsum([len(p) for p in parts]), starts, "right")
     with np.errstate(over="ignore"):
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_STEP, len(data))[:-1], dtype=np.uint64)))
-        back = _powers(_BACK, len(data))[starts]
+        back = _powers(_BACK, len(data))[starts]  # powers of the inverse
 
         def hashed(upto: np.ndarray) -> np.ndarray:
             return (sums[upto] - sums[starts]) * back
@@ -98,7 +109,8 @@ def cells_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     together = doc[1:] == doc[:-1]
     cells = [(k & np.uint64(WORD_CELLS - 1)).astype(np.int64) for k in keys]
     pair_cells = (pairs & np.uint64(PAIR_CELLS - 1)).astype(np.int64)[together] + WORD_CELLS
-    both = np.unique(np.concatenate([np.tile(doc, 3), doc[1:][together]]) << 32 | np.concatenate([*cells, pair_cells]))
+    both = np.sort(np.concatenate([np.tile(doc, 3), doc[1:][together]]) << 32 | np.concatenate([*cells, pair_cells]))
+    both = both[np.concatenate(([True], both[1:] != both[:-1]))]  # np.unique hashes, which takes far longer
     return both >> 32, both & 0xFFFFFFFF
 
 
@@ -122,13 +134,24 @@ def log_ratios(docs: DataFrame, known: DataFrame, alpha: float = ALPHA, dead_zon
     good = known.where("good").select(F.col("id").alias("good_id"))
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add() -> None:
+            cell, hit = (np.concatenate(x) for x in zip(*waiting))
+            raw[:] += np.bincount(cell, minlength=CELLS)
+            target[:] += np.bincount(cell[hit], minlength=CELLS)
+            waiting.clear()
+
         for batch in batches:
             hits = iter(batch.column("hit").to_numpy(zero_copy_only=False))
             for group in grouped(t.as_py() for t in batch.column("text")):
                 hit = np.array([next(hits) for _ in group])
                 doc, cell = cells_of(group)
-                raw += np.bincount(cell, minlength=CELLS)
-                target += np.bincount(cell[hit[doc]], minlength=CELLS)
+                waiting.append((cell.astype(np.int32), hit[doc]))
+                if sum(len(x[0]) for x in waiting) > 2 * CELLS:
+                    add()
+        if waiting:
+            add()
         found = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found.astype(np.int32), raw[found], target[found])], ["cell", "raw", "target"])
 
