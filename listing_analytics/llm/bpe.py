@@ -206,6 +206,11 @@ class Coder:
                     found[i] = ids
         return found
 
+    def forget(self) -> None:
+        """Empty the tables of chunks and pieces: a task's memory is not the next one's."""
+        self.table.clear()
+        self.pieces = {}
+
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         for group in grouped(texts):
             yield from self.table.encode_all(group)
@@ -227,6 +232,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
         for batch in batches:
             ids = pa.array([x.astype(np.int32) for x in coder.encode(batch.column("text").to_pylist())], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+        coder.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
@@ -263,5 +269,6 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str = public_t
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(decoded_hash, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        coder.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,7 +2,7 @@
 
 Such a tokenizer starts a new piece before each space that stands between two signs that are not white space, whatever
 comes before or after. A text may therefore be cut there, and the ids of a chunk looked up or found once. The table of
-chunks is emptied when it is full, which bounds a worker's memory and changes no result.
+chunks is emptied when it is full and at the end of a task, which bounds a worker's memory and changes no result.
 """
 
 from __future__ import annotations

@@ -197,6 +197,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
                     yield close()
         if pieces:
             yield close()
+        table.clear()
+        table.encode_chunks.known = {}
 
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     (

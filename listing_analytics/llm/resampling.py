@@ -62,10 +62,10 @@ def _powers(base: int, n: int) -> np.ndarray:
     """The first n + 1 powers; those of texts of ordinary length are kept."""
     found = _power_tables.get(base)
     if found is None or len(found) <= n:
-        found = np.full(max(n, 2 * GROUP_CHARS) + 1, base, np.uint64)
+        found = np.full(max(n, GROUP_CHARS + GROUP_CHARS // 4) + 1, base, np.uint64)
         found[0] = 1
         np.cumprod(found, out=found)
-        if n <= 2 * GROUP_CHARS:
+        if n <= GROUP_CHARS + GROUP_CHARS // 4:
             _power_tables[base] = found
     return found[:n + 1]
 
@@ -148,7 +148,7 @@ def log_ratios(docs: DataFrame, known: DataFrame, alpha: float = ALPHA, dead_zon
                 hit = np.array([next(hits) for _ in group])
                 doc, cell = cells_of(group)
                 waiting.append((cell.astype(np.int32), hit[doc]))
-                if sum(len(x[0]) for x in waiting) > 2 * CELLS:
+                if sum(len(x[0]) for x in waiting) > CELLS:
                     add()
         if waiting:
             add()
