@@ -11,9 +11,6 @@ from listing_analytics.functions import text
 from listing_analytics.operators.ordinals import with_ordinal
 from listing_analytics.sources.tables import quoted
 
-# Beyond this many ids a literal list is turned into a table.
-LITERAL_IDS = 1000
-
 # Beyond this many rows a first-n selection counts positions instead of collecting the rows in one task.
 TOP_ROWS = 100_000
 
@@ -89,9 +86,10 @@ def _id_table(df: DataFrame, ids: Iterable | DataFrame, column: str, unique: boo
         if not unique:
             return distinct_ids(ids, column)
         return ids.select(F.col(quoted(column if column in ids.columns else ids.columns[0])).alias(column))
-    values = [(value,) for value in dict.fromkeys(ids)]
-    kind = df.schema[column].dataType.simpleString()
-    return df.sparkSession.createDataFrame(values, f"{quoted(column)} {kind}")
+    # as text first: a list may spell ids otherwise than the column does
+    values = [(None if value is None else str(value),) for value in dict.fromkeys(ids)]
+    listed = df.sparkSession.createDataFrame(values, f"{quoted(column)} string")
+    return listed.select(F.col(quoted(column)).cast(df.schema[column].dataType).alias(column))
 
 
 def keep_ids(
@@ -103,10 +101,7 @@ def keep_ids(
     repeat. Rows of a hot id are split by adaptive execution.
     """
     require_columns(df, column)
-    if not isinstance(ids, DataFrame):
-        ids = list(ids)
-        if len(ids) <= LITERAL_IDS:
-            return df.where(F.col(quoted(column)).isin(ids))
+    ids = ids if isinstance(ids, DataFrame) else list(ids)
     return join_on(df, _id_table(df, ids, column, unique), column, "left_semi")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_analytics.operators import filters
 from listing_analytics.plans import photo_dataset as datasets, subset as subsets
@@ -96,9 +96,17 @@ def build_photo_dataset(
 
 
 def resize_photo_set(
-    spark: SparkSession, dataset_csv: str, photo_folder: str, size: int | tuple[int, int], out: str
+    spark: SparkSession, dataset_csv: str, photo_folder: str, size: int | tuple[int, int], out: str,
+    unreadable: str = "error",
 ) -> int:
-    """Write the letterboxed pictures of a dataset's photos as a table; the number of pictures."""
+    """Write the letterboxed pictures of a dataset's photos as a table; the number of pictures.
+
+    A picture that cannot be read ends the job; `unreadable="drop"` leaves it out of the table and the number.
+    """
+    if unreadable not in ("error", "drop"):
+        raise ValueError(f"unreadable must be 'error' or 'drop', not {unreadable!r}")
     dataset = tables.read_photo_dataset(spark, dataset_csv)
-    pictures = photos.read_pictures(spark, photo_folder, drop_invalid=True)
+    pictures = photos.read_pictures(spark, photo_folder, drop_invalid=unreadable == "drop")
+    named = F.concat(F.lit("cannot read picture "), "photo_file")
+    pictures = pictures.where(F.when(F.col("width") <= 0, F.raise_error(named).cast("boolean")).otherwise(True))
     return sinks.write_parquet(datasets.resize_photos(dataset, pictures, size), out)

@@ -86,7 +86,9 @@ def read_text_table(
         .option("maxCharsPerColumn", max_field_chars)
         .option("mode", mode)
     )
+    # every file's header is held against the first one's: columns in another order are an error, not other values
     table = reader.csv(path)
+    table = reader.schema(table.schema).option("enforceSchema", False).csv(path)
     if mode == "PERMISSIVE":
         with_raw = table.schema.add(CORRUPT, "string")
         table = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(with_raw).csv(path)

@@ -138,8 +138,10 @@ def test_stages_are_written_and_cleared(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))
     assert staging.stage(spark.range(3)).count() == 3
     assert (tmp_path / staging.ROOT).exists()
+    other = tmp_path / staging.ROOT / "another-application"
+    other.mkdir()
     staging.clear_stages(spark)
-    assert not (tmp_path / staging.ROOT).exists()
+    assert [p.name for p in (tmp_path / staging.ROOT).iterdir()] == [other.name]
 
 
 def optimized(df):
