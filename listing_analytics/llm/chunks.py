@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, repeat
+from operator import eq
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MAX_CHUNKS = 400_000
 MAX_CHUNK_CHARS = 256
@@ -18,19 +21,6 @@ MAX_CHUNK_CHARS = 256
 GROUP_CHARS = 1 << 20
 
 
-def cut(text: str) -> list[str]:
-    """The chunks of a text, spaces included; cuts only where neither neighbour of the space is white space."""
-    chunks, current = [], []
-    for i, part in enumerate(text.split(" ")):
-        if i and part and not part[0].isspace() and current[-1] and not current[-1][-1].isspace():
-            chunks.append(" ".join(current) if len(current) > 1 else current[0])
-            current = ["", part]
-        else:
-            current.append(part)
-    chunks.append(" ".join(current))
-    return chunks
-
-
 class ChunkTable:
     """Ids of chunks seen, one after the other in one array."""
 
@@ -63,46 +53,59 @@ class ChunkTable:
         self.n_chunks = last
         return list(range(first, last))
 
-    def _learn(self, chunks: dict[str, None], after_space: bool) -> dict[str, int]:
-        """Numbers of chunks that are not in the table; those of ordinary length enter it."""
-        names = list(chunks)
-        new = dict(zip(names, self._add([" " + c for c in names] if after_space else names)))
+    def _learn(self, chunks: list[str], after_space: bool) -> list[int]:
+        """Numbers of different chunks that are not in the table; those of ordinary length enter it."""
+        numbers = self._add([" " + c for c in chunks] if after_space else chunks)
         kept = self.after_space if after_space else self.whole
-        kept.update((c, n) for c, n in new.items() if len(c) <= MAX_CHUNK_CHARS)
-        return new
+        kept.update((c, n) for c, n in zip(chunks, numbers) if len(c) <= MAX_CHUNK_CHARS)
+        return numbers
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text; what several of them lack is found at once."""
+        """The ids of each text; words are told apart by Arrow, and what the table lacks is found at once."""
         if self.n_chunks > MAX_CHUNKS or self.starts[self.n_chunks] > 16 * MAX_CHUNKS:
             self.clear()
-        cuts, lack_after, lack_whole = [], {}, {}
-        for text in texts:
-            after = text.split(" ")
-            first = after.pop(0)
-            before = [first] if first else []  # else the text begins with a space
-            numbers = np.fromiter(map(self.after_space.get, after, repeat(-1)), np.int64, len(after))
-            missing = np.flatnonzero(numbers < 0).tolist()
-            if any(not (p := after[i]) or p[0].isspace() or p[-1].isspace() for i in missing) or before and before[0][-1].isspace():
-                before, after, numbers, missing = cut(text) if text else [], [], numbers[:0], []
-            lack_after.update((after[i], None) for i in missing)
-            lack_whole.update((c, None) for c in before if c not in self.whole)
-            cuts.append((before, after, numbers, missing))
-        new_after, new_whole = self._learn(lack_after, True), self._learn(lack_whole, False)
-        found = []
-        for before, after, numbers, missing in cuts:
-            for i in missing:
-                numbers[i] = new_after[after[i]]
-            if before:
-                first = [self.whole[c] if c in self.whole else new_whole[c] for c in before]
-                numbers = np.concatenate((np.array(first, np.int64), numbers))
-            if not len(numbers):
-                found.append(np.zeros(0, np.uint32))
-                continue
-            starts = self.starts[numbers]
-            lengths = self.starts[numbers + 1] - starts
-            ends = np.cumsum(lengths)
-            found.append(self.ids[np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)])
-        return found
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        begins = parts.offsets.to_numpy()[:-1]
+        words = parts.flatten().dictionary_encode()
+        codes, names = words.indices.to_numpy(), words.dictionary.to_pylist()
+        n = len(codes)
+        bare = np.fromiter(map(eq, names, map(str.strip, names)), bool, len(names))
+        bare &= np.fromiter(map(bool, names), bool, len(names))
+        heads, tails = bare.copy(), bare
+        for i in np.flatnonzero(~bare).tolist():
+            heads[i], tails[i] = (not names[i][0].isspace(), not names[i][-1].isspace()) if names[i] else (False, False)
+        heads, tails = heads[codes], tails[codes]
+        cuts = np.ones(n, bool)
+        cuts[1:] = heads[1:] & tails[:-1]
+        cuts[begins] = True
+        first = np.flatnonzero(cuts)
+        last = np.append(first[1:], n)
+        leads = np.zeros(n, bool)
+        leads[begins] = True
+        leads = leads[first]  # chunks that no space precedes
+        plain = ~leads & (last - first == 1)
+        numbers = np.zeros(len(first), np.int64)
+
+        used, place = np.unique(codes[first[plain]], return_inverse=True)
+        after = [names[c] for c in used.tolist()]
+        known = np.fromiter(map(self.after_space.get, after, repeat(-1)), np.int64, len(after))
+        lacking = np.flatnonzero(known < 0)
+        known[lacking] = self._learn([after[i] for i in lacking.tolist()], True)
+        numbers[plain] = known[place]
+
+        others = np.flatnonzero(~plain)
+        spans = zip(first[others].tolist(), last[others].tolist(), leads[others].tolist())
+        chunks = [("" if lead else " ") + " ".join([names[c] for c in codes[i:j].tolist()]) for i, j, lead in spans]
+        unknown = list(dict.fromkeys(c for c in chunks if c not in self.whole))
+        new = dict(zip(unknown, self._learn(unknown, False)))
+        numbers[others] = np.fromiter((new[c] if c in new else self.whole[c] for c in chunks), np.int64, len(chunks))
+
+        starts = self.starts[numbers]
+        lengths = self.starts[numbers + 1] - starts
+        ends = np.cumsum(lengths)
+        ids = self.ids[np.arange(ends[-1] if n else 0) + np.repeat(starts - ends + lengths, lengths)]
+        # a text's ids end where its last chunk's do
+        return np.split(ids, ends[np.flatnonzero(leads)[1:] - 1]) if n else []
 
 
 def grouped(texts: Iterable[str | None], chars: int = GROUP_CHARS) -> Iterator[list[str]]:

@@ -22,6 +22,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
@@ -144,13 +145,17 @@ class Pieces:
         known, model, signs = self.known, self.tokenizer.model.tokenize, self.signs
         if len(known) > MAX_PIECES:
             known.clear()
-        found = []
+        space, id_of, found = chr(signs[32]), attrgetter("id"), []
         for chunk in chunks:
+            if chunk[:1] == " " and chunk.isascii() and chunk[1:].isalpha():
+                # a space and letters: one piece, a byte a letter
+                found.append(list(map(id_of, model(space + chunk[1:]))))
+                continue
             ids: list[int] = []
             for piece in self.split(chunk):
                 own = known.get(piece)
                 if own is None:
-                    own = tuple(t.id for t in model(piece.encode().decode("latin-1").translate(signs)))
+                    own = tuple(map(id_of, model(piece.encode().decode("latin-1").translate(signs))))
                     if len(piece) <= MAX_CHUNK_CHARS:
                         known[piece] = own
                 ids += own
