@@ -14,7 +14,8 @@ first h - 1 symbols, deals the shards' symbols in that order into their buckets,
 symbols, with the places where it is not equal to its neighbour. Common prefixes and repeated intervals come from these
 places; no suffix is sorted again. Within an interval of equal `WIDTH`-byte strings the least id decides.
 
-*Where it is removed.* Occurrences meet their segments in a join that splits frequent ones, and their spans meet the texts.
+*Where it is removed.* Occurrences meet their segments in joins that split frequent ones, a slice of the grams at a time, and
+their spans meet the texts. What is written between is deleted once the spans are.
 
 Defined cases: a null text is empty. A null id is above all others and its rows are not above each other. Rows with
 equal ids do not remove from each other. Texts shorter than `WIDTH` bytes stay whole. Strings are told apart by their
@@ -23,12 +24,13 @@ bytes; equal segments are found by 128 bits, the hashes of the segment and of it
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from listing_analytics.staging import stage_path
 
@@ -40,6 +42,8 @@ BUCKET_BITS = 12
 SHARDS = 2
 #: Bytes of segments in a group that is merged, about.
 GROUP_BYTES = 1 << 18
+#: Occurrences meet their segments in so many joins, one after the other: the disk that shuffles need is that of one.
+SLICES = 4
 _NO_ID = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -134,13 +138,41 @@ def repeated_grams(docs: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits:
         docs.select("text").mapInArrow(collect, "bucket int, grams binary")
         .groupBy("bucket").applyInArrow(merge, "bucket int, bits binary").where("bits IS NOT NULL").toLocalIterator()
     )
+    return _table(rows, bucket_bits, table_bits)
+
+
+def _table(rows: Iterable[Row], bucket_bits: int, table_bits: int) -> np.ndarray:
+    """The bit table of its slices, one of fixed size for each bucket."""
     table = np.zeros(1 << (table_bits - 3), np.uint8)
-    size = 1 << (slice_bits - 3)
+    size = 1 << (table_bits - bucket_bits - 3)
     for row in rows:
         table[row.bucket * size:(row.bucket + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return table
 
 
+def gram_table(grams: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits: int = TABLE_BITS) -> np.ndarray:
+    """The bit table of the column `gram`."""
+    slice_bits = table_bits - bucket_bits
+
+    def fill(table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << slice_bits, bool)
+        bits[table.column("slot").to_numpy()] = True
+        packed = np.packbits(bits, bitorder="little").tobytes()
+        return pa.table({"bucket": table.column("bucket").slice(0, 1), "bits": pa.array([packed], pa.binary())})
+
+    slot = F.shiftrightunsigned("gram", 64 - table_bits)
+    slots = grams.select(
+        F.shiftright(slot, slice_bits).cast("int").alias("bucket"), slot.bitwiseAND(F.lit((1 << slice_bits) - 1)).alias("slot")
+    )
+    return _table(slots.groupBy("bucket").applyInArrow(fill, "bucket int, bits binary").toLocalIterator(), bucket_bits, table_bits)
+
+
+def in_table(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Which grams the bit table has."""
+    slot = grams >> np.uint64(64 - TABLE_BITS)
+    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def candidates(docs: DataFrame, table) -> DataFrame:
     """`id, row, gram, hash, start, places, segment` of the segments whose grams the broadcast bit table has.
 
@@ -163,8 +195,7 @@ def candidates(docs: DataFrame, table) -> DataFrame:
         for batch in batches:
             for doc_id, row, data in zip(batch.column("id").to_pylist(), batch.column("row").to_pylist(), _texts(batch)):
                 first, last, gram = segments(data)
-                slot = gram >> np.uint64(64 - TABLE_BITS)
-                hit = np.flatnonzero(bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+                hit = np.flatnonzero(in_table(bits, gram))
                 if not len(hit):
                     continue
                 content = data.tobytes()
@@ -173,7 +204,7 @@ def candidates(docs: DataFrame, table) -> DataFrame:
                 rows.append(np.full(len(hit), row, np.int32))
                 grams.append(gram[hit])
                 starts.append(first[hit].astype(np.int32))
-                if len(parts) > 100_000:
+                if len(parts) > 300_000:
                     yield out(ids, rows, grams, starts, parts)
                     ids, rows, grams, starts, parts = [], [], [], [], []
         if parts:
@@ -245,29 +276,50 @@ def least_ids(strings: list[bytes], ids: np.ndarray, width: int = WIDTH, n_shard
     return np.split(found[order], np.cumsum(np.maximum(lengths - width + 1, 0))[:-1])
 
 
-def compact(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder as small as may be."""
-    path = stage_path(df.sparkSession, name)
+def compact(df: DataFrame, path: str) -> DataFrame:
+    """Written to the shared folder as small as may be; the shuffles behind it are let go."""
+    spark = df.sparkSession
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    let_go(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished jobs, which it does once their plans have been collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def repeats(found: DataFrame) -> DataFrame:
+def repeats(found: DataFrame, folder: str) -> DataFrame:
     """`gram, hash, runs` of the distinct segments of `candidates`: up to which place in the segment which least id holds."""
     key = ["gram", "hash"]
     distinct = compact(
-        found.groupBy(*key).agg(F.max("places").alias("places"), F.min("id").alias("least"), F.max("id").alias("most")), "segments"
+        found.groupBy(*key).agg(F.max("places").alias("places"), F.min("id").alias("least"), F.max("id").alias("most")),
+        f"{folder}/segments",
     )
     # a gram of one segment in one document came through the table by chance
     grams = distinct.groupBy("gram").agg(F.count("*").alias("n"), F.min("least").alias("a"), F.max("most").alias("b")).where("a < b")
-    alone, several = grams.where("n = 1").select("gram"), grams.where("n > 1").select("gram")
-    whole = distinct.join(alone, "gram", "left_semi").select(
+    shared = compact(distinct.drop("most").join(grams.select("gram", "n"), "gram"), f"{folder}/shared")
+    whole = shared.where("n = 1").select(
         *key, F.array(F.struct(F.col("places").cast("int").alias("upto"), F.col("least").alias("id"))).alias("runs")
     )
-    several = distinct.join(several, "gram", "left_semi").select(*key, "least")
+    several = shared.where("n > 1").select(*key, "least")
     groups = 1 + (several.count() * 2 * WIDTH) // GROUP_BYTES
-    # several tasks may have written the bytes of a segment
-    several = several.join(found.where("segment IS NOT NULL").select(*key, "segment"), key).dropDuplicates(key)
+    table = found.sparkSession.sparkContext.broadcast(gram_table(several))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            yield batch.filter(pa.array(in_table(bits, batch.column("gram").to_numpy().view(np.uint64))))
+
+    # bytes are shuffled only where segments are compared; several tasks may have written those of a segment
+    content = found.where("segment IS NOT NULL").select(*key, "segment").mapInArrow(keep, "gram long, hash long, segment binary")
+    several = several.join(content, key).dropDuplicates(key)
 
     def merge(table: pa.Table) -> pa.Table:
         least = least_ids([x.as_py() for x in table.column("segment")], table.column("least").to_numpy())
@@ -280,7 +332,7 @@ def repeats(found: DataFrame) -> DataFrame:
 
     kind = "gram long, hash long, runs array<struct<upto:int,id:bigint>>"
     compared = several.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(groups))).groupBy("bucket").applyInArrow(merge, kind)
-    return whole.unionByName(compared)
+    return whole.unionByName(compact(compared, f"{folder}/compared"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -288,18 +340,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.hash("doc_id", "text").alias("row"), "text")
     table = docs.sparkSession.sparkContext.broadcast(repeated_grams(docs))
-    found = candidates(source, table)
-    occurrences = compact(found, "occurrences")
-    runs = repeats(occurrences)
-    spans = (
-        occurrences.select("id", "row", "gram", "hash", "start").join(runs, ["gram", "hash"])
-        .withColumn("ends", F.transform("runs", lambda r, i: F.struct(
-            (F.col("start") + F.when(i == 0, 0).otherwise(F.get("runs", i - 1)["upto"])).alias("lo"),
-            (F.col("start") + r["upto"] + WIDTH - 1).alias("hi"), (r["id"] < F.col("id")).alias("gone"),
-        )))
-        .select("id", "row", F.explode(F.filter("ends", lambda e: e["gone"])).alias("e"))
-        .groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("e.lo", "e.hi"))).alias("spans"))
-    )
+    spark, folder = docs.sparkSession, stage_path(docs.sparkSession, "repeats")
+    work, kept = f"{folder}/work", f"{folder}/spans"
+    occurrences = compact(candidates(source, table), f"{work}/occurrences")
+    runs = repeats(occurrences, work)
+    parts = []
+    for i in range(SLICES):
+        own = F.pmod("gram", F.lit(SLICES)) == i
+        ends = F.transform("runs", lambda r, at: F.struct(
+            (F.col("start") + F.when(at == 0, 0).otherwise(F.get("runs", at - 1)["upto"])).cast("long").alias("lo"),
+            (F.col("start") + r["upto"] + WIDTH - 1).cast("long").alias("hi"), (r["id"] < F.col("id")).alias("gone"),
+        ))
+        # a span in one number: its start, and its length of fewer than 256 bytes
+        spans = F.transform(F.filter(ends, lambda e: e["gone"]), lambda e: e["lo"] * 256 + e["hi"] - e["lo"])
+        joined = occurrences.where(own).select("id", "row", "gram", "hash", "start").join(runs.where(own), ["gram", "hash"])
+        parts.append(compact(joined.select("id", "row", F.explode(spans).alias("span")), f"{kept}-{i}"))
+    delete(spark, work)
+    spans = parts[0]
+    for part in parts[1:]:
+        spans = spans.unionByName(part)
+    spans = spans.groupBy("id", "row").agg(F.collect_set("span").alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
@@ -307,9 +367,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             out: list = [[] for _ in range(4)]
             for data, spans in zip(_texts(batch), batch.column("spans")):
                 edge = np.zeros(len(data) + 1, np.int32)
-                for span in spans.as_py() or ():
-                    edge[span["lo"]] += 1
-                    edge[span["hi"]] -= 1
+                own = np.array(spans.as_py() or (), np.int64)
+                np.add.at(edge, own >> 8, 1)
+                np.add.at(edge, (own >> 8) + (own & 255), -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 begins = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 for column, value in zip(out, (len(data), int(gone.sum()), begins, data[~gone].tobytes())):
