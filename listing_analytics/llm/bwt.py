@@ -24,8 +24,8 @@ bytes; equal segments are found by 128 bits, the hashes of the segment and of it
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,7 @@ SHARDS = 2
 GROUP_BYTES = 1 << 18
 #: Occurrences meet their segments in so many joins, one after the other: the disk that shuffles need is that of one.
 SLICES = 4
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _NO_ID = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -136,13 +137,14 @@ def repeated_grams(docs: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits:
 
     rows = (
         docs.select("text").mapInArrow(collect, "bucket int, grams binary")
-        .groupBy("bucket").applyInArrow(merge, "bucket int, bits binary").where("bits IS NOT NULL").toLocalIterator()
+        .groupBy("bucket").applyInArrow(merge, "bucket int, bits binary").where("bits IS NOT NULL")
     )
-    return _table(rows, bucket_bits, table_bits)
+    with shuffles_deleted(docs.sparkSession):
+        return _table(rows.collect(), bucket_bits, table_bits)
 
 
 def _table(rows: Iterable[Row], bucket_bits: int, table_bits: int) -> np.ndarray:
-    """The bit table of its slices, one of fixed size for each bucket."""
+    """The bit table of its slices: one of fixed size for each bucket, 16 MB in all."""
     table = np.zeros(1 << (table_bits - 3), np.uint8)
     size = 1 << (table_bits - bucket_bits - 3)
     for row in rows:
@@ -164,7 +166,8 @@ def gram_table(grams: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits: int
     slots = grams.select(
         F.shiftright(slot, slice_bits).cast("int").alias("bucket"), slot.bitwiseAND(F.lit((1 << slice_bits) - 1)).alias("slot")
     )
-    return _table(slots.groupBy("bucket").applyInArrow(fill, "bucket int, bits binary").toLocalIterator(), bucket_bits, table_bits)
+    with shuffles_deleted(grams.sparkSession):
+        return _table(slots.groupBy("bucket").applyInArrow(fill, "bucket int, bits binary").collect(), bucket_bits, table_bits)
 
 
 def in_table(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -277,17 +280,21 @@ def least_ids(strings: list[bytes], ids: np.ndarray, width: int = WIDTH, n_shard
 
 
 def compact(df: DataFrame, path: str) -> DataFrame:
-    """Written to the shared folder as small as may be; the shuffles behind it are let go."""
-    spark = df.sparkSession
-    df.write.option("compression", "zstd").parquet(path)
-    let_go(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    """Written to the shared folder as small as may be; the shuffles behind it are deleted."""
+    with shuffles_deleted(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def let_go(spark: SparkSession) -> None:
-    """Have Spark delete the shuffle files of finished jobs, which it does once their plans have been collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes a job's shuffle files as soon as its result is there; lost executors are made up for until then."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -305,6 +312,7 @@ def repeats(found: DataFrame, folder: str) -> DataFrame:
     # a gram of one segment in one document came through the table by chance
     grams = distinct.groupBy("gram").agg(F.count("*").alias("n"), F.min("least").alias("a"), F.max("most").alias("b")).where("a < b")
     shared = compact(distinct.drop("most").join(grams.select("gram", "n"), "gram"), f"{folder}/shared")
+    delete(found.sparkSession, f"{folder}/segments")
     whole = shared.where("n = 1").select(
         *key, F.array(F.struct(F.col("places").cast("int").alias("upto"), F.col("least").alias("id"))).alias("runs")
     )
