@@ -52,9 +52,20 @@ def attach_outer(facts: DataFrame, lookup: DataFrame, key: str, match_nulls: boo
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def align(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
-    """Truth and prediction of the rows both tables have; see `misaligned` for the others."""
-    return truth.join(predicted, key, "inner")
+def align(truth: DataFrame, predicted: DataFrame, key: str, unmatched: str = "error") -> DataFrame:
+    """Truth and prediction of each row; `key` is unique in both tables.
+
+    A row that only one table has raises an error when it is read (`unmatched="error"`), or is left out
+    (`"skip"`); `misaligned` lists them.
+    """
+    if unmatched not in ("error", "skip"):
+        raise ValueError(f"unmatched must be 'error' or 'skip': {unmatched!r}")
+    if unmatched == "skip":
+        return truth.join(predicted, key, "inner")
+    both = truth.withColumn("_truth", F.lit(True)).join(predicted.withColumn("_predicted", F.lit(True)), key, "full_outer")
+    alone = F.concat(F.lit("row in one table only: "), F.coalesce(F.col(quoted(key)).cast("string"), F.lit("null")))
+    paired = F.col("_truth") & F.col("_predicted")
+    return both.where(F.when(paired, True).otherwise(F.raise_error(alone).cast("boolean"))).drop("_truth", "_predicted")
 
 
 def misaligned(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
@@ -65,7 +76,7 @@ def misaligned(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
 
 
 def match_files(photos: DataFrame, files: DataFrame, extensions: list[str], unmatched: str = "error") -> DataFrame:
-    """The first file of each photo, extensions in the order given.
+    """The first file of each photo, extensions in the order given, then by `photo_file`.
 
     `files` has `stem, ext, photo_file` and any other columns; a photo's file is the one whose stem
     is its `photo_id`. A photo without file raises an error when the row is read
@@ -79,7 +90,7 @@ def match_files(photos: DataFrame, files: DataFrame, extensions: list[str], unma
         files.withColumn("_order", order)
         .where(F.col("_order") > 0)
         .groupBy(F.col("stem").alias("photo_id"))
-        .agg(F.min_by(F.struct(*others), "_order").alias("_file"))
+        .agg(F.min_by(F.struct(*others), F.struct("_order", "photo_file")).alias("_file"))
     )
     joined = photos.join(first, "photo_id", "inner" if unmatched == "skip" else "left")
     if unmatched == "error":

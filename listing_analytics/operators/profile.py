@@ -87,6 +87,8 @@ def class_sets(df: DataFrame, column: str, split: str = "split", left: str = "tr
 
 def require_same_classes(df: DataFrame, column: str, **options) -> None:
     """Raise when two splits do not hold the same classes."""
-    odd = class_sets(df, column, **options).where("matches = 0").limit(20).collect()
-    if odd:
-        raise ValueError(f"classes found in one split only: {[row[0] for row in odd]}")
+    odd = class_sets(df, column, **options).where("matches = 0")
+    total = odd.count()
+    if total:
+        first = [row[0] for row in odd.orderBy(quoted(column)).limit(20).collect()]
+        raise ValueError(f"{total} classes found in one split only, the first of them {first}")

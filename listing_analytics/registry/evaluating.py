@@ -152,18 +152,26 @@ STAR_CLASSES = f"""
            CAST(replace(cat, '_', '.') AS DOUBLE) AS stars
     FROM (SELECT DISTINCT replace(CAST(stars AS VARCHAR), '.', '_') AS cat FROM ({BUSINESS}) AS b)"""
 
+# Nine scores of a vector: its positions dealt round them and added up in order.
+FOLDED = """
+    list_transform(range(9), lambda c: list_reduce(list_transform(
+        range(c, len(embedding), 9), lambda i: embedding[i + 1]::DOUBLE), lambda a, b: a + b))"""
+
 RATED = f"""
     SELECT vec_id, 1.0::DOUBLE + (label % 9) / 2.0::DOUBLE AS stars, class_idx, p FROM (
         SELECT vec_id, class_idx, p, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, class_idx DESC) AS r
-        FROM ({SCORES}) AS s WHERE class_idx < 9)
+        FROM (SELECT vec_id, unnest(range(9)) AS class_idx, unnest({FOLDED}) AS p FROM embeddings) AS s)
     JOIN (SELECT vec_id AS v, label FROM embeddings) ON v = vec_id WHERE r = 1"""
 
 
 def scored(spark, sf):
-    """One probability per star class; the first nine vector positions stand for them."""
+    """One score per star class, from all positions of the vector."""
+    scores = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda c: F.aggregate(
+        F.filter("embedding", lambda x, i: i % 9 == c), F.lit(0.0), lambda total, x: total + x
+    ))
     return base.vectors(spark, sf).select(
         "vec_id", (F.lit(1.0) + F.col("label") % 9 / F.lit(2.0)).alias("stars"),
-        F.slice("embedding", 1, 9).alias("probability"),
+        scores.alias("probability"),
     )
 
 
@@ -179,9 +187,9 @@ def decode_categorical(spark, sf):
     return decoded.select("vec_id", "class_idx", "cat", "predicted")
 
 
-@query("decode_ordinal", """
-    SELECT vec_id, CAST(list_sum(list_transform(embedding[1:9],
-               lambda x: CAST(round_even(x::DOUBLE * 4 + 0.5::DOUBLE, 0) AS INT))) + 2 AS INT) AS predicted
+@query("decode_ordinal", f"""
+    SELECT vec_id, CAST(list_sum(list_transform({FOLDED},
+               lambda x: CAST(round_even(x * 4 + 0.5::DOUBLE, 0) AS INT))) + 2 AS INT) AS predicted
     FROM embeddings""")
 def decode_ordinal(spark, sf):
     outputs = scored(spark, sf).withColumn("probability", F.transform("probability", lambda x: x * 4 + F.lit(0.5)))

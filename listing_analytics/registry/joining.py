@@ -46,7 +46,7 @@ def photo_business_salted(spark, sf):
 def truth_prediction_join(spark, sf):
     truth = base.table(spark, sf, "documents").select("doc_id", (F.col("n_chars") > 1000).cast("int").alias("actual"))
     predicted = base.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("predicted"))
-    return joins.align(truth, predicted, "doc_id")
+    return joins.align(truth, predicted, "doc_id", unmatched="skip")
 
 
 @query("truth_prediction_misaligned", """

@@ -71,34 +71,32 @@ def image_attributes(spark, sf):
     return images.image_attributes(part.select("p_partkey", F.unhex(header).alias("content")))
 
 
-# A vector as pixels: values -1..1 become 0..255. Even labels make a 4 x 4 picture of three channels
-# from the first 48 positions, odd ones an 8 x 8 grey picture from all 64.
+# A vector's 64 positions as pixels: values -1..1 become 0..255. Even labels make a 4 x 4 picture of four
+# channels, odd ones an 8 x 8 grey picture.
 PIXEL = "CAST(floor((x + 1) * 127.5::DOUBLE) AS INT)"
 
 
-def pictures(spark, sf):
-    colour = F.col("label") % 2 == 0
-    used = F.when(colour, F.slice("embedding", 1, 48)).otherwise(F.col("embedding"))
+def pictures(spark, sf, grey=False):
+    colour = F.lit(False) if grey else F.col("label") % 2 == 0
     data = F.unhex(F.array_join(
-        F.transform(used, lambda x: F.lpad(F.hex(F.floor((x + 1) * 127.5).cast("bigint")), 2, "0")), ""
+        F.transform("embedding", lambda x: F.lpad(F.hex(F.floor((x + 1) * 127.5).cast("bigint")), 2, "0")), ""
     ))
     side = F.when(colour, 4).otherwise(8)
     return base.vectors(spark, sf).select(
         base.text("vec_id").alias("photo_file"), side.alias("width"), side.alias("height"),
-        F.when(colour, 3).otherwise(1).alias("channels"), data.alias("data"),
+        F.when(colour, 4).otherwise(1).alias("channels"), data.alias("data"),
     )
 
 
 PIXELS = f"""
     SELECT CAST(vec_id AS VARCHAR) AS photo_file, label % 2 = 0 AS colour, position, {PIXEL} AS v
     FROM (SELECT vec_id, label, unnest(range(len(embedding))) AS position, unnest(embedding::DOUBLE[]) AS x
-          FROM embeddings)
-    WHERE label % 2 = 1 OR position < 48"""
+          FROM embeddings)"""
 
 
 @query("image_channel_mean", f"""
-    SELECT photo_file, CAST(CASE WHEN colour THEN position % 3 ELSE 0 END AS INT) AS channel, round(avg(v), 6) AS mean
-    FROM ({PIXELS}) AS p GROUP BY photo_file, CASE WHEN colour THEN position % 3 ELSE 0 END""")
+    SELECT photo_file, CAST(CASE WHEN colour THEN position % 4 ELSE 0 END AS INT) AS channel, round(avg(v), 6) AS mean
+    FROM ({PIXELS}) AS p GROUP BY photo_file, CASE WHEN colour THEN position % 4 ELSE 0 END""")
 def image_channel_mean(spark, sf):
     return images.channel_means(pictures(spark, sf)).select(
         "photo_file", F.posexplode("means").alias("channel", "mean")
@@ -108,7 +106,7 @@ def image_channel_mean(spark, sf):
 @query("letterbox_images", f"""
     WITH g AS (
         SELECT photo_file, position // 8 AS y, position % 8 + 4 AS x, unnest([v, v, v]) AS v, unnest([0, 1, 2]) AS c
-        FROM ({PIXELS}) AS p WHERE NOT colour),
+        FROM ({PIXELS}) AS p),
       canvas AS (
         SELECT photo_file, unnest(range(16 * 8 * 3)) AS place FROM (SELECT DISTINCT photo_file FROM g))
     SELECT k.photo_file, 16 AS width, 8 AS height,
@@ -116,8 +114,8 @@ def image_channel_mean(spark, sf):
     FROM canvas AS k LEFT JOIN g ON g.photo_file = k.photo_file AND place = (y * 16 + x) * 3 + c
     GROUP BY k.photo_file""")
 def letterbox_images(spark, sf):
-    """Grey pictures on a wider canvas of their own height: they keep their size, so every pixel is known."""
-    boxed = images.letterbox_images(pictures(spark, sf).where("channels = 1"), (16, 8))
+    """All vectors as grey pictures on a wider canvas of their own height: they keep their size, so every pixel is known."""
+    boxed = images.letterbox_images(pictures(spark, sf, grey=True), (16, 8))
     return boxed.select("photo_file", "width", "height", F.hex("data").alias("pixels"))
 
 

@@ -56,10 +56,23 @@ def test_unknown_join_type(photos, business):
 def test_alignment(spark):
     truth = spark.createDataFrame([("a", 1), ("b", 2)], "photo_file string, actual int")
     guess = spark.createDataFrame([("b", 2), ("c", 3)], "photo_file string, predicted int")
-    assert [tuple(r) for r in joins.align(truth, guess, "photo_file").collect()] == [("b", 2, 2)]
+    assert [tuple(r) for r in joins.align(truth, guess, "photo_file", unmatched="skip").collect()] == [("b", 2, 2)]
+    for left, right in ((truth, guess), (truth, guess.where("predicted = 2")), (truth.where("actual = 2"), guess)):
+        with pytest.raises(Exception, match="row in one table only"):
+            joins.align(left, right, "photo_file").collect()
+    both = joins.align(truth.where("actual = 2"), guess.where("predicted = 2"), "photo_file")
+    assert both.columns == ["photo_file", "actual", "predicted"] and [tuple(r) for r in both.collect()] == [("b", 2, 2)]
+    with pytest.raises(ValueError, match="unmatched"):
+        joins.align(truth, guess, "photo_file", unmatched="drop")
     assert rows(joins.misaligned(truth, guess, "photo_file")) == [("predicted", "c"), ("truth", "a")]
 
 
+def test_files_of_one_name(spark):
+    photos = spark.createDataFrame([("a",)], "photo_id string")
+    files = spark.createDataFrame([("a", ".jpg", f"{d}/a.jpg") for d in "zxy"], "stem string, ext string, photo_file string")
+    assert [r.photo_file for r in joins.match_files(photos, files, [".jpg"]).collect()] == ["x/a.jpg"]
+
+
 def test_files_by_extension_order(spark):
     photos = spark.createDataFrame([("a",), ("b",), ("c",)], "photo_id string")
     files = spark.createDataFrame(
