@@ -3,8 +3,8 @@
 Pivots are drawn from the vectors (a bounded sample, by hash). A vector is represented by its `PREFIX` nearest pivots in
 order, and posted in the inverted files of its first `POSTED` pivots. A query opens the files of its nearest `probes`
 pivots, ranks what they hold by the Spearman footrule between its order of pivots and theirs (a pivot that is not in
-an order counts as just behind its end), and reranks the best `RERANK` of a file, and all that tie with the last of them
-up to the order of ids, by the exact inner product in double precision. Its best neighbours over all files follow.
+an order counts as just behind its end), and reranks the best `RERANK` of a file, and all that tie with the last of them,
+by the exact inner product in double precision. Its best neighbours over all files follow.
 
 Files longer than `FILE_BLOCK` entries, and queries of a file beyond `QUERY_BLOCK`, are cut into blocks by hash, each pair of
 blocks a task's group, so neither a popular pivot nor a cluster of equal vectors ends up in one task whole. The number of
@@ -70,7 +70,9 @@ def best(query_ids, queries, query_orders, ids, vectors, orders, n_pivots: int,
     found = []
     for i, query in enumerate(queries):
         other = by_id[ids[by_id] != query_ids[i]]
-        near = other[np.argsort(distance[i][other], kind="stable")[:RERANK]]
+        near = other
+        if len(other) > RERANK:
+            near = other[distance[i][other] <= np.partition(distance[i][other], RERANK - 1)[RERANK - 1]]
         score = (vectors[near] * query).sum(1)
         top = np.lexsort((ids[near], -score))[:k]
         found.append(pd.DataFrame({"query_id": query_ids[i], "vec_id": ids[near][top], "score": score[top]}))

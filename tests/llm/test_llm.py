@@ -224,6 +224,14 @@ def test_permutation_index(spark):
     assert permutation.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_permutation_index_scores_ties():
+    draw = np.random.default_rng(1)
+    copies = np.ones((1000, 4)) + draw.normal(scale=1e-6, size=(1000, 4))
+    order = np.tile(np.arange(4), (1000, 1))
+    found = permutation.best(np.array([-1]), np.ones((1, 4)), order[:1], np.arange(1000), copies, order, 4, 5)
+    assert found.vec_id.tolist() == np.argsort(-copies.sum(1))[:5].tolist()
+
+
 def test_preference_pairs(spark):
     kind = "pair_id long, turn long, role string, text string"
     chosen = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", None), (3, 0, None, "a"), (3, 0, None, "a")]
