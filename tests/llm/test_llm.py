@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -232,6 +233,19 @@ def test_permutation_index_scores_ties():
     assert found.vec_id.tolist() == np.argsort(-copies.sum(1))[:5].tolist()
 
 
+def test_permutation_index_finds_neighbours_of_many_vectors(spark):
+    vectors = np.random.default_rng(2).normal(size=(50_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(50_000), "embedding": list(vectors)})).repartition(8)
+    found = {(r.query_id, r.vec_id) for r in permutation.search(df, F.col("vec_id") % 1000 == 0, 10).collect()}
+    hits = 0
+    for q in range(0, 50_000, 1000):
+        score = vectors @ vectors[q]
+        score[q] = -np.inf
+        hits += sum((q, i) in found for i in np.argsort(-score)[:10].tolist())
+    assert hits >= 0.9 * 500
+
+
 def test_preference_pairs(spark):
     kind = "pair_id long, turn long, role string, text string"
     chosen = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", None), (3, 0, None, "a"), (3, 0, None, "a")]
