@@ -8,22 +8,23 @@ one long or repetitive document cannot make a word look typical. A cell's log ra
 
     log((target + alpha) / (raw * scale + alpha))
 
-with `scale` the median of target / raw over the cells, weighted by raw: the two models agree on ordinary words, and
-cells that few documents hold stay near zero. Ratios within a factor of `dead_zone` count as equal. A document's log
-weight is the sum over its distinct cells; documents are drawn without replacement, in proportion to
+with `scale` the median of target / raw over the cells, weighted by raw: the two models agree on ordinary words. A ratio
+counts as far as the labels bear it out: with d the deviance of the good among the labelled documents of the cell from
+their share in all labelled ones (about the square of a standard score), the ratio is multiplied by 1 - `evidence`^2 / d, and
+is zero where that or the direction disagrees. So a word of eight toxic documents and no good one counts in a small table
+too, and a word that only unlabelled documents hold counts in none. A document's log weight is the sum over its distinct cells; documents are drawn without replacement, in proportion to
 weight^(1 / temperature), as the k largest of log weight / temperature + Gumbel noise. The noise is a hash of the id and
 the seed, so a rerun draws the same rows. k is the number of documents whose log weight reaches the cut that best
-separates the labelled classes (or a number given by the caller).
+separates the labelled classes, good, bad and toxic (or a number given by the caller).
 
 Defined cases: a null or empty text has no cells and log weight 0. Labels that are null or contradict each other on a
 document are bad if any of them says so; label rows without an id, or with both flags null, are left out. No good
-labelled document: every weight is 0 and everything is kept. Rows that are equal in id and text are kept or rejected
+labelled document, or no other one: every weight is 0 and everything is kept. Rows that are equal in id and text are kept or rejected
 together. A null id is an id like any other for the noise, but never labelled.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,11 +40,12 @@ WORD_CELLS, PAIR_CELLS = 1 << 20, 1 << 19
 CELLS = WORD_CELLS + PAIR_CELLS
 #: Labelled documents that the models are fitted on, at most (about; drawn by the hash of the id). Bounds the broadcasts.
 MAX_LABELLED = 200_000
-ALPHA = 10.0
-DEAD_ZONE = 2.0
+ALPHA = 0.5
+#: Standard scores below which the labels of a cell's documents say nothing.
+EVIDENCE = 2.5
 TEMPERATURE = 0.05
 SEED = 17
-#: A lost share of good documents weighs as much as this many kept shares of bad ones.
+#: A lost share of good documents weighs as much as this many kept shares of bad, or of toxic, ones.
 GOOD_COUNTS = 3.0
 
 
@@ -115,12 +117,15 @@ def cells_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """`id, good` for about `max_labelled` labelled documents at most, those with the smallest hashes."""
+    """`id, good, toxic` for about `max_labelled` labelled documents at most, those with the smallest hashes."""
     known = (
         labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)")
         .groupBy("doc_id")
-        .agg((F.min(F.coalesce("quality", F.lit(1))) * (1 - F.max(F.coalesce("toxic", F.lit(0)))) > 0).alias("good"))
-        .select(F.col("doc_id").alias("id"), "good")
+        .agg(
+            (F.min(F.coalesce("quality", F.lit(1))) * (1 - F.max(F.coalesce("toxic", F.lit(0)))) > 0).alias("good"),
+            (F.max(F.coalesce("toxic", F.lit(0))) > 0).alias("toxic"),
+        )
+        .select(F.col("doc_id").alias("id"), "good", "toxic")
     )
     n = known.count()
     if n > max_labelled:
@@ -129,38 +134,45 @@ def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Data
     return known
 
 
-def log_ratios(docs: DataFrame, known: DataFrame, alpha: float = ALPHA, dead_zone: float = DEAD_ZONE) -> np.ndarray:
+def log_ratios(docs: DataFrame, known: DataFrame, alpha: float = ALPHA, evidence: float = EVIDENCE) -> np.ndarray:
     """The log ratio of every cell; `CELLS` numbers, whatever the corpus."""
-    good = known.where("good").select(F.col("id").alias("good_id"))
+    total = known.agg(F.sum(F.col("good").cast("int")).alias("good"), F.count("*").alias("n")).first()
+    if not total.n or not 0 < total.good < total.n:
+        return np.zeros(CELLS)
+    good_share = total.good / total.n
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
+        raw, target, known = (np.zeros(CELLS, np.int64) for _ in range(3))
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
         def add() -> None:
-            cell, hit = (np.concatenate(x) for x in zip(*waiting))
+            cell, label = (np.concatenate(x) for x in zip(*waiting))
             raw[:] += np.bincount(cell, minlength=CELLS)
-            target[:] += np.bincount(cell[hit], minlength=CELLS)
+            target[:] += np.bincount(cell[label == 2], minlength=CELLS)
+            known[:] += np.bincount(cell[label > 0], minlength=CELLS)
             waiting.clear()
 
         for batch in batches:
-            hits = iter(batch.column("hit").to_numpy(zero_copy_only=False))
+            labels = iter(batch.column("label").to_numpy())
             for group in grouped(t.as_py() for t in batch.column("text")):
-                hit = np.array([next(hits) for _ in group])
+                label = np.array([next(labels) for _ in group], np.int8)
                 doc, cell = cells_of(group)
-                waiting.append((cell.astype(np.int32), hit[doc]))
+                waiting.append((cell.astype(np.int32), label[doc]))
                 if sum(len(x[0]) for x in waiting) > CELLS:
                     add()
         if waiting:
             add()
         found = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found.astype(np.int32), raw[found], target[found])], ["cell", "raw", "target"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (found.astype(np.int32), raw[found], target[found], known[found])], ["cell", "raw", "target", "known"]
+        )
 
     counts = stage(
         docs.select("doc_id", "text")
-        .join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left")
-        .select("text", F.col("good_id").isNotNull().alias("hit"))
-        .mapInArrow(count, "cell int, raw long, target long")
-        .groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")),
+        .join(F.broadcast(known.select("id", "good")), F.col("doc_id") == F.col("id"), "left")
+        .select("text", F.when(F.col("good"), 2).when(~F.col("good"), 1).otherwise(0).cast("byte").alias("label"))
+        .mapInArrow(count, "cell int, raw long, target long, known long")
+        .groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("raw", "target", "known"))),
         "cells",
     )
     share = (
@@ -175,10 +187,16 @@ def log_ratios(docs: DataFrame, known: DataFrame, alpha: float = ALPHA, dead_zon
             break
     if scale == 0 and any(r.t for r in share):  # so few good documents that most cells have none
         scale = sum(r.t for r in share) / sum(r.weight for r in share)
+    def gain(n: Column, share: float) -> Column:
+        return F.when(n > 0, n * F.log(n / (F.col("known") * share))).otherwise(0.0)
+
+    deviance = 2 * (gain(F.col("target"), good_share) + gain(F.col("known") - F.col("target"), 1 - good_share))
     ratio = F.log((F.col("target") + alpha) / (F.col("raw") * F.lit(scale) + alpha))
+    agree = (ratio >= 0) == (F.col("target") >= F.col("known") * good_share)
+    ratio = ratio * (1 - evidence ** 2 / deviance)
     ratios = np.zeros(CELLS)
     if scale > 0:
-        for row in counts.select("cell", ratio.alias("ratio")).where(F.abs("ratio") >= math.log(dead_zone)).toLocalIterator():
+        for row in counts.where((deviance > evidence ** 2) & agree).select("cell", ratio.alias("ratio")).toLocalIterator():
             ratios[row.cell] = row.ratio
     return ratios
 
@@ -218,31 +236,34 @@ def kth_largest(df: DataFrame, column: str, k: int, bins: int = 4096) -> float |
 def best_cut(scored: DataFrame, known: DataFrame, steps: int = 4) -> float | None:
     """The log weight that best separates good from bad labelled documents, None without labels of both kinds.
 
-    Best: the largest sum of the share of good documents at or above, times `GOOD_COUNTS`, and the share of bad ones
-    below; of equal cuts the one in the middle.
+    Best: the largest sum of the share of good documents at or above, times `GOOD_COUNTS`, and the shares of toxic ones and
+    of other bad ones below; of equal cuts the one in the middle.
     """
     bins = (
         scored.join(known, scored["doc_id"] == known["id"])
         .groupBy(F.greatest(F.floor(F.col("log_weight") * steps), F.lit(-4000)).alias("bin"))
-        .agg(F.sum(F.col("good").cast("int")).alias("good"), F.sum((~F.col("good")).cast("int")).alias("bad"))
+        .agg(
+            F.sum(F.col("good").cast("int")).alias("good"), F.sum(F.col("toxic").cast("int")).alias("toxic"),
+            F.sum((~F.col("good") & ~F.col("toxic")).cast("int")).alias("bad"),
+        )
         .orderBy("bin").collect()
     )  # weights of -1000 and less share a bin
-    n_good, n_bad = sum(r.good for r in bins), sum(r.bad for r in bins)
-    if not n_good or not n_bad:
+    n_good, n_toxic, n_bad = (sum(r[c] for r in bins) for c in ("good", "toxic", "bad"))
+    if not n_good or not n_toxic + n_bad:
         return None
-    best, cuts, good_below, bad_below = -1.0, (0.0, 0.0), 0, 0
+    best, cuts, good_below, toxic_below, bad_below = -1.0, (0.0, 0.0), 0, 0, 0
     for before, row in zip([None, *bins], bins):
-        quality = GOOD_COUNTS * (n_good - good_below) / n_good + bad_below / n_bad
+        quality = GOOD_COUNTS * (n_good - good_below) / n_good + toxic_below / max(n_toxic, 1) + bad_below / max(n_bad, 1)
         if quality > best:
             best = quality
             cuts = ((before.bin + 1) / steps if before else row.bin / steps, row.bin / steps)
-        good_below, bad_below = good_below + row.good, bad_below + row.bad
+        good_below, toxic_below, bad_below = good_below + row.good, toxic_below + row.toxic, bad_below + row.bad
     return sum(cuts) / 2
 
 
 def resample(
     docs: DataFrame, labels: DataFrame, columns: list[str] | None = None, k: int | None = None,
-    temperature: float = TEMPERATURE, alpha: float = ALPHA, dead_zone: float = DEAD_ZONE,
+    temperature: float = TEMPERATURE, alpha: float = ALPHA, evidence: float = EVIDENCE,
     max_labelled: int = MAX_LABELLED, seed: int = SEED,
 ) -> DataFrame:
     """The drawn rows of `docs (doc_id, text, ...)`, with `columns` of them (all by default), `log_weight`, `sample_key`.
@@ -250,7 +271,7 @@ def resample(
     `labels (doc_id, quality, toxic)`: good is quality 1 and toxic 0. Texts are read twice, counted and scored whole.
     """
     known = stage(labelled_sample(labels, max_labelled), "labelled")
-    table = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, known, alpha, dead_zone))
+    table = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, known, alpha, evidence))
 
     keep = list(docs.columns if columns is None else columns)
     weight, key = free_name(docs, "log_weight"), free_name(docs, "sample_key")

@@ -268,3 +268,11 @@ def test_resampling(spark):
     assert resampling.resample(docs, labels, k=10).count() == 10
     assert resampling.resample(docs, labels.limit(0)).count() == docs.count()
     assert resampling.resample(docs.limit(0), labels).count() == 0
+
+
+def test_resampling_rejects_toxic_documents_of_small_tables(spark):
+    good = [(i, f"plain words number {i % 7} in a text", "a", "x") for i in range(80)]
+    toxic = [(1000 + i, f"plain words number {i % 7} in a nasty text", "a", "x") for i in range(12)]
+    docs = spark.createDataFrame(good + toxic, SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i >= 1000)) for i, *_ in good[::2] + toxic[:8]], "doc_id long, quality int, toxic int")
+    assert {r.doc_id for r in resampling.resample(docs, labels).collect()} == {i for i, *_ in good}
