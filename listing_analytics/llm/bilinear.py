@@ -1,10 +1,14 @@
 """Log-bilinear language model, trained in numpy with noise-contrastive estimation.
 
-The model knows `CLASSES` tokens: the most frequent words, the end, and "another word". The vector predicted for the next
+The model knows the most frequent words, the end, and "another word": `CLASSES` tokens, and more as the vocabulary grows
+(`PER_ROOT` times the square root of its size). The vector predicted for the next
 token is the sum of the two previous tokens' vectors, each through the matrix of its distance; a token's score is its inner
 product with that vector plus a bias. Training tells tokens of the corpus from noise drawn by frequency. Every task trains
-on its documents from the same start, and the parameters are averaged by tokens seen; all training text takes part.
-Scoring normalises: sums over all tokens for each pair of previous ones come from batched matrix products. Another word is
+on its documents from the same start, and the parameters are averaged by tokens seen; the average is the start of the next of
+`ROUNDS` rounds, so that what one part of the text teaches reaches the others. Partitions of few tokens are trained on in one
+task (`TASK_TOKENS`), as an average of many short trainings would stay near the start. All training text takes part in each.
+Scoring normalises: sums over all tokens come from batched matrix products, for each pair of previous ones in a table of up to
+`TABLE` tokens, for the pairs that occur beyond. Another word is
 spread over the vocabulary by its counts plus one, so any text has a probability.
 
 Counts of words come from the whole training text by aggregation. The `HEAD` most frequent words with their counts go to
@@ -29,13 +33,17 @@ from pyspark.sql import DataFrame, functions as F
 from listing_analytics.staging import stage
 
 CLASSES = 512
+PER_ROOT = 2.0
+TABLE = 4096
 WIDTH = 24
 NOISE, SHARED_NOISE = 10, 64
 HEAD = 200_000
 BATCH = 8192
 RATE = 0.1
 SEED = 5
-ROUNDS = 1
+ROUNDS = 3
+#: Tokens that a training task sees, at least: small partitions are trained on together.
+TASK_TOKENS = 4_000_000
 #: Tokens handled at once, at least; documents are not divided.
 TOKENS = 1 << 19
 END, OTHER = 0, 1  # of the model's tokens
@@ -77,9 +85,10 @@ def word_counts(docs: DataFrame, held_out=is_held_out) -> DataFrame:
 class Vocabulary:
     """The frequent words with their counts, and totals of all words."""
 
-    def __init__(self, counts: DataFrame, head: int = HEAD, classes: int = CLASSES):
+    def __init__(self, counts: DataFrame, head: int = HEAD, classes: int | None = None):
         total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
         self.n, self.v = total.n or 0, total.v
+        classes = classes or max(CLASSES, math.ceil(PER_ROOT * math.sqrt(self.v)))
         # bins of counts: 16 for each power of two, so at most about a thousand rows
         bins = counts.groupBy(F.floor(F.log2("n") * 16).alias("bin")).agg(F.count("*").alias("v"), F.min("n").alias("n")).orderBy(F.desc("bin")).collect()
         taken, least = 0, None
@@ -170,6 +179,21 @@ class Model:
             norm[at:at + 64] = np.log(ahead[at:at + 64].astype(np.float64) @ behind.T.astype(np.float64))
         return one + self.b, two, norm
 
+    def log_chance(self, first: np.ndarray, second: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Natural log of each token's probability after those one and two places before; sums for the pairs that occur."""
+        k = len(self.b)
+        pairs, place = np.unique(first.astype(np.int64) * k + second, return_inverse=True)
+        ahead, behind = (self.r @ self.c[i] for i in (0, 1))
+        norm = np.empty(len(pairs))
+        for at in range(0, len(pairs), 1024):
+            one, two = np.divmod(pairs[at:at + 1024], k)
+            norm[at:at + 1024] = np.log(np.exp((ahead[one] + behind[two]) @ self.q.T + self.b).sum(1, dtype=np.float64))
+        found = np.empty(len(token))
+        for at in range(0, len(token), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            found[part] = np.einsum("ij,ij->i", ahead[first[part]] + behind[second[part]], self.q[token[part]]) + self.b[token[part]]
+        return found - norm[place]
+
 
 def _add_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sums of rows with the same place."""
@@ -217,6 +241,8 @@ def train(docs: DataFrame, vocabulary, held_out=is_held_out, rounds: int = ROUND
     words = vocabulary.value
     model = Model(words.frequency)
     k = len(words.frequency)
+    # merges partitions, without a shuffle
+    docs = docs.select("doc_id", "text").coalesce(max(1, words.n // TASK_TOKENS))
     for _ in range(rounds):
         start = docs.sparkSession.sparkContext.broadcast(model.flat())
 
@@ -237,7 +263,7 @@ def train(docs: DataFrame, vocabulary, held_out=is_held_out, rounds: int = ROUND
                     [pa.array(np.arange(-1, len(flat)), pa.int32()), pa.array(np.concatenate(([float(seen)], flat)))], ["at", "value"]
                 )
 
-        rows = docs.select("doc_id", "text").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
+        rows = docs.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
         if rows:  # one for each parameter
             total = np.zeros(len(rows) - 1)
             for row in rows:
@@ -261,19 +287,21 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
     parameters = spark.sparkContext.broadcast(train(docs, vocabulary, held_out, rounds))
     kind = docs.schema["doc_id"].dataType.simpleString()
     end_log = math.log10(words.end_count + 1)
-    loaded: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary.value
-        if "tables" not in loaded:
-            model = Model(known.frequency)
-            model.load(parameters.value)
-            loaded["tables"] = model.tables()
-        one_table, two_table, norm = loaded["tables"]
+        model = Model(known.frequency)
+        model.load(parameters.value)
+        tables = model.tables() if known.classes <= TABLE else None
         place = 0
         for ids, texts, places, lengths, one, two, token in _groups(batches, known, lambda i: True):
             begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            sums = np.add.reduceat((one_table[one, token] + two_table[two, token] - norm[one, two]).astype(np.float64), begins)
+            if tables:
+                one_table, two_table, norm = tables
+                logs = (one_table[one, token] + two_table[two, token] - norm[one, two]).astype(np.float64)
+            else:
+                logs = model.log_chance(one, two, token)
+            sums = np.add.reduceat(logs, begins)
             others = np.add.reduceat((token == OTHER).astype(np.int64), begins)
             columns: dict = {c: [] for c in ("n_known", "log_sum", "other_log_sum", "rare")}
             for own, at in zip(texts, places):

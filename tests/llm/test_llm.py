@@ -207,6 +207,25 @@ def test_language_model(odd, empty):
     assert bilinear.score(empty).count() == 0
 
 
+def test_language_model_grows_and_learns_across_partitions(spark):
+    counts = spark.createDataFrame([(f"w{i}".encode(), 5) for i in range(90_000)], "word binary, n long")
+    assert bilinear.Vocabulary(counts).classes == 600
+    draw = random.Random(6)
+    pairs = [("red", "apple"), ("blue", "sky"), ("green", "leaf"), ("grey", "stone")]
+    texts = [(i, " ".join(w for _ in range(30) for w in draw.choice(pairs))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(40)
+    row = bilinear.score(docs).where("held_out").agg(F.sum("score").alias("own"), F.sum("base_score").alias("base")).first()
+    assert row.own > 0.95 * row.base
+
+
+def test_language_model_by_pairs():
+    random_, frequency = np.random.default_rng(4), np.array([0.5, 0.3, 0.2])
+    model = bilinear.Model(frequency)
+    one, two, token = (random_.integers(0, 3, 50) for _ in range(3))
+    first, second, norm = model.tables()
+    assert np.allclose(model.log_chance(one, two, token), first[one, token] + second[two, token] - norm[one, two], atol=1e-4)
+
+
 def test_permutation_index(spark):
     draw = np.random.default_rng(0)
     vectors = draw.normal(size=(300, 8)).astype(np.float32)
