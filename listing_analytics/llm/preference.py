@@ -61,20 +61,24 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, trained_role: str =
     )
 
 
-def swapped_replies(turns: DataFrame, partner: Column, role: str = TRAINED_ROLE) -> tuple[DataFrame, DataFrame]:
+def swapped_replies(
+    turns: DataFrame, partner: Column, role: str = TRAINED_ROLE, unpaired: str = "keep",
+) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected sides of `turns (conv_id, turn, role, text)`, for a table that has no judged pairs.
 
     Rejected is the conversation itself with the text of its last `role` turns (all with the highest number) replaced by
     that of the last one of conversation `partner`, a column of conv_id. Conversations without such a turn on both
-    sides are left out, and so are those with a null id.
+    sides, and those with a null id, have no rejected side; `unpaired="skip"` leaves them out.
     """
+    if unpaired not in ("keep", "skip"):
+        raise ValueError(f"unpaired is keep or skip, not {unpaired}")
     last = turns.where((F.col("role") == role) & F.col("turn").isNotNull()).groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
     own = last.select("conv_id", F.col("last.turn").alias("last_turn"), partner.alias("partner"))
-    reply = last.select(F.col("conv_id").alias("partner"), F.col("last.text").alias("reply"))
-    sides = turns.join(own.join(reply, "partner"), "conv_id")
+    reply = last.select(F.col("conv_id").alias("partner"), F.col("last.text").alias("reply"), F.lit(True).alias("paired"))
+    sides = turns.join(own.join(reply, "partner"), "conv_id", "left" if unpaired == "keep" else "inner")
     is_last = F.coalesce((F.col("turn") == F.col("last_turn")) & (F.col("role") == role), F.lit(False))
     text = F.when(is_last, F.col("reply")).otherwise(F.col("text"))
     return (
         sides.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text"),
-        sides.select(F.col("conv_id").alias("pair_id"), "turn", "role", text.alias("text")),
+        sides.where("paired").select(F.col("conv_id").alias("pair_id"), "turn", "role", text.alias("text")),
     )

@@ -101,9 +101,9 @@ PREFERENCE_SQL = """
 
 @query("op2_preference_pairs", PREFERENCE_SQL)
 def op2_preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Each conversation against itself with the last reply of its neighbour (ids 2k and 2k + 1)."""
+    """Each conversation against itself with the last reply of its neighbour (ids 2k and 2k + 1); only pairs, as in the SQL."""
     turns = table(spark, sf, "conversations")
-    chosen, rejected = preference.swapped_replies(turns, F.col("conv_id") + 1 - 2 * (F.col("conv_id") % 2))
+    chosen, rejected = preference.swapped_replies(turns, F.col("conv_id") + 1 - 2 * (F.col("conv_id") % 2), unpaired="skip")
 
     def as_text(mask: str):
         return F.array_join(F.transform(mask, lambda m: F.concat(F.when(m["trained"], "+").otherwise("-"), m["n_chars"])), " ")

@@ -277,6 +277,19 @@ def test_preference_pairs(spark):
     assert found[2].n_common == 0 and found[3].n_common == 2 and found[3].chosen == ""
 
 
+def test_swapped_replies_keep_conversations_without_partner(spark):
+    turns = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "assistant", None), (2, 0, "assistant", "alone"),
+             (3, 0, "user", "no reply"), (None, 0, "assistant", "null id")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    partner = F.col("conv_id") + 1 - 2 * (F.col("conv_id") % 2)
+    found = {r.pair_id: r for r in preference.preference_pairs(*preference.swapped_replies(df, partner)).collect()}
+    assert set(found) == {0, 1, 2, 3, None}
+    assert found[0].rejected == "<|assistant|>\n<|end|>\n" and found[1].rejected == "<|assistant|>\nyes<|end|>\n"
+    assert all(found[i].rejected == "" and found[i].chosen and found[i].n_common == 0 for i in (2, 3, None))
+    skipped = preference.preference_pairs(*preference.swapped_replies(df, partner, unpaired="skip"))
+    assert {r.pair_id for r in skipped.collect()} == {0, 1}
+
+
 def test_resampling(spark):
     good = [(i, f"plain words number {i % 7} in a text", "a", "x") for i in range(300)]
     bad = [(1000 + i, f"plain words awful{'x' * (i % 3)} awful in a text", "a", "x") for i in range(100)]
