@@ -19,7 +19,7 @@ their spans meet the texts. What is written between is deleted once the spans ar
 
 Defined cases: a null text is empty. A null id is above all others and its rows are not above each other. Rows with
 equal ids do not remove from each other. Texts shorter than `WIDTH` bytes stay whole. Strings are told apart by their
-bytes; equal segments are found by 128 bits, the hashes of the segment and of its gram.
+bytes; equal segments are found by 128 bits, the hashes of the segment and of its gram, rows of one id by 64 bits of their text.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from listing_analytics.staging import stage_path
 
@@ -204,7 +204,7 @@ def candidates(docs: DataFrame, table) -> DataFrame:
                 content = data.tobytes()
                 parts += [content[a:b] for a, b in zip(first[hit].tolist(), (last[hit] + WIDTH).tolist())]
                 ids.append(np.full(len(hit), doc_id))
-                rows.append(np.full(len(hit), row, np.int32))
+                rows.append(np.full(len(hit), row, np.int64))
                 grams.append(gram[hit])
                 starts.append(first[hit].astype(np.int32))
                 if len(parts) > 300_000:
@@ -213,7 +213,7 @@ def candidates(docs: DataFrame, table) -> DataFrame:
         if parts:
             yield out(ids, rows, grams, starts, parts)
 
-    return docs.mapInArrow(run, "id long, row int, gram long, hash long, start int, places short, segment binary")
+    return docs.mapInArrow(run, "id long, row long, gram long, hash long, start int, places short, segment binary")
 
 
 class Shard:
@@ -343,10 +343,15 @@ def repeats(found: DataFrame, folder: str) -> DataFrame:
     return whole.unionByName(compact(compared, f"{folder}/compared"))
 
 
+def _row() -> Column:
+    """Tells rows of one id apart, by 64 bits of the text."""
+    return F.xxhash64("text")
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """`doc_id, n_bytes, n_removed, n_spans, kept (binary)` of each row of `docs (doc_id, text, ...)`."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.hash("doc_id", "text").alias("row"), "text")
+    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), _row().alias("row"), "text")
     table = docs.sparkSession.sparkContext.broadcast(repeated_grams(docs))
     spark, folder = docs.sparkSession, stage_path(docs.sparkSession, "repeats")
     work, kept = f"{folder}/work", f"{folder}/spans"
@@ -386,7 +391,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary())], names
             )
 
-    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.hash("doc_id", "text").alias("row"))
+    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), _row().alias("row"))
     return keyed.join(spans, ["id", "row"], "left").select("doc_id", "text", "spans").mapInArrow(
         cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
     )

@@ -188,6 +188,19 @@ def test_repeats(spark, odd, empty):
     assert bwt.remove_repeats(empty).count() == 0
 
 
+def test_repeats_of_null_ids_with_one_short_hash(spark):
+    shared = "a passage of more than fifty bytes that two documents share, and no more"
+    texts = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, F.concat(F.col("id"), F.lit(" " + shared)))
+                                        .otherwise(F.concat(F.lit("own text "), F.col("id"))).alias("text"))
+    short = F.hash(F.lit(None).cast("long"), "text")
+    pairs = texts.groupBy(short).agg(F.collect_set("text").alias("t")).where("size(t) > 1").collect()
+    mixed = [r.t for r in pairs if len({shared in x for x in r.t}) == 2]
+    assert mixed
+    docs = [(1, shared, "a", "x")] + [(None, x, "a", "x") for t in mixed for x in t]
+    kept = {bytes(r.kept) for r in bwt.remove_repeats(spark.createDataFrame(docs, SCHEMA)).where("doc_id IS NULL").collect()}
+    assert kept == {x.replace(shared, "").encode() for t in mixed for x in t}
+
+
 def test_language_model(odd, empty):
     found = bilinear.score(odd).collect()
     train = [t for i, t, *_ in ODD if not bilinear.is_held_out(i)]
