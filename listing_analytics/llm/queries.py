@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_analytics.llm import (
-    bilinear, bpe, bwt, decontamination, directcodes, linespread, permutation, preference, resampling, simhash,
+    bilinear, bpe, bwt, decontamination, directcodes, linespread, permutation, piececounts, preference, resampling, simhash,
+    targetresampling, vafile,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,3 +177,107 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents")).select(
         "doc_id", hex16("fingerprint").alias("fingerprint"), "component_id"
     )
+
+
+def _clustering_sql(k: int = 40, rounds: int = 5) -> str:
+    """Rounds written out one after the other."""
+    def assign(name: str, centroids: str) -> str:
+        return f"""
+    {name} AS MATERIALIZED (
+        SELECT vec_id, any_value(v.x) AS x, min({{'d': apart, 'c': c}}) AS best
+        FROM (SELECT vec_id, v.x, c, CAST(list_sum(list_transform(list_zip(v.x, m.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS apart
+              FROM kept v, {centroids} m) v
+        GROUP BY vec_id),"""
+
+    steps = []
+    for i in range(rounds):
+        steps.append(assign(f"a{i}", f"m{i}") + f"""
+    m{i + 1} AS MATERIALIZED (
+        SELECT c, coalesce(moved, m{i}.x) AS x FROM m{i} LEFT JOIN (
+            SELECT c, list((total - ((total % n) + n) % n) // n ORDER BY place) AS moved FROM (
+                SELECT best.c AS c, place, CAST(sum(x[place]) AS BIGINT) AS total, count(*) AS n
+                FROM a{i}, range(1, 65) r(place) GROUP BY best.c, place) GROUP BY c) USING (c)),""")
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+        FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+    m0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, x FROM kept ORDER BY sha256('2:' || vec_id) LIMIT {k}),
+    {"".join(steps)}{assign("final", f"m{rounds}")}
+    hashes AS (SELECT c, sha256(array_to_string(x, ',')) AS centroid_sha256 FROM m{rounds})
+    SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.d AS distance,
+           CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+           centroid_sha256
+    FROM final JOIN hashes ON hashes.c = best.c"""
+
+
+CLUSTERING_SQL = _clustering_sql()
+
+
+@query("op11_vafile_clustering", CLUSTERING_SQL)
+def op11_vafile_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return vafile.cluster(table(spark, sf, "embeddings"))
+
+
+# CRC-32 is linear: each byte's part depends on itself and the number of bytes behind it, and parts join by exclusive or.
+TARGET_SQL = r"""
+    WITH RECURSIVE
+    bits(b, k, v) AS (
+        SELECT b, 0, b FROM range(256) r(b)
+        UNION ALL
+        SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+    step AS MATERIALIZED (SELECT b, v FROM bits WHERE k = 8),
+    texts AS (
+        SELECT true AS own, doc_id AS id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark),
+    words AS MATERIALIZED (
+        SELECT own, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+    grams AS MATERIALIZED (
+        SELECT own, id, array_to_string(w[i:i + n - 1], ' ') AS g
+        FROM (SELECT own, id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, range(1, 4) r(n))),
+    kinds AS MATERIALIZED (SELECT g, hex(encode(g)) AS bytes, octet_length(encode(g)) AS n FROM (SELECT DISTINCT g FROM grams)),
+    part(d, b, v) AS (
+        SELECT 0, b, v FROM step
+        UNION ALL
+        SELECT d + 1, part.b, xor(part.v >> 8, step.v) FROM part JOIN step ON step.b = part.v & 255
+        WHERE d + 1 < (SELECT max(n) FROM kinds)),
+    parts AS MATERIALIZED (SELECT d, format('{:02X}', b) AS b, v FROM part),
+    empty_part(n, v) AS (
+        SELECT 0, 4294967295
+        UNION ALL
+        SELECT n + 1, xor(empty_part.v >> 8, step.v) FROM empty_part JOIN step ON step.b = empty_part.v & 255
+        WHERE n < (SELECT max(n) FROM kinds)),
+    buckets AS MATERIALIZED (
+        SELECT g, xor(xor(bit_xor(parts.v), any_value(empty_part.v)), 4294967295) % 10000 AS bucket
+        FROM (SELECT g, n, unnest(range(n)) AS i, bytes FROM kinds) k
+        JOIN parts ON parts.d = n - 1 - i AND parts.b = substr(bytes, 2 * i + 1, 2)
+        JOIN empty_part ON empty_part.n = k.n
+        GROUP BY g),
+    counts AS (SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM grams JOIN buckets USING (g) GROUP BY bucket),
+    totals AS (SELECT CAST(sum(s) AS BIGINT) AS ss, CAST(sum(t) AS BIGINT) AS tt FROM counts),
+    gains AS (
+        SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (ss + 10000) AS DOUBLE) / CAST((s + 1) * (tt + 10000) AS DOUBLE))) AS BIGINT) AS gain
+        FROM counts, totals),
+    weights AS (
+        SELECT id, CAST(sum(gain) AS BIGINT) AS weight, count(*) AS n_features
+        FROM grams JOIN buckets USING (g) JOIN gains USING (bucket) WHERE own GROUP BY id),
+    scored AS (
+        SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+               coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+                   (CAST('0x' || substr(sha256('42:' || id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+        FROM words LEFT JOIN weights USING (id) WHERE own),
+    places AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank
+    FROM scored LEFT JOIN places USING (doc_id)"""
+
+
+@query("op12_target_resampling", TARGET_SQL)
+def op12_target_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    scores = targetresampling.scored(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return targetresampling.ranked(scores).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return piececounts.token_counts(table(spark, sf, "documents"))

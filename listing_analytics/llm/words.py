@@ -1,7 +1,12 @@
-"""Column functions shared by the text operators."""
+"""Column functions and batch helpers shared by the text operators."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -18,3 +23,14 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def byte_groups(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices whose texts in `column` have about `size` bytes; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
