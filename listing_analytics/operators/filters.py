@@ -8,12 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from listing_analytics.functions import text
-from listing_analytics.operators.ordinals import with_ordinal
+from listing_analytics.operators.selection import FirstRows
 from listing_analytics.sources.tables import quoted
 
-# Beyond this many rows a first-n selection counts positions instead of collecting the rows in one task.
-TOP_ROWS = 100_000
-
 # Table ids accepted for a pattern rule, and their other spellings.
 TABLE_IDS = ("biz", "biz_photo", "review", "tip", "checkin", "pin", "photo_set")
 TABLE_ALIASES = {"tips": "tip"}
@@ -117,13 +114,15 @@ def drop_ids(
 
 
 def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """The first `n` rows in the order of the unique columns `order`."""
+    """The first `n` rows in the order of the unique columns `order`; the rows come in no order.
+
+    The n-th key is found by counting, so rows are filtered and neither sorted nor shuffled. Where keys repeat, any rows of the last
+    one fill up to `n`.
+    """
     if n < 0:
         raise ValueError(f"row limit must not be negative: {n}")
     require_columns(df, *order)
-    if n <= TOP_ROWS:
-        return df.orderBy(*[quoted(c) for c in order]).limit(n)
-    return with_ordinal(df, *order, name="_position").where(F.col("_position") < n).drop("_position")
+    return FirstRows(df, n, *order).find().rows()
 
 
 @dataclass(frozen=True)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_analytics import schemas
 from listing_analytics.functions import text
+from listing_analytics.sources import csv_records
 
 CORRUPT = "_corrupt_record"
 
@@ -22,8 +23,9 @@ def with_file_order(df: DataFrame, name: str = "file_order") -> DataFrame:
     """Add a unique column that orders the rows as they stand in their files, files by path.
 
     `df` must come straight from a file scan. The order is a key for `first_rows` and
-    `with_ordinal`, not a position.
+    `with_ordinal`, not a position; later scans of the session give rows the same keys.
     """
+    csv_records.pin_splits(df.sparkSession)
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -72,22 +74,23 @@ def read_text_table(
 ) -> DataFrame:
     """A CSV file with a header, all columns as text under their header names.
 
-    `multi_line` allows line breaks inside quotes, at the price of one task per file;
-    without it a large file is split over many tasks. A row with fewer or more cells than the
+    A large file is split over many tasks. `multi_line` allows line breaks inside quotes, at the price
+    of a second pass over the lines; without it each line is a row. A row with fewer or more cells than the
     header is malformed and ends the read; `mode="PERMISSIVE"` keeps such rows and adds their raw
-    text as `_corrupt_record`. `file_order` names a column for `with_file_order`.
+    text as `_corrupt_record`. `file_order` names a column that orders the rows as they stand in their
+    files, files by path: a key for `first_rows` and `with_ordinal`, not a position.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("encoding", "utf-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("maxCharsPerColumn", max_field_chars)
-        .option("mode", mode)
-    )
+    if mode not in ("FAILFAST", "PERMISSIVE"):
+        raise ValueError(f"mode must be 'FAILFAST' or 'PERMISSIVE', not {mode!r}")
+    options = {
+        "encoding": "utf-8", "quote": '"', "escape": '"', "multiLine": str(multi_line).lower(),
+        "maxCharsPerColumn": str(max_field_chars), "mode": mode,
+    }
+    reader = spark.read.options(**options).option("header", True)
     # every file's header is held against the first one's: columns in another order are an error, not other values
     table = reader.csv(path)
+    if multi_line:
+        return _parsed(spark, path, table.columns, options, file_order)
     table = reader.schema(table.schema).option("enforceSchema", False).csv(path)
     if mode == "PERMISSIVE":
         with_raw = table.schema.add(CORRUPT, "string")
@@ -95,6 +98,26 @@ def read_text_table(
     return with_file_order(table, file_order) if file_order else table
 
 
+def _parsed(spark: SparkSession, path: str, names: list[str], options: dict[str, str], file_order: str | None) -> DataFrame:
+    """The rows of `read_records` under `names`; the first record of each file must be the header."""
+    cells = [f"{quoted(n)} STRING" for n in names]
+    if options["mode"] == "PERMISSIVE":
+        options = {**options, "columnNameOfCorruptRecord": CORRUPT}
+        cells.append(f"{CORRUPT} STRING")
+    records = csv_records.read_records(spark, path).withColumnRenamed("row", "place")
+    row = F.from_csv("text", ", ".join(cells), options)
+    # a repeated name carries its place, one that is empty is made from it
+    fits = [
+        F.lower(F.coalesce(F.col("row")[n], F.lit(""))).isin({n.lower(), n.lower().removesuffix(str(i)), "" if n == f"_c{i}" else n.lower()})
+        for i, n in enumerate(names)
+    ]
+    wrong = F.raise_error(F.concat(F.lit("a file has another header: "), "text")).cast("boolean")
+    is_row = F.when(F.col("top"), F.when(F.forall(F.array(*fits), lambda fit: fit), False).otherwise(wrong)).otherwise(True)
+    table = records.withColumn("row", row).where(is_row)
+    place = [F.struct("file", "block", F.col("place").alias("row")).alias(file_order)] if file_order else []
+    return table.select("row.*", *place)
+
+
 def read_entity(
     spark: SparkSession,
     path: str,

@@ -73,15 +73,14 @@ def test_first_rows_of_the_files(spark, folder):
     assert "file_order" not in got.columns
 
 
-@pytest.mark.parametrize("limit", [10, 100_000])
-def test_file_order_over_splits_and_files(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(filters, "TOP_ROWS", limit)  # below the rows wanted, positions are counted
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_file_order_over_splits_and_files(spark, tmp_path, multi_line):
     for part in range(3):
         body = "".join(f"{part * 2000 + i}\n" for i in range(2000))
         (tmp_path / f"part{part}.csv").write_text("n\n" + body)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
     try:
-        df = tables.read_text_table(spark, str(tmp_path), multi_line=False, file_order="at")
+        df = tables.read_text_table(spark, str(tmp_path), multi_line=multi_line, file_order="at")
         assert df.rdd.getNumPartitions() > 3
         assert [int(r.n) for r in df.orderBy("at").collect()] == list(range(6000))
         first = filters.first_rows(df, 2500, "at")

@@ -116,7 +116,43 @@ def test_limit_zero_and_negative(business):
         filters.first_rows(business, -1, "business_id")
 
 
-def test_large_limit_counts_positions(spark, monkeypatch):
-    monkeypatch.setattr(filters, "TOP_ROWS", 10)
-    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
-    assert sorted(r.k for r in filters.first_rows(df, 300, "k").collect()) == list(range(300))
+def test_first_rows_shuffle_no_rows(spark):
+    df = spark.range(300_000).select((F.col("id") * 7 % 300_000).alias("k"), F.lit("x" * 20).alias("text"))
+    for n in (1, 300, 100_000, 100_001, 299_999, 300_000, 400_000):
+        first = filters.first_rows(df, n, "k")
+        assert "Exchange" not in first._jdf.queryExecution().executedPlan().toString()
+        got = first.agg(F.count("*"), F.max("k"), F.countDistinct("k")).head()
+        assert tuple(got) == (min(n, 300_000), min(n, 300_000) - 1, min(n, 300_000))
+
+
+ORDERS = {
+    "whole": "cast(id * 7919 % 50000 as int)",
+    "text": "concat('k', id * 7919 % 50000)",
+    "time": "timestamp_micros(id * 7919 % 50000 * 1000001)",
+    "day": "date_add(date'1970-01-01', cast(id * 7919 % 50000 as int))",
+    "real": "cast(id * 7919 % 50000 as double) / 7",
+    "place": "named_struct('file', concat('f', id % 3), 'at', named_struct('block', id % 7, 'row', id))",
+    "amount": "cast(id * 7919 % 50000 as decimal(12,2))",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_first_rows_by_keys_of_any_kind(spark, name):
+    df = spark.range(50_000).select("id", F.expr(ORDERS[name]).alias("k"))
+    df = df.withColumn("k", F.when(F.col("id") % 5000 != 1, F.col("k"))).repartition(5).cache()
+    order = [r.id for r in df.orderBy("k", "id").select("id").collect()]
+    try:
+        for n in (0, 7, 10, 23_456):
+            assert sorted(r.id for r in filters.first_rows(df, n, "k", "id").collect()) == sorted(order[:n])
+    finally:
+        df.unpersist()
+
+
+@pytest.mark.parametrize("n", [1, 5_999, 6_000, 6_001, 13_000, 19_999])
+def test_first_rows_of_repeated_keys(spark, n):
+    # a third of the rows without a key, another third with the same one, NaN last
+    k = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 5.0).when(F.col("id") % 2 == 0, float("nan")).otherwise(F.col("id") / 1e4)
+    df = spark.range(20_000).select("id", k.alias("k"))
+    first = [r.k for r in filters.first_rows(df, n, "k").collect()]
+    order = [r.k for r in df.orderBy("k").limit(n).collect()]
+    assert sorted(map(str, first)) == sorted(map(str, order))

@@ -1,6 +1,8 @@
 """Readers and writers on files."""
 
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,17 +70,76 @@ def test_malformed_rows_fail_or_are_set_aside(spark, tmp_path):
     assert [r[tables.CORRUPT] for r in tables.bad_rows(kept).collect()] == ["b2,too,many"]
 
 
-def test_single_line_scan_splits(spark, tmp_path):
+def test_scans_split(spark, tmp_path):
     path = write(tmp_path / "r.csv", "business_id,stars\n" + "".join(f"b{i},{i % 5}\n" for i in range(5000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         assert tables.read_entity(spark, path, "review", multi_line=False).rdd.getNumPartitions() > 1
-        assert tables.read_entity(spark, path, "review").rdd.getNumPartitions() == 1
+        assert tables.read_entity(spark, path, "review").rdd.getNumPartitions() > 1
+        assert tables.read_entity(spark, path, "review").count() == 5000
         assert tables.read_entity(spark, path, "review", multi_line=False).count() == 5000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def _field(draw):
+    kind = draw.random()
+    if kind < 0.3:
+        return "".join(draw.choice("abc x5é") for _ in range(draw.randint(0, 8)))
+    if kind < 0.4:
+        return 'x" y' + draw.choice(['"', "", ' "q"'])  # quotes that open nothing
+    signs = ["a", "b", '""', "\n", ",", " ", "é", "\n\n", '""\n""']
+    return '"' + "".join(draw.choice(signs) for _ in range(draw.randint(0, 14))) + '"'
+
+
+@pytest.mark.parametrize("size", ["128m", "250", "5000"])
+def test_quoted_breaks_over_splits(spark, tmp_path, size):
+    draw = random.Random(3)
+    for part in range(2):
+        lines = [",".join([str(i), *(_field(draw) for _ in range(3))]) for i in range(120)]
+        lines.insert(60, 'long,"' + "line\n" * 900 + '",1,""""')
+        (tmp_path / f"{part}.csv").write_text('id,"t ""x""","u.v",w\n\n' + "\n".join(lines) + ("\n" if part else ""), encoding="utf-8")
+    whole = spark.read.options(header=True, quote='"', escape='"', multiLine=True, maxCharsPerColumn=-1).csv(str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    try:
+        table = tables.read_text_table(spark, str(tmp_path), file_order="at")
+        assert table.columns == ["id", 't "x"', "u.v", "w", "at"]
+        assert size == "128m" or table.rdd.getNumPartitions() > 5
+        expected = [str(i) for i in range(120)]
+        expected.insert(60, "long")
+        assert [r.id for r in table.orderBy("at").collect()] == 2 * expected
+        assert Counter(map(tuple, table.drop("at").collect())) == Counter(map(tuple, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_line_ends_and_bad_records(spark, tmp_path):
+    path = write(tmp_path / "t.csv", '\r\nid,text\r\n1,"a\r\nb"\r\n\r\n2,c\r\n')
+    # line ends between records go, those inside quotes are text
+    assert sorted(tuple(r) for r in tables.read_text_table(spark, path).collect()) == [("1", "a\r\nb"), ("2", "c")]
+    bad = write(tmp_path / "bad.csv", 'id,text\n1,"a\nb",c\n2,"ok\n"\n')
+    with pytest.raises(Exception, match="Malformed"):
+        tables.read_text_table(spark, bad).collect()
+    kept = tables.read_text_table(spark, bad, mode="PERMISSIVE")
+    assert [r[tables.CORRUPT] for r in tables.bad_rows(kept).collect()] == ['1,"a\nb",c']
+    with pytest.raises(ValueError, match="mode"):
+        tables.read_text_table(spark, bad, mode="DROPMALFORMED")
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    write(tmp_path / "d" / "0.csv", 'id,"te\nxt"\n1,"a\nb"\n')
+    write(tmp_path / "d" / "1.csv", '"id","te\nxt"\n2,c\n')
+    assert sorted(r.id for r in tables.read_text_table(spark, str(tmp_path / "d")).collect()) == ["1", "2"]
+    write(tmp_path / "d" / "2.csv", '"te\nxt",id\nc,3\n')
+    with pytest.raises(Exception, match="another header"):
+        tables.read_text_table(spark, str(tmp_path / "d")).collect()
+    empty = write(tmp_path / "empty.csv", "id,text\n")
+    assert tables.read_text_table(spark, empty).count() == 0
+
+
 def test_csv_round_trip_keeps_quotes_breaks_and_blanks(spark, tmp_path):
     rows = [("1", 'a "b", c', ""), ("2", "line\nbreak", None), ("3", " pad ", "x")]
     df = spark.createDataFrame(rows, "business_id string, text string, other string")
