@@ -2,8 +2,8 @@
 
 A file is read as lines, each split of it by its own task. What a line does to the state "inside a quoted field" has one of
 four forms (keep it, turn it, end outside, end inside), which two patterns tell without knowing the state the line is met
-in. The forms of a split's lines compose to one such form, so one row for each split, and a running composition over a file's
-splits, give the state in which every split begins. A second pass joins lines to records within a split; the ends of
+in. The forms of a split's lines compose to one such form, and those of a file's splits, one row each, to the state in
+which every split begins. A second pass joins lines to records within a split; the ends of
 records that cross from one split into the next are at most two rows a split and are joined by a grouping. The records go through
 Spark's own CSV parser (`from_csv`).
 """
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # What a line does to the state outside (0) or inside (1) of a quoted field.
@@ -54,26 +55,30 @@ def _split_key() -> Column:
     return F.xxhash64("file", "block")
 
 
-def split_starts(lines: DataFrame) -> DataFrame:
-    """`split, file, block, inside, ends_inside`: the state in which each split of the files begins and ends."""
-    form = line_form(F.col("value"))
-    fixed = F.when(form.isin(END_OUTSIDE, END_INSIDE), F.struct("row", (form == END_INSIDE).cast("int").alias("state")))
+def split_starts(lines: DataFrame) -> pa.Table:
+    """`split, file, block, inside, ends_inside`: the state in which each split of the files begins and ends.
+
+    The driver composes the forms of the splits, one short row for each.
+    """
+    lines = lines.select("file", "block", "row", line_form(F.col("value")).alias("form"))
+    form = F.col("form")
+    fixed = F.when(form.isin(END_OUTSIDE, END_INSIDE), F.struct("row", (form == END_INSIDE).alias("state")))
     # turning lines are few: they open or close a field over several lines
     split = lines.groupBy("file", "block").agg(
         F.max(fixed).alias("fixed"), F.collect_list(F.when(form == TURN, F.col("row"))).alias("turned")
     )
     turns = F.size(F.filter("turned", lambda r: r > F.coalesce(F.col("fixed.row"), F.lit(-1))))
-    split = split.select("file", "block", F.col("fixed.state").alias("state"), turns.alias("turns"))
-    order = Window.partitionBy("file").orderBy("block")
-    split = split.withColumn("total", F.sum("turns").over(order))
-    last = F.last(F.when(F.col("state").isNotNull(), F.struct("state", (F.col("total") - F.col("turns")).alias("before"))), True)
-    known = split.withColumn("last", last.over(order))
-    ends = F.pmod(F.coalesce("last.state", F.lit(0)) + F.col("total") - F.coalesce("last.before", F.lit(0)), F.lit(2)) == 1
-    known = known.withColumn("ends_inside", ends)
-    return known.select(
-        _split_key().alias("split"), "file", "block",
-        F.coalesce(F.lag("ends_inside").over(order), F.lit(False)).alias("inside"), "ends_inside",
-    )
+    found = split.select(
+        _split_key().alias("split"), "file", "block", F.col("fixed.state").alias("state"), (turns % 2 == 1).alias("turns")
+    ).toArrow().sort_by([("file", "ascending"), ("block", "ascending")])
+    file, inside, ends, now = None, [], [], False
+    for path, state, turned in zip(*(found.column(c).to_pylist() for c in ("file", "state", "turns"))):
+        if path != file:
+            file, now = path, False
+        inside.append(now)
+        now = (now if state is None else state) != turned
+        ends.append(now)
+    return found.select(["split", "file", "block"]).append_column("inside", pa.array(inside, pa.bool_())).append_column("ends_inside", pa.array(ends, pa.bool_()))
 
 
 def _states(forms: np.ndarray, first: bool) -> np.ndarray:
@@ -150,13 +155,15 @@ def _join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows([(split, open_row, "\n".join(open_lines), open_part, at_top)])
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """`text, top, file, block, row`: the records of the CSV files at `path`, blank ones left out.
+def read_records(spark: SparkSession, path: str, ordered: bool = True) -> DataFrame:
+    """`text, top` of the records of the CSV files at `path`, blank ones left out; `top` marks the first record of a file.
 
-    `top` marks the first record of a file; `file, block, row` is a unique key in the order of the files.
+    `ordered` adds `file, block, row`, a unique key in the order of the files. The states in which splits begin are found when
+    this is called, in a pass over the lines.
     """
     lines = _lines(spark, path)
-    starts = split_starts(lines)
+    found = split_starts(lines)
+    starts = spark.createDataFrame(found)
     changed = F.raise_error(F.lit("the files were split in another way while they were read; read them again"))
     known = (
         lines.withColumn("split", _split_key())
@@ -164,24 +171,23 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         .join(F.broadcast(starts.select("split", "inside", "ends_inside")), "split", "left")
         .withColumn("inside", F.when(F.col("inside").isNull(), changed.cast("boolean")).otherwise(F.col("inside")))
     )
+    crosses = pc.any(pc.or_(found.column("inside"), found.column("ends_inside"))).as_py()
 
-    def joined(table: DataFrame) -> DataFrame:
+    def joined(table: DataFrame, named: bool) -> DataFrame:
         columns = ["value", "split", "row", line_form(F.col("value")).alias("form"), "inside", (F.col("block") == 0).alias("top")]
-        return table.select(*columns).mapInArrow(_join_lines, _RECORD)
-
-    named = F.broadcast(starts.select("split", "file", "block"))
-    whole = joined(known).where(F.col("part") == WHOLE).join(named, "split").select("text", "top", "file", "block", "row")
-    # only splits that a record crosses into or out of have parts, two at most
-    parts = joined(known.where(F.col("inside") | F.col("ends_inside"))).where(F.col("part") != WHOLE).join(named, "split")
-    number = F.sum(F.when(F.col("part") == HEAD, 1).otherwise(0)).over(Window.partitionBy("file").orderBy("block", "row"))
-    pieces = F.array_sort(F.collect_list(F.struct("block", "row", "text")))
-    crossing = (
-        parts.withColumn("number", number).groupBy("file", "number")
-        .agg(pieces.alias("pieces"), F.bool_or("top").alias("top"))
-        .select(
+        records = table.select(*columns).mapInArrow(_join_lines, _RECORD)
+        return records.join(F.broadcast(starts.select("split", "file", "block")), "split") if named else records
+
+    columns = ["text", "top", "file", "block", "row"] if ordered else ["text", "top"]
+    records = joined(known, ordered).where(F.col("part") == WHOLE).select(*columns)
+    if crosses:
+        # a split has two parts at most, of the records that cross its ends
+        parts = joined(known.where(F.col("inside") | F.col("ends_inside")), True).where(F.col("part") != WHOLE)
+        number = F.sum(F.when(F.col("part") == HEAD, 1).otherwise(0)).over(Window.partitionBy("file").orderBy("block", "row"))
+        pieces = F.array_sort(F.collect_list(F.struct("block", "row", "text")))
+        crossing = parts.withColumn("number", number).groupBy("file", "number").agg(pieces.alias("pieces"), F.bool_or("top").alias("top"))
+        records = records.unionByName(crossing.select(
             F.array_join(F.transform("pieces", lambda p: p["text"]), "\n").alias("text"), "top", "file",
             F.col("pieces")[0]["block"].alias("block"), F.col("pieces")[0]["row"].alias("row"),
-        )
-    )
-    records = whole.unionByName(crossing).withColumn("text", F.regexp_replace("text", r"\r\z", ""))
-    return records.where(F.col("text") != "")
+        ).select(*columns))
+    return records.withColumn("text", F.regexp_replace("text", r"\r\z", "")).where(F.col("text") != "")

@@ -104,7 +104,7 @@ def _parsed(spark: SparkSession, path: str, names: list[str], options: dict[str,
     if options["mode"] == "PERMISSIVE":
         options = {**options, "columnNameOfCorruptRecord": CORRUPT}
         cells.append(f"{CORRUPT} STRING")
-    records = csv_records.read_records(spark, path).withColumnRenamed("row", "place")
+    records = csv_records.read_records(spark, path, file_order is not None).withColumnRenamed("row", "place")
     row = F.from_csv("text", ", ".join(cells), options)
     # a repeated name carries its place, one that is empty is made from it
     fits = [
