@@ -7,10 +7,13 @@ image source decodes it.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from listing_analytics.functions.sizes import canvas, letterbox
@@ -31,6 +34,11 @@ PIXELS = T.StructType([
     T.StructField("data", T.BinaryType()),
 ])
 
+SETS = T.StructType([PIXELS["photo_file"], T.StructField("size", T.StringType()), *PIXELS.fields[1:]])
+
+# Bytes of finished canvases that a task holds before it hands them on.
+PIECE_BYTES = 16 << 20
+
 # Picture modes by the number of JPEG components and by the PNG colour type.
 JPEG_MODES = {1: "L", 3: "RGB", 4: "CMYK"}
 PNG_MODES = {0: "L", 2: "RGB", 3: "P", 4: "LA", 6: "RGBA"}
@@ -137,32 +145,89 @@ def _resample(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
     return np.clip(np.rint(down), 0, 255).astype(np.uint8)
 
 
-def letterbox_images(pictures: DataFrame, size: int | tuple[int, int]) -> DataFrame:
-    """`photo_file, width, height, channels, data`: each picture on a black three-channel canvas.
+def letterbox_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pictures with their `boxes` to rows of `SETS`, in pieces of `PIECE_BYTES`."""
+    rows, held = [], 0
+
+    def piece() -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], SETS.names)
+
+    for batch in batches:
+        for i in range(len(batch)):
+            picture = SimpleNamespace(**batch.slice(i, 1).to_pylist()[0])
+            pixels = _pixels(picture)
+            colour = np.repeat(pixels[:, :, :1], 3, axis=2) if picture.channels < 3 else pixels[:, :, :3]
+            for box in picture.boxes:
+                wide, high = box["wide"], box["high"]
+                if rows and held + 3 * wide * high > PIECE_BYTES:
+                    yield piece()
+                    rows, held = [], 0
+                out = np.zeros((high, wide, 3), np.uint8)
+                if box["new_width"] > 0 and box["new_height"] > 0:
+                    out[box["top"]:box["top"] + box["new_height"], box["left"]:box["left"] + box["new_width"]] = _resample(
+                        colour, box["new_width"], box["new_height"]
+                    )
+                rows.append((picture.photo_file, f"{wide}x{high}", wide, high, 3, out.tobytes()))
+                held += out.size
+    yield piece()
 
-    Grey pictures are spread over the three channels and transparency is dropped. A side that
-    would shrink below one pixel leaves the canvas black.
+
+def letterbox_sets(pictures: DataFrame, sizes: Sequence[int | tuple[int, int]]) -> DataFrame:
+    """`photo_file, size, width, height, channels, data`: each picture on a black three-channel canvas of each size.
+
+    `size` is the canvas as text, such as `299x299`. All sizes come from one pass over the decoded pictures, and a task
+    holds `PIECE_BYTES` of finished canvases at most, or one. Grey pictures are spread over the three channels and transparency
+    is dropped. A side that would shrink below one pixel leaves the canvas black.
     """
-    wide, high = canvas(size)
-    planned = letterbox_plan(
-        pictures.select("photo_file", "width", "height", "channels", "data").where("width > 0 and height > 0"), size
+    if not sizes:
+        raise ValueError("at least one size is needed")
+    width, height = F.col("width"), F.col("height")
+    boxes = [
+        F.struct(F.lit(wide).alias("wide"), F.lit(high).alias("high"), *[c.alias(n) for n, c in letterbox(width, height, size)._asdict().items()])
+        for size in sizes for wide, high in [canvas(size)]
+    ]
+    planned = (
+        pictures.select("photo_file", "width", "height", "channels", "data").where("width > 0 and height > 0")
+        .withColumn("boxes", F.array(*boxes))
     )
+    return planned.mapInArrow(letterbox_pieces, SETS)
 
-    def resize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for row in batch.itertuples():
-                out = np.zeros((high, wide, 3), np.uint8)
-                if row.new_width > 0 and row.new_height > 0:
-                    pixels = _pixels(row)
-                    colour = np.repeat(pixels[:, :, :1], 3, axis=2) if row.channels < 3 else pixels[:, :, :3]
-                    out[row.top:row.top + row.new_height, row.left:row.left + row.new_width] = _resample(
-                        colour, row.new_width, row.new_height
-                    )
-                rows.append((row.photo_file, wide, high, 3, out.tobytes()))
-            yield pd.DataFrame(rows, columns=PIXELS.names)
 
-    return planned.mapInPandas(resize, PIXELS)
+def letterbox_images(pictures: DataFrame, size: int | tuple[int, int]) -> DataFrame:
+    """`letterbox_sets` for one size, without its name."""
+    return letterbox_sets(pictures, [size]).drop("size")
+
+
+def png(width: int, height: int, channels: int, data: bytes) -> bytes:
+    """The pixels of a picture (BGR(A) order, or grey) as a PNG file."""
+    pixels = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    if channels >= 3:
+        pixels = pixels[:, :, [2, 1, 0, 3][:channels]]
+    lines = np.zeros((height, 1 + width * channels), np.uint8)  # each line behind its filter, none
+    lines[:, 1:] = pixels.reshape(height, -1)
+    kind = next(k for k, mode in PNG_MODES.items() if mode == {1: "L", 2: "LA", 3: "RGB", 4: "RGBA"}[channels])
+
+    def chunk(name: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
+
+    header = struct.pack(">IIBBBBB", width, height, 8, kind, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(lines.tobytes())) + chunk(b"IEND", b"")
+
+
+def as_png(pictures: DataFrame) -> DataFrame:
+    """Replace `width, height, channels, data` by the encoded file as `content`; a file's extension becomes `.png`."""
+
+    @F.pandas_udf("binary")
+    def encode(width: pd.Series, height: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
+        return pd.Series([png(*row) for row in zip(width, height, channels, data)], dtype=object)
+
+    kept = [F.col(quoted(c)) for c in pictures.columns if c not in ("photo_file", "width", "height", "channels", "data")]
+    return pictures.select(
+        F.concat(F.regexp_replace("photo_file", r"\.[^.]*$", ""), F.lit(".png")).alias("photo_file"), *kept,
+        encode("width", "height", "channels", "data").alias("content"),
+    )
 
 
 def channel_means(pictures: DataFrame, key: str = "photo_file") -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from listing_analytics.operators import filters
+from listing_analytics.operators import filters, images
 from listing_analytics.plans import photo_dataset as datasets, subset as subsets
 from listing_analytics.sinks import tables as sinks
-from listing_analytics.sources import documents, lists, photos, tables
+from listing_analytics.sources import documents, lists, photo_folder as photo_folder_source, photos, tables
 
 FILE_ORDER = "file_order"
 
@@ -95,6 +95,14 @@ def build_photo_dataset(
     return datasets.write_photo_dataset(dataset, out, ids_out)
 
 
+def _sound_pictures(spark: SparkSession, photo_folder: str, unreadable: str) -> DataFrame:
+    if unreadable not in ("error", "drop"):
+        raise ValueError(f"unreadable must be 'error' or 'drop', not {unreadable!r}")
+    pictures = photos.read_pictures(spark, photo_folder, drop_invalid=unreadable == "drop")
+    named = F.concat(F.lit("cannot read picture "), "photo_file")
+    return pictures.where(F.when(F.col("width") <= 0, F.raise_error(named).cast("boolean")).otherwise(True))
+
+
 def resize_photo_set(
     spark: SparkSession, dataset_csv: str, photo_folder: str, size: int | tuple[int, int], out: str,
     unreadable: str = "error",
@@ -103,10 +111,21 @@ def resize_photo_set(
 
     A picture that cannot be read ends the job; `unreadable="drop"` leaves it out of the table and the number.
     """
-    if unreadable not in ("error", "drop"):
-        raise ValueError(f"unreadable must be 'error' or 'drop', not {unreadable!r}")
-    dataset = tables.read_photo_dataset(spark, dataset_csv)
-    pictures = photos.read_pictures(spark, photo_folder, drop_invalid=unreadable == "drop")
-    named = F.concat(F.lit("cannot read picture "), "photo_file")
-    pictures = pictures.where(F.when(F.col("width") <= 0, F.raise_error(named).cast("boolean")).otherwise(True))
-    return sinks.write_parquet(datasets.resize_photos(dataset, pictures, size), out)
+    pictures = _sound_pictures(spark, photo_folder, unreadable)
+    return sinks.write_parquet(datasets.resize_photos(tables.read_photo_dataset(spark, dataset_csv), pictures, size), out)
+
+
+def resize_photo_files(
+    spark: SparkSession, dataset_csv: str, photo_folder: str, sizes: Sequence[int | tuple[int, int]], out: str,
+    unreadable: str = "error",
+) -> int:
+    """Write the letterboxed pictures as PNG files, those of each size in a folder of its name; the number of files.
+
+    All sizes come from one pass over the pictures. The files are there when the whole job has succeeded, or none of them.
+    """
+    pictures = _sound_pictures(spark, photo_folder, unreadable)
+    boxed = datasets.resize_photo_sets(tables.read_photo_dataset(spark, dataset_csv), pictures, sizes)
+    files, written = images.as_png(boxed), Observation()
+    named = files.withColumn("photo_file", F.concat_ws("/", "size", "photo_file")).select("photo_file", "content")
+    photo_folder_source.write_folder(named.observe(written, F.count(F.lit(1)).alias("rows")), out)
+    return written.get["rows"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -99,5 +99,10 @@ def write_photo_dataset(dataset: DataFrame, path: str, ids_path: str | None = No
 
 def resize_photos(dataset: DataFrame, pictures: DataFrame, size: int | tuple[int, int]) -> DataFrame:
     """Letterboxed pictures of the dataset's photos; photos without a picture are left out."""
+    return resize_photo_sets(dataset, pictures, [size]).drop("size")
+
+
+def resize_photo_sets(dataset: DataFrame, pictures: DataFrame, sizes: Sequence[int | tuple[int, int]]) -> DataFrame:
+    """The same for several sizes, from one pass over the pictures."""
     wanted = filters.keep_ids(pictures, dataset.select(F.col("photo_id").alias("stem")), "stem")
-    return images.letterbox_images(wanted, size)
+    return images.letterbox_sets(wanted, sizes)

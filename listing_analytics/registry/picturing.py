@@ -124,3 +124,40 @@ def letterbox_resized(spark, sf):
     return images.letterbox_images(pictures(spark, sf), 6).select(
         "photo_file", "width", "height", "channels", F.hex("data").alias("pixels")
     )
+
+
+# Every part as a flat picture; a colour says whose it is.
+FLAT = """
+    SELECT CAST(p_partkey AS VARCHAR) AS photo_file, CAST(1 + p_size AS INT) AS width, CAST(1 + p_partkey % 37 AS INT) AS height,
+           printf('%02X%02X%02X', CAST(p_partkey % 256 AS INT), CAST(p_size AS INT), 255) AS colour
+    FROM part"""
+
+SET_SIZES = (6, (9, 4), 25)
+
+
+def flat_pictures(spark, sf):
+    width, height = (F.col("p_size") + 1).cast("int"), (F.col("p_partkey") % 37 + 1).cast("int")
+    pixel = F.concat(*[F.lpad(F.hex(c.cast("bigint")), 2, "0") for c in (F.col("p_partkey") % 256, F.col("p_size"), F.lit(255))])
+    return base.table(spark, sf, "part").select(
+        base.text("p_partkey").alias("photo_file"), width.alias("width"), height.alias("height"), F.lit(3).alias("channels"),
+        F.unhex(F.repeat(pixel, width * height)).alias("data"),
+    )
+
+
+def _flat_set(size) -> str:
+    wide, high = size if isinstance(size, tuple) else (size, size)
+    ratio = f"least({wide}.0::DOUBLE / width, {high}.0::DOUBLE / height)" if isinstance(size, tuple) else f"{size}.0::DOUBLE / greatest(width, height)"
+    return f"""
+    SELECT photo_file, '{wide}x{high}' AS size, {wide} AS width, {high} AS height,
+           repeat(blank, top) || repeat(repeat('000000', "left") || repeat(colour, w) || repeat('000000', {wide} - w - "left"), h)
+           || repeat(blank, {high} - h - top) AS pixels
+    FROM (SELECT photo_file, colour, blank, if(w = 0, 0, h) AS h, if(h = 0, 0, w) AS w, ({wide} - w) // 2 AS "left", ({high} - h) // 2 AS top
+          FROM (SELECT *, CAST(trunc(width * ({ratio})) AS INT) AS w, CAST(trunc(height * ({ratio})) AS INT) AS h, repeat('000000', {wide}) AS blank
+                FROM ({FLAT}) AS f))"""
+
+
+@query("letterbox_sizes", " UNION ALL ".join(map(_flat_set, SET_SIZES)))
+def letterbox_sizes(spark, sf):
+    """Flat pictures in three sizes from one pass: whatever is resampled, every pixel is known."""
+    boxed = images.letterbox_sets(flat_pictures(spark, sf), SET_SIZES)
+    return boxed.select("photo_file", "size", "width", "height", F.hex("data").alias("pixels"))

@@ -17,7 +17,7 @@ def con():
 
 
 # Queries with a Python step: pixels and header bytes.
-PYTHON_QUERIES = {"image_attributes", "image_channel_mean", "letterbox_images"}
+PYTHON_QUERIES = {"image_attributes", "image_channel_mean", "letterbox_images", "letterbox_sizes"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
