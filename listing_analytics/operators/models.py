@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -13,10 +14,10 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_analytics.functions import vectors
+from listing_analytics.operators.kernel import Projection, project
 from listing_analytics.sources.tables import quoted
 from listing_analytics.staging import stage, stage_path
 
@@ -123,23 +124,71 @@ def fourier_features(
     """Add random Fourier features of a Gaussian kernel: cosines of a seeded random projection."""
     inputs = df.agg(F.max(F.size(quoted(column)))).head()[0]
 
+    projection = Projection(inputs or 0, dims, scale, seed)
+
     @F.pandas_udf("array<double>")
-    def project(rows: pd.Series) -> pd.Series:
-        rng = np.random.default_rng(seed)
-        weights = rng.standard_normal((inputs, dims)) / scale
-        shift = rng.uniform(0, 2 * np.pi, dims)
-        if not len(rows):
-            return pd.Series([], dtype=object)
-        return pd.Series(list(np.cos(np.stack(rows.to_numpy()).astype(float) @ weights + shift)))
+    def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        drawn = projection.draw()  # once a task
+        for rows in batches:
+            yield pd.Series(list(project(np.stack(rows.to_numpy()).astype(float), drawn)) if len(rows) else [], dtype=object)
 
-    return df.withColumn(out, array_to_vector(project(vectors.doubles(F.col(quoted(column))))))
+    return df.withColumn(out, array_to_vector(features(vectors.doubles(F.col(quoted(column))))))
 
 
 @dataclass(frozen=True)
 class Trial:
+    """A setting, its score in the last round it was fitted in, and the number of rounds."""
+
     trial: int
     params: dict[str, str]
     score: float
+    rounds: int = 1
+
+
+@dataclass(frozen=True)
+class Halving:
+    """Fit all settings with `least` of the parameter `param` first, the best of them with `factor` times as much, up to `most`."""
+
+    param: str
+    least: int
+    most: int
+    factor: int = 3
+
+    def __post_init__(self):
+        if not (1 <= self.least <= self.most and self.factor >= 2):
+            raise ValueError("halving needs 1 <= least <= most and a factor of 2 at least")
+
+    def budgets(self) -> list[int]:
+        found = [self.least]
+        while found[-1] < self.most:
+            found.append(min(self.most, found[-1] * self.factor))
+        return found
+
+
+def draw_settings(space: Mapping[str, Sequence], n: int, seed: int = 1) -> list[dict[str, object]]:
+    """Up to `n` different settings of `space`, without building them all: numbers of settings are drawn and taken apart.
+
+    The values of a parameter are the digits of a number with one place for each parameter, the last one changing fastest.
+    """
+    values = {name: list(choices) for name, choices in space.items()}
+    total = math.prod(map(len, values.values()))
+    rng = random.Random(seed)
+    if total < 1 << 62:
+        numbers = rng.sample(range(total), min(n, total))
+    else:
+        numbers = []
+        while len(numbers) < n:
+            number = rng.randrange(total)
+            if number not in numbers:
+                numbers.append(number)
+    settings = []
+    for number in numbers:
+        digits = {}
+        for name in reversed(values):
+            number, digit = divmod(number, len(values[name]))
+            digits[name] = values[name][digit]
+        settings.append({name: digits[name] for name in values})
+    return settings
 
 
 def random_search(
@@ -151,31 +200,37 @@ def random_search(
     validation: float = 0.2,
     seed: int = 1,
     parallelism: int = 2,
+    halving: Halving | None = None,
 ) -> list[Trial]:
     """Fit randomly drawn settings of `space`; each score is the mean validation accuracy of its runs.
 
-    Every run splits the rows anew. Up to `parallelism` settings are fitted at a time. Trials are
-    returned best first.
+    Every run splits the rows anew. Up to `parallelism` settings are fitted at a time. With `halving` only the best of a round
+    are fitted again, with more. Trials are returned best first, those of later rounds before others.
     """
-    grid = ParamGridBuilder()
-    for name, values in space.items():
-        grid = grid.addGrid(estimator.getParam(name), list(values))
-    settings = grid.build()
-    drawn = random.Random(seed).sample(settings, min(max_trials, len(settings)))
+    drawn = draw_settings(space, max_trials, seed)
     evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
     rows = stage(train.select(FEATURES, LABEL), "search")
-    scores = np.zeros(len(drawn))
-    for run in range(executions):
-        fit_rows, check_rows = (part.persist() for part in rows.randomSplit([1 - validation, validation], seed + run))
-
-        def score(setting: dict) -> float:
-            return evaluator.evaluate(saved(estimator.fit(fit_rows, setting)).transform(check_rows))
-
-        with ThreadPool(parallelism) as pool:
-            scores += np.array(pool.map(score, drawn)) / executions
-        fit_rows.unpersist()
-        check_rows.unpersist()
-    trials = [
-        Trial(i, {p.name: str(v) for p, v in setting.items()}, float(scores[i])) for i, setting in enumerate(drawn)
-    ]
-    return sorted(trials, key=lambda t: (-t.score, t.trial))
+    scores, rounds = np.zeros(len(drawn)), np.zeros(len(drawn), int)
+
+    def fit_all(places: list[int], more: Mapping[str, object]) -> None:
+        scores[places] = 0
+        rounds[places] += 1
+        for run in range(executions):
+            fit_rows, check_rows = (part.persist() for part in rows.randomSplit([1 - validation, validation], seed + run))
+
+            def score(place: int) -> float:
+                setting = {estimator.getParam(name): value for name, value in {**drawn[place], **more}.items()}
+                return evaluator.evaluate(saved(estimator.fit(fit_rows, setting)).transform(check_rows))
+
+            with ThreadPool(parallelism) as pool:
+                scores[places] += np.array(pool.map(score, places)) / executions
+            fit_rows.unpersist()
+            check_rows.unpersist()
+
+    left = list(range(len(drawn)))
+    for i, budget in enumerate(halving.budgets() if halving else [None]):
+        if i:
+            left = sorted(left, key=lambda t: (-scores[t], t))[:max(1, len(left) // halving.factor)]
+        fit_all(left, {halving.param: budget} if halving else {})
+    trials = [Trial(i, {n: str(v) for n, v in setting.items()}, float(scores[i]), int(rounds[i])) for i, setting in enumerate(drawn)]
+    return sorted(trials, key=lambda t: (-t.rounds, -t.score, t.trial))

@@ -1,8 +1,8 @@
 """Models on the given vectors."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from listing_analytics.operators import evaluation, models, projections
+from listing_analytics.operators import evaluation, kernel, models, projections
 from listing_analytics.operators.splits import Split
 from listing_analytics.plans.training import TrainSpec, train_categorical
 from listing_analytics.registry import base
@@ -46,8 +46,9 @@ def train_ordinal(spark, sf):
 
 @query("rff_svm")
 def rff_svm(spark, sf):
-    data = models.fourier_features(rows(spark, sf).drop("features"), "embedding", dims=256, scale=10.0)
-    return pairs(models.predict(models.train_model(data, "svm", epochs=5), data))
+    """A kernel machine of the default size on all vectors."""
+    data = base.vectors(spark, sf)
+    return pairs(kernel.fit_kernel_machine(data, "embedding", "label").predict(data, "embedding"))
 
 
 @query("random_search")
@@ -61,6 +62,28 @@ def random_search(spark, sf):
     )
 
 
+@query("random_search_halving", """
+    SELECT 9 AS trials, 9 AS settings, true AS in_range, true AS in_order, 3 AS rounds, 1 AS finalists FROM (SELECT count(*) FROM embeddings)""")
+def random_search_halving(spark, sf):
+    """Nine settings of a space of a thousand million: those that stay behind are not fitted further."""
+    data = rows(spark, sf)
+    space = {
+        "regParam": [10.0 ** (-i / 100) for i in range(1000)], "elasticNetParam": [i / 1000 for i in range(1000)],
+        "tol": [10.0 ** (-3 - i / 200) for i in range(1000)],
+    }
+    trials = models.random_search(
+        data, models.softmax_head(data), space, max_trials=9, halving=models.Halving("maxIter", 2, 18), parallelism=4
+    )
+    found = spark.createDataFrame([(i, str(t.params), t.rounds, t.score) for i, t in enumerate(trials)], "place int, params string, rounds int, score double")
+    before = F.lag(F.struct("rounds", "score")).over(Window.orderBy("place"))
+    found = found.withColumn("ordered", F.coalesce(before >= F.struct("rounds", "score"), F.lit(True)))
+    return found.agg(
+        F.count("*").cast("int").alias("trials"), F.countDistinct("params").cast("int").alias("settings"),
+        F.bool_and(F.col("score").between(0, 1)).alias("in_range"), F.bool_and("ordered").alias("in_order"),
+        F.max("rounds").alias("rounds"), F.sum((F.col("rounds") == 3).cast("int")).cast("int").alias("finalists"),
+    )
+
+
 @query("train_evaluate")
 def train_evaluate(spark, sf):
     rated = projections.add_labels(base.vectors(spark, sf).select(

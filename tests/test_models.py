@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Observation, functions as F
 
-from listing_analytics.operators import evaluation, models, projections, vectors
+from listing_analytics.operators import evaluation, kernel, models, projections, vectors
 from listing_analytics.operators.splits import Split
 from listing_analytics.plans import training
 from listing_analytics.sinks import runs
@@ -135,3 +135,78 @@ def test_random_search(points):
     assert len(trials) == 4 and trials == sorted(trials, key=lambda t: (-t.score, t.trial))
     assert trials[0].score > 0.8 and set(trials[0].params) == set(space)
     assert len(models.random_search(data, models.softmax_head(data), {"regParam": [0.0]}, max_trials=9)) == 1
+
+
+def test_settings_are_drawn_from_large_spaces():
+    space = {f"p{i}": list(range(10)) for i in range(9)}
+    drawn = models.draw_settings(space, 50, seed=3)
+    assert len({tuple(s.values()) for s in drawn}) == 50 and all(list(s) == list(space) for s in drawn)
+    assert all(0 <= v < 10 for s in drawn for v in s.values())
+    small = models.draw_settings({"a": [1, 2], "b": "xyz"}, 99)
+    assert sorted((s["a"], s["b"]) for s in small) == [(a, b) for a in (1, 2) for b in "xyz"]
+    huge = models.draw_settings({f"p{i}": range(1000) for i in range(30)}, 5)
+    assert len({tuple(s.values()) for s in huge}) == 5
+    assert models.draw_settings({"a": []}, 3) == []
+
+
+def test_halving_stops_trials(points):
+    assert models.Halving("maxIter", 2, 18).budgets() == [2, 6, 18] and models.Halving("maxIter", 5, 5).budgets() == [5]
+    with pytest.raises(ValueError):
+        models.Halving("maxIter", 5, 2)
+    data = models.with_features(points, "v", "class")
+    space = {"regParam": [0.0, 0.001, 50.0, 100.0], "tol": [1e-6, 1e-4]}
+    trials = models.random_search(data, models.softmax_head(data), space, 6, halving=models.Halving("maxIter", 1, 8, 2))
+    assert [t.rounds for t in trials] == [4, 2, 2, 1, 1, 1] or [t.rounds for t in trials] == [4, 2, 1, 1, 1, 1]
+    assert trials[0].score > 0.9 and float(trials[0].params["regParam"]) < 50
+    assert trials == sorted(trials, key=lambda t: (-t.rounds, -t.score, t.trial))
+
+
+def test_kernel_machine_reaches_the_least_objective(points):
+    machine = kernel.fit_kernel_machine(points, "v", "class", dims=60, scale=2.0, l2=1e-2, tolerance=1e-7, iterations=300)
+    z = kernel.project(matrix(points), kernel.Projection(4, 60, 2.0, 1).draw())
+    y = np.array([i % 3 for i in range(150)])
+
+    def value(theta):
+        signs = np.where(y[:, None] == np.arange(3), 1.0, -1.0)
+        short = np.maximum(0, 1 - signs * (z @ theta[:-1] + theta[-1]))
+        return (short ** 2).mean() + 1e-2 * (theta[:-1] ** 2).sum()
+
+    assert np.isclose(machine.history[-1], value(machine.theta))
+    # Newton steps on the rows that fall short, class by class, as reference
+    best = np.zeros((61, 3))
+    ones = np.hstack([z, np.ones((150, 1))])
+    ridge = 1e-2 * np.diag([1.0] * 60 + [0.0])
+    for c in range(3):
+        sign = np.where(y == c, 1.0, -1.0)
+        for _ in range(100):
+            short = sign * (ones @ best[:, c]) < 1
+            a = ones[short].T @ ones[short] / (150 * 3) + ridge + 1e-12 * np.eye(61)
+            best[:, c] = np.linalg.solve(a, ones[short].T @ sign[short] / (150 * 3))
+    assert value(machine.theta) <= value(best) * (1 + 1e-4)
+    assert all(b <= a for a, b in zip(machine.history, machine.history[1:]))
+    out = machine.predict(points, "v")
+    assert evaluation.accuracy(out, "class", "prediction").head()[0] > 0.95
+    margins = np.array([r.margins for r in out.orderBy("id").collect()])
+    assert np.allclose(margins, z @ machine.theta[:-1] + machine.theta[-1])
+
+
+def test_kernel_machine_of_the_default_size(points):
+    machine = kernel.fit_kernel_machine(points, "v", "class", scale=2.0, iterations=15)
+    assert machine.theta.shape == (4097, 3) and machine.history[-1] < machine.history[0]
+    assert evaluation.accuracy(machine.predict(points, "v"), "class", "prediction").head()[0] > 0.95
+    again = kernel.fit_kernel_machine(points.repartition(7), "v", "class", scale=2.0, iterations=15)
+    assert np.isclose(machine.history[-1], again.history[-1], rtol=1e-6)
+    with pytest.raises(ValueError, match="no rows"):
+        kernel.fit_kernel_machine(points.limit(0), "v", "class")
+    with pytest.raises(ValueError, match="count from 0"):
+        kernel.fit_kernel_machine(points.withColumn("class", F.lit(-1)), "v", "class")
+    odd = points.withColumn("v", F.when(F.col("id") > 3, F.col("v"))).withColumn("class", F.when(F.col("id") != 5, F.col("class")))
+    assert kernel.fit_kernel_machine(odd, "v", "class", dims=8, iterations=3).theta.shape == (9, 3)
+
+
+def test_steps_of_limited_memory():
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(30, 30))
+    a, b = a @ a.T + np.eye(30), rng.normal(size=(30, 1))
+    found, history = kernel.minimise(lambda x: (float((0.5 * x.T @ a @ x - b.T @ x).item()), a @ x - b), np.zeros((30, 1)), 500, 1e-9)
+    assert np.allclose(found, np.linalg.solve(a, b), atol=1e-6) and len(history) < 300
