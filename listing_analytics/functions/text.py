@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -59,8 +59,9 @@ def nullable_bool(text: Column, strict: bool = False) -> Column:
 
 
 def params_text(params: Column, separator: str = ";") -> Column:
-    """A map of strings as `key=value` parts in key order."""
-    entries = F.array_sort(F.map_entries(params))
+    """A map of strings as `key=value` parts in key order; blanks before a key, which mark nested values, do not order."""
+    named = F.transform(F.map_entries(params), lambda e: F.struct(F.ltrim(e["key"]).alias("by"), e["key"], e["value"]))
+    entries = F.array_sort(named)
     return F.array_join(
         F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("None")))),
         separator,
@@ -72,6 +73,22 @@ def nested_params_text(params: Column, key: str, separator: str = ";") -> Column
     return F.concat(F.lit(f" {key}="), params_text(params, separator[0] * (len(separator) + 1)))
 
 
+def nested_params(params: Mapping, separator: str = ";") -> dict[str, str]:
+    """Parameters as a map of strings: a list or mapping becomes one text, and its key begins with a blank.
+
+    The parts of a nested value are joined by one separator more than those around it.
+    """
+    inner = separator[0] * (len(separator) + 1)
+
+    def as_text(value) -> str:
+        if isinstance(value, Mapping):
+            return inner.join(f"{k}={v}" for k, v in sorted(nested_params(value, inner).items(), key=lambda p: p[0].lstrip()))
+        return inner.join(map(str, value))
+
+    nested = (Mapping, list, tuple)
+    return {f" {k}" if isinstance(v, nested) else str(k): as_text(v) if isinstance(v, nested) else str(v) for k, v in params.items()}
+
+
 def invert_map(entries: Column) -> Column:
     """Keys and values exchanged; the values must be unique."""
     return F.map_from_arrays(F.map_values(entries), F.map_keys(entries))

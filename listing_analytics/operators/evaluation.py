@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from listing_analytics.functions import labels, predictions
 from listing_analytics.sources.tables import quoted
@@ -15,16 +15,24 @@ def _labelled(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.where(F.col(quoted(actual)).isNotNull() & F.col(quoted(predicted)).isNotNull())
 
 
-def pair_counts(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
+def pair_counts(
+    df: DataFrame, actual: str = "actual", predicted: str = "predicted", weight: str | None = None
+) -> DataFrame:
     """`actual, predicted, n`: at most one row per pair of labels, whatever the size of `df`.
 
+    `weight` names a column with the number of rows that a row stands for, here and below.
+
     Every pair counts at least 1. The filter on it keeps the count in each use of the result, also
     where only the labels are read, so that the uses share one shuffle and one scan of `df`.
     """
     pairs = _labelled(df, actual, predicted).groupBy(
         F.col(quoted(actual)).alias("actual"), F.col(quoted(predicted)).alias("predicted")
     )
-    return pairs.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0)
+    return pairs.agg(_rows(weight).alias("n")).where(F.col("n") > 0)
+
+
+def _rows(weight: str | None) -> Column:
+    return F.count(F.lit(1)) if weight is None else F.sum(quoted(weight))
 
 
 def _ratio(part, whole):
@@ -32,7 +40,8 @@ def _ratio(part, whole):
 
 
 def confusion_matrix(
-    df: DataFrame, actual: str = "actual", predicted: str = "predicted", normalize: str | None = None
+    df: DataFrame, actual: str = "actual", predicted: str = "predicted", normalize: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """`actual, predicted, value` for every pair of the labels seen on either side.
 
@@ -43,7 +52,7 @@ def confusion_matrix(
         normalize = None
     if normalize not in NORMALIZE:
         raise ValueError(f"normalize {normalize!r} not known; expected one of {NORMALIZE}")
-    counts = pair_counts(df, actual, predicted)
+    counts = pair_counts(df, actual, predicted, weight)
     # the grid is the result's own shape: labels squared
     seen = counts.agg(F.array_union(F.collect_set("actual"), F.collect_set("predicted")).alias("labels"))
     grid = seen.select(F.explode("labels").alias("actual"), "labels").select(
@@ -60,13 +69,18 @@ def confusion_matrix(
     return full.select("actual", "predicted", _ratio(F.col("n"), total).alias("value"))
 
 
-def accuracy(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
+def accuracy(
+    df: DataFrame, actual: str = "actual", predicted: str = "predicted", weight: str | None = None
+) -> DataFrame:
     """One row: share of rows whose prediction is right."""
-    right = F.count_if(F.col(quoted(actual)) == F.col(quoted(predicted)))
-    return _labelled(df, actual, predicted).agg(_ratio(right, F.count(F.lit(1))).alias("accuracy"))
+    one = F.lit(1) if weight is None else F.col(quoted(weight))
+    right = F.sum(F.when(F.col(quoted(actual)) == F.col(quoted(predicted)), one).otherwise(0))
+    return _labelled(df, actual, predicted).agg(_ratio(right, F.sum(one)).alias("accuracy"))
 
 
-def classification_report(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
+def classification_report(
+    df: DataFrame, actual: str = "actual", predicted: str = "predicted", weight: str | None = None
+) -> DataFrame:
     """`label, precision, recall, f1, support` per label; 0 where a ratio is undefined."""
     zero = F.lit(0).cast("bigint")
     right = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(zero)
@@ -77,7 +91,7 @@ def classification_report(df: DataFrame, actual: str = "actual", predicted: str
                  zero.alias("right")),
     )
     sums = (
-        pair_counts(df, actual, predicted)
+        pair_counts(df, actual, predicted, weight)
         .select(F.explode(sides).alias("s")).groupBy("s.label")
         .agg(*[F.sum(f"s.{c}").alias(c) for c in ("support", "guessed", "right")])
     )
@@ -90,7 +104,9 @@ def classification_report(df: DataFrame, actual: str = "actual", predicted: str
     )
 
 
-def report_averages(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
+def report_averages(
+    df: DataFrame, actual: str = "actual", predicted: str = "predicted", weight: str | None = None
+) -> DataFrame:
     """`average, precision, recall, f1, support`: unweighted (macro) and support-weighted means.
 
     The row `accuracy` holds the share of right predictions as its `f1` and nothing else; it is the
@@ -109,7 +125,7 @@ def report_averages(df: DataFrame, actual: str = "actual", predicted: str = "pre
         F.struct(F.lit("macro avg").alias("average"), *[F.avg(c).alias(c) for c in scores], total),
         F.struct(F.lit("weighted avg").alias("average"), *[weighted(c).alias(c) for c in scores], total),
     )
-    one = classification_report(df, actual, predicted).agg(rows.alias("rows"))
+    one = classification_report(df, actual, predicted, weight).agg(rows.alias("rows"))
     return one.select(F.explode("rows").alias("r")).select("r.*")
 
 

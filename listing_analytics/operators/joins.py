@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from listing_analytics.operators.filters import join_on, require_columns
+from listing_analytics.operators.ordinals import with_ordinal
 from listing_analytics.sources.tables import quoted
 
 MANY_TO_ONE = ("inner", "left", "left_semi", "left_anti")
@@ -68,6 +71,29 @@ def align(truth: DataFrame, predicted: DataFrame, key: str, unmatched: str = "er
     return both.where(F.when(paired, True).otherwise(F.raise_error(alone).cast("boolean"))).drop("_truth", "_predicted")
 
 
+def align_positions(
+    truth: DataFrame, predicted: DataFrame, key: str, order: Sequence[str], predicted_order: Sequence[str]
+) -> DataFrame:
+    """Truth and prediction of the rows at the same position, each table in its own order of unique columns.
+
+    Positions come from range partitions and their sizes. A position at which the tables have different values of `key`,
+    or that only one of them has, raises an error when it is read. Columns of both tables but `key` come from `truth`.
+    """
+    require_columns(truth, key, *order)
+    require_columns(predicted, key, *predicted_order)
+    left = with_ordinal(truth, *order, name="_position").withColumn("_truth", F.lit(True))
+    named = [F.col(quoted(c)) for c in predicted.columns if c == key or c in predicted_order or c not in truth.columns]
+    right = with_ordinal(predicted.select(*named), *predicted_order, name="_position")
+    extra = [c for c in right.columns if c not in truth.columns and c != "_position"]
+    right = right.select("_position", F.col(quoted(key)).alias("_key"), F.lit(True).alias("_predicted"), *[quoted(c) for c in extra])
+    both = left.join(right, "_position", "full_outer")
+    fits = F.col("_truth") & F.col("_predicted") & F.col(quoted(key)).eqNullSafe(F.col("_key"))
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("nothing")) for c in ("_position", quoted(key), "_key")]
+    wrong = F.concat(F.lit("unexpected row at position "), shown[0], F.lit(": truth "), shown[1], F.lit(", prediction "), shown[2])
+    aligned = both.where(F.when(fits, True).otherwise(F.raise_error(wrong).cast("boolean")))
+    return aligned.select(*[quoted(c) for c in truth.columns + extra])
+
+
 def misaligned(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
     """Keys that only one of the tables has, with the table that has them."""
     left = truth.join(predicted, key, "left_anti").select(quoted(key), F.lit("truth").alias("only_in"))

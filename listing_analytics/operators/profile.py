@@ -43,15 +43,16 @@ def distinct_of(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[quoted(c) for c in columns]).distinct()
 
 
-def frequency_table(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
+def frequency_table(df: DataFrame, column: str, by: str | None = None, weight: str | None = None) -> DataFrame:
     """Rows per value of `column` and their share of all, or of the rows of the same `by` group.
 
-    Missing values are not counted. The totals come from the counts, not from the table.
+    Missing values are not counted. The totals come from the counts, not from the table. `weight` names a column with
+    the number of rows that a row stands for.
     """
     keys = [c for c in (by, column) if c]
     require_columns(df, *keys)
     counts = df.where(F.col(quoted(column)).isNotNull()).groupBy(*[quoted(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("count")
+        (F.count(F.lit(1)) if weight is None else F.sum(quoted(weight))).alias("count")
     )
     if by is None:
         total: Column = counts.agg(F.sum("count")).scalar()

@@ -73,7 +73,7 @@ def extract_subset(
     return subsets.write_subset(subset, out, columnar)
 
 
-def build_photo_dataset(
+def build_photo_dataset_report(
     spark: SparkSession,
     business_csv: str,
     photo_csv: str,
@@ -85,14 +85,21 @@ def build_photo_dataset(
     extensions: tuple[str, ...] = EXTENSIONS,
     ids_out: str | None = None,
     **options,
-) -> int:
-    """Write the labelled photo dataset as CSV, and its business ids; the number of photos."""
+) -> datasets.DatasetReport:
+    """Write the labelled photo dataset as CSV, and its business ids; the report has the number of photos."""
     loaded = read_tables(spark, {"business": business_csv, "photo": photo_csv}, **options)
+    counts = Observation()
     dataset = datasets.photo_dataset(
         loaded["business"], loaded["photo"], photos.read_photos(spark, photo_folder, extensions).drop("path"),
         list(extensions), spec, ids=lists.read_lines(spark, id_list, spec.key) if id_list else None, sample=sample,
+        counts=counts,
     )
-    return datasets.write_photo_dataset(dataset, out, ids_out)
+    return datasets.write_with_report(dataset, counts, out, ids_out)
+
+
+def build_photo_dataset(*args, **options) -> int:
+    """`build_photo_dataset_report`, of which only the number of photos written is returned."""
+    return build_photo_dataset_report(*args, **options).written
 
 
 def _sound_pictures(spark: SparkSession, photo_folder: str, unreadable: str) -> DataFrame:

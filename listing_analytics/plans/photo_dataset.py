@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from listing_analytics import schemas
 from listing_analytics.operators import filters, images, joins, profile, projections, sampling
 from listing_analytics.plans.subset import SubsetSpec, business_extract, records_for_ids
 from listing_analytics.sinks import tables as sinks
+from listing_analytics.sources.tables import read_photo_dataset
 from listing_analytics.staging import stage
 
 ATTRIBUTE_NAMES = ("photo_file", "format", "width", "height", "mode")
@@ -31,15 +32,19 @@ def labelled_photos(
     spec: SubsetSpec = SubsetSpec(),
     ids: Iterable | DataFrame | None = None,
     sample: Sample | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Photos with the labels of their business; photos of an unknown business keep empty labels.
 
-    Businesses are selected under the rule id `biz_photo`, photos under `pin`.
+    Businesses are selected under the rule id `biz_photo`, photos under `pin`. `counts` counts the photos read and
+    those dropped without an id, while the result is read.
     """
     rated = projections.add_labels(business_extract(business, spec, ids=ids, rule_id="biz_photo")).select(
         spec.key, "stars", "stars_cat", "stars_ord", "stars_num"
     )
     # no photo, no row: this is the outer join without the businesses that have no photo
+    if counts is not None:
+        photos = photos.observe(counts, F.count(F.lit(1)).alias("loaded"), F.count_if(F.col("photo_id").isNull()).alias("dropped"))
     photos = photos.where(F.col("photo_id").isNotNull())
     if isinstance(ids, DataFrame) and spec.limit is None:
         # ids and ratings are joined first and written, as one table with a row per business. Photos
@@ -63,13 +68,14 @@ def photo_dataset(
     ids: Iterable | DataFrame | None = None,
     sample: Sample | None = None,
     unmatched: str = "error",
+    counts: Observation | None = None,
 ) -> DataFrame:
     """The dataset's columns for every labelled photo.
 
     `files` has `stem, ext, photo_file` and either the file's bytes as `content` or its attributes
     `format, width, height, mode`.
     """
-    labelled = labelled_photos(business, photos, spec, ids, sample)
+    labelled = labelled_photos(business, photos, spec, ids, sample, counts)
     if "content" in files.columns:
         # attributes are read where the file is, so that no file content is shuffled; files of other
         # photos may be unreadable
@@ -97,6 +103,28 @@ def write_photo_dataset(dataset: DataFrame, path: str, ids_path: str | None = No
     return rows
 
 
+@dataclass(frozen=True)
+class DatasetReport:
+    """Photos read, dropped without an id and written, and the profile of what was written."""
+
+    loaded: int
+    dropped: int
+    written: int
+    profile: dict[str, DataFrame]
+
+
+def write_with_report(dataset: DataFrame, counts: Observation, path: str, ids_path: str | None = None) -> DatasetReport:
+    """Write the dataset of `photo_dataset(..., counts=counts)`; its rows are made once.
+
+    The counts come from the writing job; ids and profile are read from the written table.
+    """
+    written = sinks.write_csv(dataset, path)
+    table = read_photo_dataset(dataset.sparkSession, path)
+    if ids_path is not None:
+        sinks.write_lines(profile.distinct_of(table, "business_id"), ids_path, "business_id")
+    return DatasetReport(counts.get["loaded"], counts.get["dropped"], written, dataset_profile(table))
+
+
 def resize_photos(dataset: DataFrame, pictures: DataFrame, size: int | tuple[int, int]) -> DataFrame:
     """Letterboxed pictures of the dataset's photos; photos without a picture are left out."""
     return resize_photo_sets(dataset, pictures, [size]).drop("size")

@@ -10,6 +10,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from listing_analytics.functions.text import nested_params
 from listing_analytics.operators import evaluation, models, profile, projections, splits
 from listing_analytics.plans.evaluate import DATASET_ORDER, Evaluation, evaluate_predictions, split_dataset
 from listing_analytics.sinks import runs, tables as sinks
@@ -97,7 +98,7 @@ def _records(
         epochs,
         "model string, run_id string, epoch int, accuracy double, val_accuracy double, loss double, val_loss double",
     )
-    params = {k: str(v) for k, v in {**spec.options, **spec.params}.items()}
+    params = nested_params({**spec.options, **spec.params})
     started = datetime.datetime.now(datetime.timezone.utc)
     row = spark.createDataFrame(
         [(run_id, spec.model, started, len(epochs), params, out, bool(out))],

@@ -208,6 +208,22 @@ def evaluation_confusion(spark, sf):
     return evaluate_predictions(scored(spark, sf), star_classes(spark, sf), normalize="all").confusion
 
 
+@query("evaluation_aligned", f"""
+    WITH d AS (SELECT CAST(trunc(r.stars * 2) AS INT) AS actual, CAST(trunc(c.stars * 2) AS INT) AS predicted
+               FROM ({RATED}) AS r JOIN ({STAR_CLASSES}) AS c ON r.class_idx = c.class_idx)
+    SELECT avg(CAST(actual = predicted AS DOUBLE)) AS accuracy FROM d""")
+def evaluation_aligned(spark, sf):
+    """Truth and predictions in tables of their own, held against each other position by position."""
+    both = scored(spark, sf).withColumn("photo_file", F.concat(base.text("vec_id"), F.lit(".jpg")))
+    truth = both.select("photo_file", "stars", "vec_id")
+    predicted = both.select("photo_file", "probability", (-F.col("vec_id")).alias("place"))
+    predicted = predicted.withColumn("place", F.col("place") * -3).repartition("photo_file")
+    report = evaluate_predictions(
+        predicted, star_classes(spark, sf), truth=truth, order=("vec_id",), predicted_order=("place",)
+    )
+    return report.accuracy
+
+
 def epochs(spark, sf):
     """A training history: users in the role of runs, their events of epochs."""
     return base.table(spark, sf, "events").select(

@@ -1,9 +1,9 @@
 """Joins and whole jobs."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from listing_analytics.operators import filters, joins, projections
-from listing_analytics.plans.photo_dataset import ATTRIBUTE_NAMES, Sample, labelled_photos, photo_dataset
+from listing_analytics.plans.photo_dataset import ATTRIBUTE_NAMES, Sample, labelled_photos, photo_dataset, write_with_report
 from listing_analytics.plans.subset import SubsetSpec, business_extract, run_subset
 from listing_analytics.registry import base
 from listing_analytics.registry.base import (
@@ -11,6 +11,7 @@ from listing_analytics.registry.base import (
 )
 from listing_analytics.registry.labelling import ORDINAL_LIST
 from listing_analytics.sinks.tables import text_safe
+from listing_analytics.staging import stage_path
 
 RING = f"SELECT * FROM ({BUSINESS}) AS b0 WHERE business_id IN ({RING_IDS})"
 
@@ -118,6 +119,31 @@ def photo_dataset_query(spark, sf):
     return text_safe(dataset)
 
 
+@query("photo_dataset_report", f"""
+    WITH p AS (SELECT * FROM ({PHOTOS}) AS p0 WHERE photo_id NOT LIKE '%7' AND business_id IN ({RING_IDS})),
+         d AS (SELECT f.* FROM p JOIN ({FILES}) AS f ON photo_id = stem)
+    SELECT (SELECT count(*) FROM ({PHOTOS}) AS p1) AS loaded, (SELECT count(*) FROM ({PHOTOS}) AS p2 WHERE photo_id LIKE '%7') AS dropped,
+           count(*) AS written, min(width) AS min_width, max(width) AS max_width, min(height) AS min_height,
+           max(height) AS max_height, count(DISTINCT width) AS widths, count(DISTINCT height) AS heights
+    FROM d""")
+def photo_dataset_report(spark, sf):
+    """Photos whose id ends in 7 have none; the counts come from the job that writes the dataset, the rest from what it wrote."""
+    files = projections.split_to_columns(
+        photo_files(spark, sf), "attributes", ATTRIBUTE_NAMES, {"width": "int", "height": "int"}
+    ).drop("attributes")
+    photos = base.photos(spark, sf).withColumn("photo_id", F.when(~F.col("photo_id").endswith("7"), F.col("photo_id")))
+    counts = Observation()
+    dataset = photo_dataset(base.business(spark, sf), photos, files, EXTENSIONS, ids=base.ring_ids(spark, sf), counts=counts)
+    report = write_with_report(dataset, counts, stage_path(spark, "dataset"))
+    spans = report.profile["range"]
+    return spans.select(
+        F.lit(report.loaded).cast("bigint").alias("loaded"), F.lit(report.dropped).cast("bigint").alias("dropped"),
+        F.lit(report.written).cast("bigint").alias("written"), *[F.col(f"{f}_{c}") for c in ("width", "height") for f in ("min", "max")],
+        F.lit(report.profile["width"].count()).cast("bigint").alias("widths"),
+        F.lit(report.profile["height"].count()).cast("bigint").alias("heights"),
+    )
+
+
 @query("photo_dataset_sampled", f"""
     WITH p AS (SELECT * FROM ({PHOTOS}) AS p0 WHERE business_id IN ({RING_IDS})),
          k AS (SELECT business_id, row_number() OVER (ORDER BY md5(business_id || '|1'), business_id) AS r,

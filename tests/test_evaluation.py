@@ -112,6 +112,48 @@ def test_categorical_evaluation(scored, classes):
         evaluate_predictions(scored)
 
 
+def test_predictions_are_held_against_their_truth(spark, scored, classes):
+    truth = scored.select("photo_file", "stars", F.ascii("photo_file").alias("at"))
+    predicted = scored.select("photo_file", "probability", F.lit("x").alias("stars"), (F.ascii("photo_file") * 2).alias("place"))
+    whole = evaluate_predictions(scored, classes)
+    for report in (
+        evaluate_predictions(predicted, classes, truth=truth),
+        evaluate_predictions(predicted, classes, truth=truth, order=("at",), predicted_order=("place",)),
+    ):
+        for name in ("frequency", "range", "confusion", "accuracy", "report", "averages"):
+            assert getattr(report, name).exceptAll(getattr(whole, name)).count() == 0
+    shifted = predicted.withColumn("place", F.when(F.col("photo_file") == "a", 999).otherwise(F.col("place")))
+    for wrong in (shifted, predicted.where("photo_file <> 'c'"), predicted.unionByName(predicted.withColumns({"photo_file": F.lit("z"), "place": F.col("place") + 500}))):
+        with pytest.raises(Exception, match="unexpected row at position"):
+            evaluate_predictions(wrong, classes, truth=truth, order=("at",), predicted_order=("place",))
+    with pytest.raises(Exception, match="row in one table only"):
+        evaluate_predictions(predicted.where("photo_file <> 'b'"), classes, truth=truth)
+    with pytest.raises(ValueError, match="order of both"):
+        evaluate_predictions(predicted, classes, truth=truth, order=("at",))
+
+
+def test_reports_follow_from_one_table_of_counts(spark, scored, classes):
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(name):
+        reads.add(1)
+        return name
+
+    report = evaluate_predictions(scored.withColumn("photo_file", read.asNondeterministic()("photo_file")).where("photo_file is not null"), classes)
+    for frame in (report.frequency, report.range, report.confusion, report.accuracy, report.report, report.averages):
+        frame.collect()
+    assert reads.value == scored.count()
+
+
+def test_empty_verification_split_warns(spark):
+    from listing_analytics.operators.splits import Split
+
+    one = spark.createDataFrame([("b", "p")], "business_id string, photo_id string")
+    with pytest.warns(UserWarning, match="verification split"):
+        split_dataset(one, Split(0.5, 0.0))
+
+
 def test_ordinal_outputs_round_half_to_even(spark):
     df = spark.createDataFrame([([0.5, 1.5, 0.49, 0.51],), ([1.0] * 8,)], "probability array<double>")
     assert sorted(r.predicted for r in evaluation.decode_ordinal(df, base=1).collect()) == [4, 9]

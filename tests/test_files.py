@@ -4,6 +4,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from listing_analytics.operators import filters
 from listing_analytics.plans import files, photo_dataset, subset
@@ -131,6 +132,22 @@ def test_unreadable_files_matter_only_to_their_photos(spark, folder, tmp_path):
         build("missing")
 
 
+def test_dataset_report(spark, folder, tmp_path):
+    with open(folder / "photo.csv", "a") as f:
+        f.write(",b1,food\n,b1,food\n")
+    try:
+        report = files.build_photo_dataset_report(
+            spark, str(folder / "business.csv"), str(folder / "photo.csv"), str(folder / "photos"), str(tmp_path / "set"),
+            sample=photo_dataset.Sample(0.5), ids_out=str(tmp_path / "ids"),
+        )
+    finally:
+        lines = (folder / "photo.csv").read_text().splitlines(keepends=True)
+        (folder / "photo.csv").write_text("".join(lines[:-2]))
+    assert (report.loaded, report.dropped, report.written) == (14, 2, 6)
+    assert tables.read_photo_dataset(spark, str(tmp_path / "set")).count() == 6
+    assert report.profile["width"].agg(F.sum("count")).head()[0] == 6
+
+
 def test_sampled_dataset_from_files(spark, folder, tmp_path):
     n = files.build_photo_dataset(
         spark, str(folder / "business.csv"), str(folder / "photo.csv"), str(folder / "photos"), str(tmp_path / "set"),

@@ -240,6 +240,13 @@ def test_run_log(spark, tmp_path):
     assert one.params == "batch_size=32;seed=1" and one.loss == 1.0 / 3 and one.accuracy == pytest.approx(0.3)
 
 
+def test_nested_params_are_written_as_text(spark):
+    params = text.nested_params({"z": 1, "opt": {"b": 2, "a": {"y": 1, "x": [3, 4]}}, "list": ["p", "q"]})
+    assert params == {"z": "1", " opt": " a= x=3;;;;4;;;y=1;;b=2", " list": "p;;q"}
+    line = spark.createDataFrame([(params,)], "m map<string,string>").select(text.params_text(F.col("m"))).head()[0]
+    assert line == " list=p;;q; opt= a= x=3;;;;4;;;y=1;;b=2;z=1"
+
+
 def test_nested_params_text(spark):
     out = spark.sql("select map('b','2','a','1') m").select(text.nested_params_text(F.col("m"), "opt")).head()[0]
     assert out == " opt=a=1;;b=2"
