@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from listing_analytics.operators.filters import join_on, require_columns
 from listing_analytics.operators.ordinals import with_ordinal
@@ -33,6 +33,49 @@ def attach(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left", sal
     return join_on(facts.withColumn("_salt", salt), copies, [key, "_salt"], how).drop("_salt")
 
 
+def hot_keys(df: DataFrame, key: str, share: float) -> list[tuple]:
+    """`(key, rows)` of every key that more than `share` of the rows have, fewer than `1 / share` of them, and the rows without key.
+
+    One pass keeps a sketch of frequent items, which misses no such key; a second one counts only what it names.
+    """
+    column = F.col(quoted(key))
+    named = df.where(column.isNotNull()).select(column.alias("key"))
+    found = named.stat.freqItems(["key"], max(share, 1e-4)).head()[0] or []
+    total, *counts = df.agg(F.count(F.lit(1)), *[F.count_if(column == F.lit(k)) for k in found]).head()
+    return [(k, n) for k, n in zip(found, counts) if n > share * total]
+
+
+def attach_hot(
+    facts: DataFrame, lookup: DataFrame, key: str, salt_by: str | Sequence[str], how: str = "left", partitions: int | None = None
+) -> DataFrame:
+    """`attach` for facts with hot keys, also without adaptive execution.
+
+    Keys that more than half of an average partition's rows have are found by `hot_keys`. Only their rows are spread, each key over
+    as many salts as make pieces of a quarter of an average partition, by a hash of the columns `salt_by`, in which
+    rows of one key differ; rows without a key, which match nothing, are spread as well. Other keys join as they are.
+    """
+    if how not in MANY_TO_ONE:
+        raise ValueError(f"join type {how!r} not known; expected one of {MANY_TO_ONE}")
+    names = [salt_by] if isinstance(salt_by, str) else list(salt_by)
+    require_columns(facts, key, *names)
+    require_columns(lookup, key)
+    spark = facts.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(facts, key, 1 / (2 * partitions))
+    total = facts.count() if hot else 1
+    kind = facts.schema[key].dataType
+    # at most two keys for each partition
+    salts = spark.createDataFrame(
+        [(k, -(-4 * n * partitions // total)) for k, n in hot], T.StructType([T.StructField(key, kind), T.StructField("_salts", T.LongType())])
+    )
+    spread = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in names]), F.coalesce("_salts", F.when(F.col(quoted(key)).isNull(), 4 * partitions), F.lit(1)))
+    salted = join_on(facts, F.broadcast(salts), key, "left").withColumn("_salt", spread.cast("long")).drop("_salts")
+    copies = join_on(lookup, F.broadcast(salts), key, "left")
+    last = (F.coalesce("_salts", F.lit(1)) - 1).cast("long")
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("_salts")
+    return join_on(salted, copies, [key, "_salt"], how).drop("_salt")
+
+
 def attach_outer(facts: DataFrame, lookup: DataFrame, key: str, match_nulls: bool = False) -> DataFrame:
     """Full outer join of facts to a table with one row per key.
 

@@ -10,9 +10,12 @@ from listing_analytics.staging import stage
 # `monotonically_increasing_id` holds the partition above this bit and the row within it below.
 ROW_BITS = 33
 
-# Leading hex digits of a hash that name its bucket: 65,536 buckets at most.
+# Leading hex digits of a hash that name its bucket, unless the number of rows says otherwise.
 BUCKET_DIGITS = 4
 
+# Rows of a bucket, about, where the number of buckets follows the number of rows.
+BUCKET_ROWS = 1 << 16
+
 
 def with_ordinal(df: DataFrame, *keys: str, name: str = "ordinal", total: str | None = None) -> DataFrame:
     """Add the zero-based position of each row in the order of the unique columns `keys`.
@@ -50,16 +53,21 @@ def seeded_hash(keys: tuple[str, ...], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(quoted(k)).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def hash_bucket(digest: Column) -> Column:
-    return F.left(digest, F.lit(BUCKET_DIGITS))
+def bucket_digits(rows: int) -> int:
+    """Hex digits that give buckets of `BUCKET_ROWS` at most, or a sixteenth of it at least."""
+    return next(d for d in range(1, 16) if rows <= BUCKET_ROWS * 16 ** d)
+
+
+def hash_bucket(digest: Column, digits: int = BUCKET_DIGITS) -> Column:
+    return F.left(digest, F.lit(digits))
 
 
-def bucket_starts(digests: DataFrame) -> DataFrame:
+def bucket_starts(digests: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
     """`_bucket, _size, _start`: rows per bucket of `_hash` and in the buckets before it.
 
     The window runs in one task over one row per bucket, whatever the input size.
     """
-    sizes = digests.groupBy(hash_bucket(F.col("_hash")).alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = digests.groupBy(hash_bucket(F.col("_hash"), digits).alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
 
@@ -68,10 +76,12 @@ def with_shuffled_ordinal(df: DataFrame, *keys: str, seed: int = 1, name: str =
     """Add the zero-based position of each row in a seeded random order of the unique `keys`.
 
     The bucket of a row depends on its key alone, so nothing has to be written: positions are
-    counted inside small, equal buckets and the sizes of the buckets before are added.
+    counted inside small, equal buckets and the sizes of the buckets before are added. The rows are counted
+    first, which sets the number of buckets.
     """
-    hashed = df.withColumn("_hash", seeded_hash(keys, seed)).withColumn("_bucket", hash_bucket(F.col("_hash")))
-    starts = bucket_starts(hashed.select("_hash")).select("_bucket", "_start")
+    digits = bucket_digits(df.count())
+    hashed = df.withColumn("_hash", seeded_hash(keys, seed)).withColumn("_bucket", hash_bucket(F.col("_hash"), digits))
+    starts = bucket_starts(hashed.select("_hash"), digits).select("_bucket", "_start")
     order = Window.partitionBy("_bucket").orderBy("_hash", *[F.col(quoted(k)) for k in keys])
     return (
         hashed.withColumn("_within", F.row_number().over(order))

@@ -83,6 +83,15 @@ def photo_files(spark, sf):
     )
 
 
+@query("photo_business_hot", f"""
+    SELECT p.business_id, photo_id, label, stars
+    FROM ({PHOTOS}) AS p LEFT JOIN ({RING}) AS b ON p.business_id = b.business_id""")
+def photo_business_hot(spark, sf):
+    """Only the photos of customers with very many orders are spread."""
+    business = filters.filter_categories(base.business(spark, sf), [CATEGORY]).select("business_id", "stars")
+    return joins.attach_hot(base.photos(spark, sf), business, "business_id", "photo_id")
+
+
 FILES = """
     SELECT CAST(o_orderkey AS VARCHAR) AS stem, o_orderstatus <> 'P' AS jpg,
            CAST(o_custkey % 400 + 200 AS INT) AS width, CAST(o_orderkey % 300 + 100 AS INT) AS height

@@ -145,6 +145,8 @@ def test_dataset_report(spark, folder, tmp_path):
         (folder / "photo.csv").write_text("".join(lines[:-2]))
     assert (report.loaded, report.dropped, report.written) == (14, 2, 6)
     assert tables.read_photo_dataset(spark, str(tmp_path / "set")).count() == 6
+    again = tables.read_photo_dataset(spark, str(tmp_path / "set"), file_order="at").orderBy("at").select("business_id", "photo_id")
+    assert [tuple(r) for r in again.collect()] == sorted(tuple(r) for r in again.collect())
     assert report.profile["width"].agg(F.sum("count")).head()[0] == 6
 
 

@@ -30,6 +30,45 @@ def test_salted_join_equals_plain_join(photos, business, how):
     assert rows(plain) == rows(photos.join(business, "business_id", how)) == rows(salted)
 
 
+@pytest.mark.parametrize("how", joins.MANY_TO_ONE)
+def test_hot_join_equals_plain_join(photos, business, how):
+    hot = joins.attach_hot(photos, business, "business_id", "photo_id", how, partitions=4)
+    plain = joins.attach(photos, business, "business_id", how)
+    assert hot.columns == plain.columns and rows(hot) == rows(plain)
+
+
+def test_hot_keys_are_found(spark, photos):
+    assert dict(joins.hot_keys(photos, "business_id", 0.3)) == {"hot": 40}
+    assert joins.hot_keys(photos.limit(0), "business_id", 0.3) == []
+    assert set(dict(joins.hot_keys(photos, "business_id", 0.02))) >= {"hot", "b0", "b3", "b6"}
+
+
+def test_hot_keys_are_spread_without_adaptive_execution(spark):
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("b"), F.col("id") % 3000))
+    facts = spark.range(n).select(F.concat(F.lit("p"), "id").alias("photo_id"), key.alias("business_id"))
+    lookup = facts.select("business_id").distinct().where("business_id is not null").withColumn("stars", F.lit(1.0))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "20", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        def largest(df):
+            sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("count"), F.max("stars")).collect())
+            assert sum(sizes) == n
+            return sizes[-1] / sizes[len(sizes) // 2]
+
+        plain = joins.attach(facts, lookup, "business_id")
+        hot = joins.attach_hot(facts, lookup, "business_id", "photo_id")
+        assert "SortMergeJoin" in hot._jdf.queryExecution().executedPlan().toString()
+        assert largest(plain) > 5 and largest(hot) < 2
+        assert hot.where("stars is null").count() == plain.where("stars is null").count()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_column_order_is_kept(photos, business):
     assert joins.attach(photos, business, "business_id").columns == ["photo_id", "business_id", "stars"]
     assert joins.attach_outer(photos, business, "business_id").columns == ["photo_id", "business_id", "stars"]

@@ -137,3 +137,9 @@ def test_batches(spark):
     assert {r.split: r.steps for r in steps} == {"train": 3, "validation": 1, "verify": 1}
     with pytest.raises(ValueError):
         splits.batch_index(df, 0)
+
+
+def test_buckets_follow_the_number_of_rows():
+    from listing_analytics.operators import ordinals
+
+    assert [ordinals.bucket_digits(n) for n in (0, 1, 1 << 20, (1 << 20) + 1, 10 ** 12)] == [1, 1, 1, 2, 6]
