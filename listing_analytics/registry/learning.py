@@ -22,24 +22,24 @@ def pairs(predicted):
 @query("train_classifier")
 def train_classifier(spark, sf):
     data = rows(spark, sf)
-    return pairs(models.predict(models.train_model(data, "dense", hidden=(32,), epochs=20), data))
+    return pairs(models.predict(models.train_model(data, "dense"), data))
 
 
 @query("batch_predict")
 def batch_predict(spark, sf):
     data = rows(spark, sf)
-    out = models.predict(models.train_model(data, "softmax", epochs=10), data)
+    out = models.predict(models.train_model(data, "softmax"), data)
     return out.select("vec_id", F.col("prediction").cast("int").alias("prediction"), F.size("probability").alias("classes"))
 
 
 @query("train_ordinal")
 def train_ordinal(spark, sf):
     rated = base.vectors(spark, sf).withColumn("stars", F.lit(1.0) + F.col("label") % 9 / F.lit(2.0))
-    data = projections.expand_list(
-        models.with_features(projections.add_labels(rated), "embedding"), "stars_ord", length=9
-    )
+    labelled = models.with_features(projections.add_labels(rated), "embedding")
+    length = labelled.agg(F.max(F.size("stars_ord"))).head()[0]
+    data = projections.expand_list(labelled, "stars_ord", length=length)
     # the last threshold is never passed: the list is one longer than the range
-    fitted = models.train_ordinal(data, [f"t{i}" for i in range(8)], epochs=10)
+    fitted = models.train_ordinal(data, [f"t{i}" for i in range(length - 1)])
     decoded = evaluation.decode_ordinal(models.predict_ordinal(fitted, data), base=2)
     return decoded.select("vec_id", F.col("stars_num").alias("actual"), "predicted")
 
@@ -55,7 +55,7 @@ def rff_svm(spark, sf):
 def random_search(spark, sf):
     data = rows(spark, sf)
     space = {"regParam": [0.0, 0.01, 0.1, 1.0], "maxIter": [5, 10]}
-    trials = models.random_search(data, models.softmax_head(data), space, max_trials=3)
+    trials = models.random_search(data, models.softmax_head(data), space, max_trials=8)
     return spark.createDataFrame(
         [(t.trial, t.params["regParam"], t.params["maxIter"], t.score) for t in trials],
         "trial int, regParam string, maxIter string, score double",
@@ -91,5 +91,5 @@ def train_evaluate(spark, sf):
         (F.lit(1.0) + F.col("label") % 9 / F.lit(2.0)).alias("stars"), F.col("embedding").alias("features"),
     ))
     # in the order of the photo ids every part holds every category
-    spec = TrainSpec("softmax", {"epochs": 10}, split=Split(0.1, 0.2), order=("photo_id",))
+    spec = TrainSpec("softmax", {}, split=Split(0.1, 0.2), order=("photo_id",))
     return train_categorical(rated, spec, "run").evaluation.confusion
