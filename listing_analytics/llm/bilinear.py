@@ -3,13 +3,14 @@
 The model knows the most frequent words, the end, and "another word": `CLASSES` tokens, and more as the vocabulary grows
 (`PER_ROOT` times the square root of its size). The vector predicted for the next
 token is the sum of the two previous tokens' vectors, each through the matrix of its distance; a token's score is its inner
-product with that vector plus a bias. Training tells tokens of the corpus from noise drawn by frequency. Every task trains
+product with that vector plus the log of its frequency, which stays as it is. Training tells tokens of the corpus from noise drawn by frequency. Every task trains
 on its documents from the same start, and the parameters are averaged by tokens seen; the average is the start of the next of
 `ROUNDS` rounds, so that what one part of the text teaches reaches the others. Partitions of few tokens are trained on in one
 task (`TASK_TOKENS`), as an average of many short trainings would stay near the start. All training text takes part in each.
-Scoring normalises: sums over all tokens come from batched matrix products, for each pair of previous ones in a table of up to
-`TABLE` tokens, for the pairs that occur beyond. Another word is
-spread over the vocabulary by its counts plus one, so any text has a probability.
+The tokens with those before them are counted once in groups of documents and written; each round reads these counts.
+Scoring normalises: sums over all tokens come from batched matrix products, for each pair of the `TABLE` most frequent tokens
+once, in blocks that tasks share, and for other pairs where they occur. Another word is spread over the vocabulary by its
+counts plus one, so any text has a probability.
 
 Counts of words come from the whole training text by aggregation. The `HEAD` most frequent words with their counts go to
 every task (a bounded table); the rest of a document's words meets their counts in a join, where no word is frequent.
@@ -28,15 +29,18 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from listing_analytics.operators.kernel import packed_sums
 from listing_analytics.staging import stage
 
 CLASSES = 512
 PER_ROOT = 2.0
+#: Sums over all tokens are tabulated for pairs of so many most frequent tokens.
 TABLE = 4096
+NORM_ROWS = 256
 WIDTH = 24
-NOISE, SHARED_NOISE = 10, 64
+NOISE, SHARED_NOISE = 10, 128
 HEAD = 200_000
 BATCH = 8192
 RATE = 0.1
@@ -123,7 +127,7 @@ class Vocabulary:
 
 
 class Model:
-    """Parameters: context vectors r, token vectors q, one matrix for each distance, biases."""
+    """Parameters: context vectors r, token vectors q, one matrix for each distance; the biases b are logs of frequencies."""
 
     def __init__(self, frequency: np.ndarray, width: int = WIDTH, seed: int = SEED):
         random, k = np.random.default_rng(seed), len(frequency)
@@ -134,11 +138,11 @@ class Model:
         self.b = np.log(frequency).astype(np.float32)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.r, self.q, self.c, self.b)])
+        return np.concatenate([x.ravel() for x in (self.r, self.q, self.c)])
 
     def load(self, flat: np.ndarray) -> None:
         at = 0
-        for x in (self.r, self.q, self.c, self.b):
+        for x in (self.r, self.q, self.c):
             x[...] = flat[at:at + x.size].reshape(x.shape)
             at += x.size
 
@@ -155,44 +159,46 @@ class Model:
             up = share * (1 / (1 + np.exp(right)))[:, None].astype(np.float32)
             down = -share * (NOISE / SHARED_NOISE / (1 + np.exp(-wrong))).astype(np.float32)
             d_predicted = up * self.q[w] + down @ self.q[drawn]
-            grads = [np.zeros_like(x) for x in (self.r, self.q, self.c, self.b)]
+            grads = [np.zeros_like(x) for x in (self.r, self.q, self.c)]
             for i, context in enumerate((one, two)):
                 total = _add_rows(context, d_predicted, len(self.noise))
                 grads[0] += total @ self.c[i].T
                 grads[2][i] = self.r.T @ total
             grads[1] += _add_rows(w, up * predicted, len(self.noise))
             np.add.at(grads[1], drawn, down.T @ predicted)
-            grads[3] += np.bincount(w, up[:, 0], len(self.noise)).astype(np.float32)
-            np.add.at(grads[3], drawn, down.sum(0))
-            for x, g, m in zip((self.r, self.q, self.c, self.b), grads, memory):
+            for x, g, m in zip((self.r, self.q, self.c), grads, memory):
                 m += g * g
                 x += RATE * g / (np.sqrt(m) + 1e-6)
 
-    def tables(self) -> tuple[np.ndarray, ...]:
-        """Natural log scores by distance and token, and the log of their sum for each pair of previous tokens."""
-        one, two = ((self.r @ self.c[i]) @ self.q.T for i in (0, 1))
-        k = len(self.b)
-        norm = np.empty((k, k), np.float32)
-        ahead = np.exp(one + self.b)  # first place before, token
-        behind = np.exp(two)
-        for at in range(0, k, 64):
-            norm[at:at + 64] = np.log(ahead[at:at + 64].astype(np.float64) @ behind.T.astype(np.float64))
-        return one + self.b, two, norm
-
-    def log_chance(self, first: np.ndarray, second: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Natural log of each token's probability after those one and two places before; sums for the pairs that occur."""
-        k = len(self.b)
-        pairs, place = np.unique(first.astype(np.int64) * k + second, return_inverse=True)
+    def norms(self, lo: int, hi: int, second: int) -> np.ndarray:
+        """Natural log of the sum over all tokens after each pair of tokens `lo` to `hi` one and 0 to `second` two places before."""
+        behind = np.exp((self.r[:second] @ self.c[1]) @ self.q.T)
+        ahead = np.exp((self.r[lo:hi] @ self.c[0]) @ self.q.T + self.b)
+        return np.log(ahead @ behind.T)
+
+    def log_chance(self, first: np.ndarray, second: np.ndarray, token: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        """Natural log of each token's probability after those one and two places before.
+
+        `norm` has the sums for pairs of the first tokens, which are the most frequent; those for other pairs that occur
+        are computed here.
+        """
+        k, known = len(self.b), len(norm)
+        sums = np.empty(len(token))
+        inside = (first < known) & (second < known)
+        sums[inside] = norm[first[inside], second[inside]]
+        outside = np.flatnonzero(~inside)
+        pairs, place = np.unique(first[outside].astype(np.int64) * k + second[outside], return_inverse=True)
         ahead, behind = (self.r @ self.c[i] for i in (0, 1))
-        norm = np.empty(len(pairs))
+        own = np.empty(len(pairs))
         for at in range(0, len(pairs), 1024):
             one, two = np.divmod(pairs[at:at + 1024], k)
-            norm[at:at + 1024] = np.log(np.exp((ahead[one] + behind[two]) @ self.q.T + self.b).sum(1, dtype=np.float64))
+            own[at:at + 1024] = np.log(np.exp((ahead[one] + behind[two]) @ self.q.T + self.b).sum(1, dtype=np.float64))
+        sums[outside] = own[place]
         found = np.empty(len(token))
         for at in range(0, len(token), 1 << 16):
             part = slice(at, at + (1 << 16))
             found[part] = np.einsum("ij,ij->i", ahead[first[part]] + behind[second[part]], self.q[token[part]]) + self.b[token[part]]
-        return found - norm[place]
+        return found - sums
 
 
 def _add_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -236,45 +242,69 @@ def _groups(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, wanted) -
         yield close()
 
 
-def train(docs: DataFrame, vocabulary, held_out=is_held_out, rounds: int = ROUNDS) -> np.ndarray:
-    """Parameters after `rounds` passes over all training documents; `vocabulary` is broadcast."""
+def token_triples(docs: DataFrame, vocabulary, held_out=is_held_out) -> DataFrame:
+    """`triples, times, seen` of groups of training documents: sorted numbers of a token and the two before, as differences."""
     words = vocabulary.value
-    model = Model(words.frequency)
-    k = len(words.frequency)
+    k = words.classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, _, one, two, token in _groups(batches, vocabulary.value, lambda i: not held_out(i)):
+            triple, times = np.unique((one.astype(np.int64) * k + two) * k + token, return_counts=True)
+            cells = [np.diff(triple, prepend=0).astype("<i8").tobytes(), times.astype("<u4").tobytes()]
+            yield pa.RecordBatch.from_arrays([*(pa.array([c], pa.binary()) for c in cells), pa.array([len(token)])], ["triples", "times", "seen"])
+
     # merges partitions, without a shuffle
     docs = docs.select("doc_id", "text").coalesce(max(1, words.n // TASK_TOKENS))
+    return docs.mapInArrow(run, "triples binary, times binary, seen long")
+
+
+def train(docs: DataFrame, vocabulary, held_out=is_held_out, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters after `rounds` passes over all training documents; `vocabulary` is broadcast."""
+    model = Model(vocabulary.value.frequency)
+    k, size = len(vocabulary.value.frequency), 1 + len(model.flat())
+    groups = stage(token_triples(docs, vocabulary, held_out), "triples")
+    adders = max(1, math.isqrt(groups.rdd.getNumPartitions()))
     for _ in range(rounds):
         start = docs.sparkSession.sparkContext.broadcast(model.flat())
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
             own, random, seen = Model(vocabulary.value.frequency), np.random.default_rng(SEED), 0
             own.load(start.value)
-            memory = [np.full_like(x, 1e-4) for x in (own.r, own.q, own.c, own.b)]
-            for _, _, _, _, one, two, token in _groups(batches, vocabulary.value, lambda i: not held_out(i)):
-                # equal triples are one, with a weight
-                triple, times = np.unique((one.astype(np.int64) * k + two) * k + token, return_counts=True)
-                order = random.permutation(len(triple))
-                triple, times = triple[order], times[order]
-                own.train(triple // (k * k), triple // k % k, triple % k, times, memory, random)
-                seen += len(token)
-            if seen:
-                flat = own.flat().astype(np.float64) * seen
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(-1, len(flat)), pa.int32()), pa.array(np.concatenate(([float(seen)], flat)))], ["at", "value"]
-                )
-
-        rows = docs.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
-        if rows:  # one for each parameter
-            total = np.zeros(len(rows) - 1)
-            for row in rows:
-                if row["at"] >= 0:
-                    total[row["at"]] = row["value"]
-                else:
-                    seen = row["value"]
-            model.load((total / seen).astype(np.float32))
+            memory = [np.full_like(x, 1e-4) for x in (own.r, own.q, own.c)]
+            for batch in batches:
+                for triples, times, n in zip(*(batch.column(c) for c in ("triples", "times", "seen"))):
+                    triple, weight = np.cumsum(np.frombuffer(triples.as_py(), "<i8")), np.frombuffer(times.as_py(), "<u4")
+                    order = random.permutation(len(triple))
+                    triple, weight = triple[order], weight[order].astype(np.int64)
+                    # equal triples are one, with a weight
+                    own.train(triple // (k * k), triple // k % k, triple % k, weight, memory, random)
+                    seen += n.as_py()
+            return np.append(float(seen), own.flat().astype(np.float64) * seen)
+
+        total = packed_sums(groups, size, adders, run)
+        if total[0]:
+            model.load((total[1:] / total[0]).astype(np.float32))
     return model.flat()
 
 
+def norm_table(spark: SparkSession, vocabulary, parameters) -> np.ndarray:
+    """`Model.norms` for the `TABLE` most frequent tokens, computed in blocks of rows by as many tasks."""
+    known = min(TABLE, vocabulary.value.classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(vocabulary.value.frequency)
+        model.load(parameters.value)
+        for batch in batches:
+            for lo in batch.column("lo").to_pylist():
+                block = model.norms(lo, min(lo + NORM_ROWS, known), known).astype("<f4")
+                yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([block.tobytes()], pa.binary())], ["lo", "block"])
+
+    blocks = -(-known // NORM_ROWS)
+    rows = spark.range(0, known, NORM_ROWS, blocks).withColumnRenamed("id", "lo").mapInArrow(run, "lo long, block binary").collect()
+    found = [np.frombuffer(r.block, "<f4") for r in sorted(rows, key=lambda r: r.lo)]  # TABLE ** 2 numbers at most
+    return np.concatenate(found).reshape(known, known)
+
+
 def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` of each row of `docs (doc_id, text, ...)`.
 
@@ -285,6 +315,7 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
     vocabulary = spark.sparkContext.broadcast(Vocabulary(counts))
     words = vocabulary.value
     parameters = spark.sparkContext.broadcast(train(docs, vocabulary, held_out, rounds))
+    norm = spark.sparkContext.broadcast(norm_table(spark, vocabulary, parameters))
     kind = docs.schema["doc_id"].dataType.simpleString()
     end_log = math.log10(words.end_count + 1)
 
@@ -292,15 +323,10 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
         known = vocabulary.value
         model = Model(known.frequency)
         model.load(parameters.value)
-        tables = model.tables() if known.classes <= TABLE else None
         place = 0
         for ids, texts, places, lengths, one, two, token in _groups(batches, known, lambda i: True):
             begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            if tables:
-                one_table, two_table, norm = tables
-                logs = (one_table[one, token] + two_table[two, token] - norm[one, two]).astype(np.float64)
-            else:
-                logs = model.log_chance(one, two, token)
+            logs = model.log_chance(one, two, token, norm.value)
             sums = np.add.reduceat(logs, begins)
             others = np.add.reduceat((token == OTHER).astype(np.int64), begins)
             columns: dict = {c: [] for c in ("n_known", "log_sum", "other_log_sum", "rare")}

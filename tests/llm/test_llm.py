@@ -214,9 +214,6 @@ def test_language_model(odd, empty):
         base = sum(math.log10((counts.get(w, 0) + 1) / (n + v + 1)) for w in tokens)
         assert any(r.doc_id == own[0] and r.n_tokens == len(tokens) and abs(r.base_score - base) < 1e-6 * abs(base)
                    and r.n_known == sum(w in counts for w in tokens) and r.train_tokens == n and r.score < 0 for r in found)
-    model = bilinear.Model(np.array([0.5, 0.3, 0.2]))
-    one, two, norm = model.tables()
-    assert np.allclose(np.exp(one[:, None] + two[None] - norm[..., None]).sum(-1), 1, atol=1e-4)
     assert bilinear.score(empty).count() == 0
 
 
@@ -231,12 +228,51 @@ def test_language_model_grows_and_learns_across_partitions(spark):
     assert row.own > 0.95 * row.base
 
 
+def softmax_logs(model, first, second):
+    """Log chances of all tokens after a pair, from the definition."""
+    scores = (model.r[first].astype(float) @ model.c[0] + model.r[second].astype(float) @ model.c[1]) @ model.q.T.astype(float) + model.b
+    return scores - np.log(np.exp(scores).sum())
+
+
 def test_language_model_by_pairs():
-    random_, frequency = np.random.default_rng(4), np.array([0.5, 0.3, 0.2])
+    random_, frequency = np.random.default_rng(4), np.array([0.4, 0.3, 0.2, 0.1])
     model = bilinear.Model(frequency)
-    one, two, token = (random_.integers(0, 3, 50) for _ in range(3))
-    first, second, norm = model.tables()
-    assert np.allclose(model.log_chance(one, two, token), first[one, token] + second[two, token] - norm[one, two], atol=1e-4)
+    model.load(random_.normal(0, 0.5, len(model.flat())).astype(np.float32))
+    one, two, token = (random_.integers(0, 4, 50) for _ in range(3))
+    expected = [softmax_logs(model, a, b)[t] for a, b, t in zip(one, two, token)]
+    norm = np.vstack([model.norms(0, 3, 4), model.norms(3, 4, 4)])
+    for known in (0, 1, 3, 4):  # sums from the table, or computed for the pairs beyond it
+        assert np.allclose(model.log_chance(one, two, token, norm[:known, :known]), expected, atol=1e-4)
+    assert np.allclose(np.exp([softmax_logs(model, 0, 1)]).sum(), 1)
+
+
+def test_language_model_scores_by_definition(spark, monkeypatch):
+    draw = random.Random(9)
+    texts = [(i, " ".join(draw.choice(["the", "Cat", "sat", "on", f"w{draw.randint(0, 900)}"]) for _ in range(draw.randint(0, 40)))) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    words = bilinear.Vocabulary(bilinear.word_counts(docs), classes=60)
+    shared = spark.sparkContext.broadcast(words)
+    model = bilinear.Model(words.frequency)
+    model.load(bilinear.train(docs, shared))
+    monkeypatch.setattr(bilinear.Vocabulary, "__init__", lambda self, counts: self.__dict__.update(words.__dict__))
+    counts = {bytes(r.word): r.n for r in bilinear.word_counts(docs).collect()}
+    for row in bilinear.score(docs).collect():
+        tokens = [*bilinear.words_of(dict(texts)[row.doc_id]), b""]
+        known = [0 if t == b"" else int(words.token[words.place[t]]) if t in words.place else bilinear.OTHER for t in tokens]
+        total, before = 0.0, [0, 0]
+        for word, token in zip(tokens, known):
+            total += softmax_logs(model, before[-1], before[-2])[token] / math.log(10)
+            if token == bilinear.OTHER:
+                total += math.log10((counts.get(word, 0) + 1) / (words.other_n + words.other_v + 1))
+            before.append(token)
+        assert abs(row.score - total) < 1e-4 * abs(total)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_language_model_beats_counts_on_held_out_text(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    row = bilinear.score(docs).where("held_out").agg(F.sum("score").alias("own"), F.sum("base_score").alias("base")).first()
+    assert row.own > row.base
 
 
 def test_permutation_index(spark):
