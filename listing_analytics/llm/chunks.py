@@ -67,7 +67,7 @@ class ChunkTable:
         parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         begins = parts.offsets.to_numpy()[:-1]
         words = parts.flatten().dictionary_encode()
-        codes, names = words.indices.to_numpy(), words.dictionary.to_pylist()
+        codes, names = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
         n = len(codes)
         bare = np.fromiter(map(eq, names, map(str.strip, names)), bool, len(names))
         bare &= np.fromiter(map(bool, names), bool, len(names))

@@ -37,6 +37,8 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 FILE_IDS = 1 << 21
 BLOCK = 512
+#: Texts of about so many characters are encoded together: words that repeat among them are looked up once.
+GROUP_CHARS = 1 << 22
 #: Pieces that a worker keeps the ids of; the table is emptied beyond.
 MAX_PIECES = 250_000
 _MAGIC = b"DAC1"
@@ -192,7 +194,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
         end = np.array([end_id], np.uint32)
         for batch in batches:
             texts = (t.as_py() for t in batch.column("text"))
-            encoded = (ids for group in grouped(texts) for ids in table.encode_all(group))
+            encoded = (ids for group in grouped(texts, GROUP_CHARS) for ids in table.encode_all(group))
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
                 ids = np.concatenate((ids, end))
                 doc_ids.append(doc_id)

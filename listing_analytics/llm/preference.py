@@ -72,6 +72,7 @@ def swapped_replies(
     """
     if unpaired not in ("keep", "skip"):
         raise ValueError(f"unpaired is keep or skip, not {unpaired}")
+    turns = turns.select("conv_id", "turn", "role", "text")  # other columns could have the names used below
     last = turns.where((F.col("role") == role) & F.col("turn").isNotNull()).groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
     own = last.select("conv_id", F.col("last.turn").alias("last_turn"), partner.alias("partner"))
     reply = last.select(F.col("conv_id").alias("partner"), F.col("last.text").alias("reply"), F.lit(True).alias("paired"))

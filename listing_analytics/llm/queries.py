@@ -78,13 +78,14 @@ PREFERENCE_SQL = """
         SELECT conv_id, max(text) AS reply FROM conversations JOIN last USING (conv_id)
         WHERE role = 'assistant' AND turn = last_turn GROUP BY conv_id),
     sides AS (
-        SELECT c.conv_id, turn, role, text,
+        SELECT c.conv_id, turn, role, text, last_turn IS NOT NULL AND reply.conv_id IS NOT NULL AS paired,
                CASE WHEN role = 'assistant' AND turn = last_turn THEN reply ELSE text END AS other
-        FROM conversations c JOIN last USING (conv_id)
-        JOIN reply ON reply.conv_id = c.conv_id + 1 - 2 * (c.conv_id % 2)),
+        FROM conversations c LEFT JOIN last ON last.conv_id = c.conv_id
+        LEFT JOIN reply ON reply.conv_id = c.conv_id + 1 - 2 * (c.conv_id % 2)),
     placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place FROM sides),
     common AS (
-        SELECT conv_id, coalesce(min(place) FILTER (text <> other) - 1, count(*)) AS n_common FROM placed GROUP BY conv_id),
+        SELECT conv_id, CASE WHEN bool_or(paired) THEN coalesce(min(place) FILTER (text <> other) - 1, count(*)) ELSE 0 END AS n_common
+        FROM placed GROUP BY conv_id),
     parts AS (
         SELECT placed.*, n_common, '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body,
                other || '<|end|>' || chr(10) AS other_body, CASE WHEN role = 'assistant' THEN ' +' ELSE ' -' END AS sign
@@ -94,17 +95,17 @@ PREFERENCE_SQL = """
            coalesce(string_agg(head || body, '' ORDER BY place) FILTER (place > n_common), '') AS chosen,
            coalesce(string_agg('-' || length(head) || sign || length(body), ' ' ORDER BY place) FILTER (place > n_common), '')
                AS chosen_mask,
-           coalesce(string_agg(head || other_body, '' ORDER BY place) FILTER (place > n_common), '') AS rejected,
+           coalesce(string_agg(head || other_body, '' ORDER BY place) FILTER (place > n_common AND paired), '') AS rejected,
            coalesce(string_agg('-' || length(head) || sign || length(other_body), ' ' ORDER BY place)
-               FILTER (place > n_common), '') AS rejected_mask
+               FILTER (place > n_common AND paired), '') AS rejected_mask
     FROM parts GROUP BY conv_id"""
 
 
 @query("op2_preference_pairs", PREFERENCE_SQL)
 def op2_preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Each conversation against itself with the last reply of its neighbour (ids 2k and 2k + 1); only pairs, as in the SQL."""
+    """Each conversation against itself with the last reply of its neighbour (ids 2k and 2k + 1), if both have one."""
     turns = table(spark, sf, "conversations")
-    chosen, rejected = preference.swapped_replies(turns, F.col("conv_id") + 1 - 2 * (F.col("conv_id") % 2), unpaired="skip")
+    chosen, rejected = preference.swapped_replies(turns, F.col("conv_id") + 1 - 2 * (F.col("conv_id") % 2))
 
     def as_text(mask: str):
         return F.array_join(F.transform(mask, lambda m: F.concat(F.when(m["trained"], "+").otherwise("-"), m["n_chars"])), " ")
