@@ -25,8 +25,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without boilerplate lines; `n_chars` follows the text. No document goes."""
     clean = linespread.remove_boilerplate(docs)
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        kind, n_removed = docs.schema["n_chars"].dataType, F.col(clean.columns[-1])  # under a name that is free in docs
+        clean = clean.withColumn("n_chars", F.when(n_removed > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return clean.select(*docs.columns)
 
 
