@@ -50,6 +50,8 @@ ROUNDS = 3
 TASK_TOKENS = 4_000_000
 #: Tokens handled at once, at least; documents are not divided.
 TOKENS = 1 << 19
+#: Groups of so many tokens whose counts are merged for training.
+MERGED = 4
 END, OTHER = 0, 1  # of the model's tokens
 
 
@@ -100,8 +102,10 @@ class Vocabulary:
             if taken + row.v > head:
                 break
             taken, least = taken + row.v, row.n
-        rows = counts.where(F.col("n") >= least).collect() if least is not None else []
-        rows = sorted(((r.n, bytes(r.word)) for r in rows if r.word), key=lambda x: (-x[0], x[1]))
+        rows = []
+        if least is not None:  # `head` rows at most
+            found = counts.where(F.col("n") >= least).select("word", "n").toArrow()
+            rows = sorted(((n, w) for w, n in zip(found.column("word").to_pylist(), found.column("n").to_pylist()) if w), key=lambda x: (-x[0], x[1]))
         self.end_count = self._count_of_end(counts)
         self.place = {w: i for i, (_, w) in enumerate(rows)}
         n_known = min(classes - 2, len(rows))
@@ -147,18 +151,26 @@ class Model:
             at += x.size
 
     def train(self, first: np.ndarray, second: np.ndarray, token: np.ndarray, weight: np.ndarray, memory: list[np.ndarray], random) -> None:
-        """One pass of Adagrad over tokens with the tokens one and two places before, each as often as its weight."""
+        """One pass of Adagrad over tokens with the tokens one and two places before, each as often as its weight.
+
+        Noise is drawn by frequency, whose log is the bias: a score less the log of the noise is the inner product less `behind`.
+        """
+        behind, cumulated = np.float32(math.log(NOISE)), np.cumsum(self.noise)
         for at in range(0, len(token), BATCH):
             part = slice(at, at + BATCH)
             one, two, w = first[part], second[part], token[part]
             share = (weight[part] / weight[part].sum()).astype(np.float32)[:, None]
             predicted = self.r[one] @ self.c[0] + self.r[two] @ self.c[1]
-            drawn = random.choice(len(self.noise), SHARED_NOISE, p=self.noise)
-            right = np.einsum("ij,ij->i", predicted, self.q[w]) + self.b[w] - np.log(NOISE * self.noise[w])
-            wrong = predicted @ self.q[drawn].T + self.b[drawn] - np.log(NOISE * self.noise[drawn])
-            up = share * (1 / (1 + np.exp(right)))[:, None].astype(np.float32)
-            down = -share * (NOISE / SHARED_NOISE / (1 + np.exp(-wrong))).astype(np.float32)
-            d_predicted = up * self.q[w] + down @ self.q[drawn]
+            drawn = np.minimum(np.searchsorted(cumulated, random.random(SHARED_NOISE), "right"), len(self.noise) - 1)
+            own, q_drawn = self.q[w], self.q[drawn]
+            right = np.einsum("ij,ij->i", predicted, own) - behind
+            down = predicted @ q_drawn.T
+            np.subtract(behind, down, out=down)
+            np.exp(down, out=down)
+            down += 1
+            np.divide(-share * np.float32(NOISE / SHARED_NOISE), down, out=down)
+            up = share / (1 + np.exp(right))[:, None]
+            d_predicted = up * own + down @ q_drawn
             grads = [np.zeros_like(x) for x in (self.r, self.q, self.c)]
             for i, context in enumerate((one, two)):
                 total = _add_rows(context, d_predicted, len(self.noise))
@@ -247,11 +259,21 @@ def token_triples(docs: DataFrame, vocabulary, held_out=is_held_out) -> DataFram
     words = vocabulary.value
     k = words.classes
 
+    def row(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        triple, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        times = np.bincount(place, np.concatenate([p[1] for p in parts]), len(triple))
+        cells = [np.diff(triple, prepend=0).astype("<i8").tobytes(), times.astype("<u4").tobytes()]
+        return pa.RecordBatch.from_arrays([*(pa.array([c], pa.binary()) for c in cells), pa.array([int(times.sum())])], ["triples", "times", "seen"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
         for _, _, _, _, one, two, token in _groups(batches, vocabulary.value, lambda i: not held_out(i)):
-            triple, times = np.unique((one.astype(np.int64) * k + two) * k + token, return_counts=True)
-            cells = [np.diff(triple, prepend=0).astype("<i8").tobytes(), times.astype("<u4").tobytes()]
-            yield pa.RecordBatch.from_arrays([*(pa.array([c], pa.binary()) for c in cells), pa.array([len(token)])], ["triples", "times", "seen"])
+            parts.append(np.unique((one.astype(np.int64) * k + two) * k + token, return_counts=True))
+            if len(parts) == MERGED:
+                yield row(parts)
+                parts = []
+        if parts:
+            yield row(parts)
 
     # merges partitions, without a shuffle
     docs = docs.select("doc_id", "text").coalesce(max(1, words.n // TASK_TOKENS))
@@ -300,9 +322,12 @@ def norm_table(spark: SparkSession, vocabulary, parameters) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([block.tobytes()], pa.binary())], ["lo", "block"])
 
     blocks = -(-known // NORM_ROWS)
-    rows = spark.range(0, known, NORM_ROWS, blocks).withColumnRenamed("id", "lo").mapInArrow(run, "lo long, block binary").collect()
-    found = [np.frombuffer(r.block, "<f4") for r in sorted(rows, key=lambda r: r.lo)]  # TABLE ** 2 numbers at most
-    return np.concatenate(found).reshape(known, known)
+    rows = spark.range(0, known, NORM_ROWS, blocks).withColumnRenamed("id", "lo").mapInArrow(run, "lo long, block binary")
+    rows, table = stage(rows, "norms"), np.empty((known, known), np.float32)  # TABLE ** 2 numbers at most
+    for row in rows.toLocalIterator():  # some blocks at a time
+        block = np.frombuffer(row.block, "<f4").reshape(-1, known)
+        table[row.lo:row.lo + len(block)] = block
+    return table
 
 
 def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFrame:
