@@ -304,6 +304,7 @@ def train(docs: DataFrame, vocabulary, held_out=is_held_out, rounds: int = ROUND
             return np.append(float(seen), own.flat().astype(np.float64) * seen)
 
         total = packed_sums(groups, size, adders, run)
+        start.destroy()
         if total[0]:
             model.load((total[1:] / total[0]).astype(np.float32))
     return model.flat()
@@ -337,8 +338,8 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
     """
     spark = docs.sparkSession
     counts = stage(word_counts(docs, held_out), "word_counts")
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(counts))
-    words = vocabulary.value
+    words = Vocabulary(counts)
+    vocabulary = spark.sparkContext.broadcast(words)
     parameters = spark.sparkContext.broadcast(train(docs, vocabulary, held_out, rounds))
     norm = spark.sparkContext.broadcast(norm_table(spark, vocabulary, parameters))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -382,6 +383,8 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
         ).withColumn("part", F.spark_partition_id()),
         "scored",
     )
+    for shared in (vocabulary, parameters, norm):  # nothing below needs them: what they made is written
+        shared.destroy()
     rare = (
         scored.select("part", "place", F.explode("rare").alias("r")).select("part", "place", "r.word", F.col("r.n").alias("times"))
         .join(counts, "word")
