@@ -9,7 +9,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
-from types import SimpleNamespace
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,6 +49,9 @@ HEADER_BYTES = 65536
 # Reach of the Lanczos kernel in source pixels.
 LANCZOS_REACH = 3
 
+# Entries of the largest matrix of Lanczos weights that a worker keeps (32 KB, 64 MB for all it keeps).
+KEPT_WEIGHTS = 4096
+
 
 def _jpeg_header(content: bytes) -> tuple | None:
     """Walk the segments up to the frame header."""
@@ -124,12 +127,16 @@ def letterbox_plan(df: DataFrame, size: int | tuple[int, int], width: str = "wid
     return df.withColumns(box._asdict())
 
 
-def _pixels(row) -> np.ndarray:
-    return np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, row.channels)
+def _pixels(data: bytes | pa.Buffer, height: int, width: int, channels: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(height, width, channels)
 
 
 def lanczos_weights(old: int, new: int) -> np.ndarray:
-    """The new x old matrix that resamples a line of pixels."""
+    """The new x old matrix that resamples a line of pixels; a worker keeps small ones."""
+    return _small_weights(old, new) if old * new <= KEPT_WEIGHTS else _weights(old, new)
+
+
+def _weights(old: int, new: int) -> np.ndarray:
     step = old / new
     stretch = max(step, 1.0)
     centres = (np.arange(new) + 0.5) * step
@@ -138,6 +145,13 @@ def lanczos_weights(old: int, new: int) -> np.ndarray:
     return weights / weights.sum(axis=1, keepdims=True)
 
 
+@lru_cache(maxsize=2048)
+def _small_weights(old: int, new: int) -> np.ndarray:
+    weights = _weights(old, new)
+    weights.flags.writeable = False
+    return weights
+
+
 def _resample(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
     across = np.einsum("ij,hjc->hic", lanczos_weights(pixels.shape[1], width), pixels.astype(float))
     across = np.clip(np.rint(across), 0, 255)
@@ -155,11 +169,11 @@ def letterbox_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], SETS.names)
 
     for batch in batches:
-        for i in range(len(batch)):
-            picture = SimpleNamespace(**batch.slice(i, 1).to_pylist()[0])
-            pixels = _pixels(picture)
-            colour = np.repeat(pixels[:, :, :1], 3, axis=2) if picture.channels < 3 else pixels[:, :, :3]
-            for box in picture.boxes:
+        names, widths, heights, channels = (batch.column(c).to_pylist() for c in ("photo_file", "width", "height", "channels"))
+        for i, (data, boxes) in enumerate(zip(batch.column("data"), batch.column("boxes").to_pylist())):
+            pixels = _pixels(data.as_buffer(), heights[i], widths[i], channels[i])
+            colour = np.repeat(pixels[:, :, :1], 3, axis=2) if channels[i] < 3 else pixels[:, :, :3]
+            for box in boxes:
                 wide, high = box["wide"], box["high"]
                 if rows and held + 3 * wide * high > PIECE_BYTES:
                     yield piece()
@@ -169,7 +183,7 @@ def letterbox_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                     out[box["top"]:box["top"] + box["new_height"], box["left"]:box["left"] + box["new_width"]] = _resample(
                         colour, box["new_width"], box["new_height"]
                     )
-                rows.append((picture.photo_file, f"{wide}x{high}", wide, high, 3, out.tobytes()))
+                rows.append((names[i], f"{wide}x{high}", wide, high, 3, out.tobytes()))
                 held += out.size
     yield piece()
 
@@ -236,7 +250,7 @@ def channel_means(pictures: DataFrame, key: str = "photo_file") -> DataFrame:
 
     def average(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            means = [_pixels(row).mean(axis=(0, 1)).tolist() for row in batch.itertuples()]
+            means = [_pixels(r.data, r.height, r.width, r.channels).mean(axis=(0, 1)).tolist() for r in batch.itertuples()]
             yield pd.DataFrame({key: batch[key], "means": pd.Series(means, index=batch.index, dtype=object)})
 
     needed = pictures.select(key, "width", "height", "channels", "data").where("width > 0 and height > 0")

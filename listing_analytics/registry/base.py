@@ -38,6 +38,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows dealt evenly to `spark.sql.shuffle.partitions` tasks, for small columns from which much work follows.
+
+    A scan gives a row group to one task, however many rows it has.
+    """
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1))
+
+
 def text(name: str):
     return F.col(name).cast("string")
 

@@ -82,7 +82,7 @@ def pictures(spark, sf, grey=False):
         F.transform("embedding", lambda x: F.lpad(F.hex(F.floor((x + 1) * 127.5).cast("bigint")), 2, "0")), ""
     ))
     side = F.when(colour, 4).otherwise(8)
-    return base.vectors(spark, sf).select(
+    return base.spread(base.vectors(spark, sf)).select(
         base.text("vec_id").alias("photo_file"), side.alias("width"), side.alias("height"),
         F.when(colour, 4).otherwise(1).alias("channels"), data.alias("data"),
     )
@@ -138,7 +138,7 @@ SET_SIZES = (6, (9, 4), 25)
 def flat_pictures(spark, sf):
     width, height = (F.col("p_size") + 1).cast("int"), (F.col("p_partkey") % 37 + 1).cast("int")
     pixel = F.concat(*[F.lpad(F.hex(c.cast("bigint")), 2, "0") for c in (F.col("p_partkey") % 256, F.col("p_size"), F.lit(255))])
-    return base.table(spark, sf, "part").select(
+    return base.spread(base.table(spark, sf, "part").select("p_partkey", "p_size")).select(
         base.text("p_partkey").alias("photo_file"), width.alias("width"), height.alias("height"), F.lit(3).alias("channels"),
         F.unhex(F.repeat(pixel, width * height)).alias("data"),
     )

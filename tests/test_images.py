@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from listing_analytics.functions.sizes import canvas
 from listing_analytics.operators import images
+from listing_analytics.registry import QUERIES
 from listing_analytics.sources import photos
 
 MODES = {0: 1, 2: 3, 6: 4}
@@ -127,3 +128,23 @@ def test_empty_picture_table(spark, folder):
     none = photos.read_pictures(spark, folder).where("width > 99")
     assert images.channel_means(none).count() == 0 and images.letterbox_images(none, 4).count() == 0
     assert none.select(F.count("*")).head()[0] == 0
+
+
+def test_pictures_of_one_row_group_are_spread(spark, tmp_path):
+    spark.range(400).selectExpr("id AS p_partkey", "id % 50 + 1 AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(400).selectExpr(
+        "id AS vec_id", "array_repeat(CAST(id / 400 AS float), 64) AS embedding", "CAST(id % 2 AS int) AS label"
+    ).coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    for name in ("letterbox_sizes", "letterbox_images", "letterbox_resized", "image_channel_mean"):
+        rows = QUERIES[name](spark, str(tmp_path)).withColumn("task", F.spark_partition_id())
+        tasks = rows.groupBy("task").agg(F.count_distinct("photo_file").alias("n")).collect()
+        # no task has much more than its share of the 400 pictures
+        assert len(tasks) == 8 and sum(r.n for r in tasks) == 400 and max(r.n for r in tasks) <= 100, name
+
+
+def test_weights_are_kept_once_and_stay():
+    assert images.lanczos_weights(30, 7) is images.lanczos_weights(30, 7)
+    with pytest.raises(ValueError, match="read-only"):
+        images.lanczos_weights(30, 7)[0, 0] = 1
+    # large matrices are not held
+    assert images.lanczos_weights(4000, 299) is not images.lanczos_weights(4000, 299)
