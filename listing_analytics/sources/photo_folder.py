@@ -5,7 +5,8 @@ number, and walks down into the folders among them, so every file below a sub-fo
 
 Writing: each task attempt writes its files into a folder of its own below `_temporary`. When the whole job has
 succeeded, the driver moves one folder for each task into place, `part-<job>-<n>`; files of failed attempts and
-of failed jobs are deleted and never seen. Folders whose names begin with `_` or `.` are not read.
+of failed jobs are deleted and never seen. The driver makes the job's folder before the tasks begin, and tasks make none
+above their own: an attempt that outlives its job fails instead of bringing back what was deleted. Folders whose names begin with `_` or `.` are not read.
 
 Both reach the folder by `pyarrow.fs`, as a path or a URI that every executor can open.
 """
@@ -31,6 +32,7 @@ TEMPORARY = "_temporary"
 #: Bytes of files that a task hands over at once.
 BATCH_BYTES = 32 << 20
 PARTITIONS = 16
+CLEAN_TRIES = 20
 
 
 def open_folder(path: str) -> tuple[fs.FileSystem, str]:
@@ -118,6 +120,8 @@ class PhotoWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.path, self.overwrite = options["path"].rstrip("/"), overwrite
         self.job = uuid.uuid4().hex
+        store, root = open_folder(self.path)
+        store.create_dir(f"{root}/{TEMPORARY}/{self.job}")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = open_folder(self.path)
@@ -132,10 +136,10 @@ class PhotoWriter(DataSourceArrowWriter):
                 if name in seen:
                     raise ValueError(f"two files are named {name!r}")
                 if not seen:
-                    store.create_dir(folder)
+                    store.create_dir(folder, recursive=False)
                 seen.add(name)
-                if "/" in name:
-                    store.create_dir(f"{folder}/{name.rpartition('/')[0]}")
+                for i in (i for i, sign in enumerate(name) if sign == "/"):
+                    store.create_dir(f"{folder}/{name[:i]}", recursive=False)
                 with store.open_output_stream(f"{folder}/{name}") as out:
                     out.write(content.as_py())
         return Written(folder, len(seen))
@@ -158,8 +162,14 @@ class PhotoWriter(DataSourceArrowWriter):
     def _clean(self, store: fs.FileSystem, root: str) -> None:
         """Delete what this job has left behind, and the folder of all jobs if no other one is writing."""
         temporary = f"{root}/{TEMPORARY}"
-        if store.get_file_info(f"{temporary}/{self.job}").type == fs.FileType.Directory:
-            store.delete_dir(f"{temporary}/{self.job}")
+        for left in reversed(range(CLEAN_TRIES)):
+            if store.get_file_info(f"{temporary}/{self.job}").type != fs.FileType.Directory:
+                break
+            try:
+                store.delete_dir(f"{temporary}/{self.job}")
+            except OSError:  # a killed attempt may have added a file meanwhile
+                if not left:
+                    raise
         if store.get_file_info(temporary).type == fs.FileType.Directory and not store.get_file_info(fs.FileSelector(temporary)):
             store.delete_dir(temporary)
 

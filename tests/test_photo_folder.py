@@ -83,6 +83,24 @@ def test_attempts_that_fail_are_not_committed(tmp_path):
     assert len(tree(tmp_path)) == 1 and not (tmp_path / "_temporary").exists()
 
 
+@pytest.mark.parametrize("late", ["b.png", "sub/b.png", "sub/deep/b.png"])
+def test_attempts_that_outlive_their_job_leave_no_file(tmp_path, late):
+    def batch(name):
+        return pa.RecordBatch.from_pydict({"photo_file": [name], "content": [b"1"]})
+
+    def batches(writer):
+        yield batch("a.png")
+        writer.abort([])
+        yield batch(late)
+
+    writer = photo_folder.PhotoWriter({"path": str(tmp_path)}, overwrite=False)
+    with pytest.raises(OSError):
+        writer.write(batches(writer))
+    with pytest.raises(OSError):
+        writer.write(iter([batch(late)]))
+    assert os.listdir(tmp_path) == []
+
+
 def test_png_files_are_read_back(spark, tmp_path):
     draw = np.random.default_rng(2)
     rows = [(f"p{c}.jpeg", w, h, c, draw.integers(0, 256, w * h * c, dtype=np.uint8).tobytes()) for c, w, h in ((1, 5, 3), (3, 4, 7), (4, 1, 2))]
