@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable, grouped
+from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable, grouped, ragged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces that a worker keeps the ids of; the table is emptied beyond.
@@ -163,7 +163,7 @@ class Coder:
         self.bytes_of = {i: b for b, i in self.ranks.items()}
         self.text_of = {i: str(i) for i in self.bytes_of}
         self.split = regex.compile(pattern).findall
-        self.table = ChunkTable(self._ids_of)
+        self.table = ChunkTable(lambda chunks: ragged(self._ids_of(chunks)))
         self.pieces: dict[str, list[int]] = {}
         self.pair_rank = PairRanks(self.ranks)
 

@@ -7,7 +7,7 @@ chunks is emptied when it is full and at the end of a task, which bounds a worke
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import chain, repeat
 from operator import eq
 
@@ -21,10 +21,22 @@ MAX_CHUNK_CHARS = 256
 GROUP_CHARS = 1 << 20
 
 
+def ragged(rows: list[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The length of each row, and all rows one after the other."""
+    lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+    return lengths, np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum()))
+
+
+def gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `ids` from `starts` one after the other, and where each ends."""
+    ends = np.cumsum(lengths)
+    return ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)], ends
+
+
 class ChunkTable:
-    """Ids of chunks seen, one after the other in one array."""
+    """Ids of chunks seen, one after the other in one array; `encode` gives chunks as `ragged` does."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode_chunks = encode
         self.clear()
 
@@ -39,16 +51,15 @@ class ChunkTable:
         """Numbers of new chunks."""
         if not chunks:
             return []
-        found = self.encode_chunks(chunks)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        lengths, ids = self.encode_chunks(chunks)
         begin = int(self.starts[self.n_chunks])
-        stop = begin + int(lengths.sum())
+        stop = begin + len(ids)
         if stop > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros(max(stop, len(self.ids)), np.uint32)))
-        first, last = self.n_chunks, self.n_chunks + len(found)
+        first, last = self.n_chunks, self.n_chunks + len(lengths)
         if last + 1 >= len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros(len(self.starts) + len(found), np.int64)))
-        self.ids[begin:stop] = np.fromiter(chain.from_iterable(found), np.uint32, stop - begin)
+            self.starts = np.concatenate((self.starts, np.zeros(len(self.starts) + len(lengths), np.int64)))
+        self.ids[begin:stop] = ids
         self.starts[first + 1:last + 1] = begin + np.cumsum(lengths)
         self.n_chunks = last
         return list(range(first, last))
@@ -57,7 +68,10 @@ class ChunkTable:
         """Numbers of different chunks that are not in the table; those of ordinary length enter it."""
         numbers = self._add([" " + c for c in chunks] if after_space else chunks)
         kept = self.after_space if after_space else self.whole
-        kept.update((c, n) for c, n in zip(chunks, numbers) if len(c) <= MAX_CHUNK_CHARS)
+        if max(map(len, chunks), default=0) <= MAX_CHUNK_CHARS:
+            kept.update(zip(chunks, numbers))
+        else:
+            kept.update((c, n) for c, n in zip(chunks, numbers) if len(c) <= MAX_CHUNK_CHARS)
         return numbers
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
@@ -86,12 +100,15 @@ class ChunkTable:
         plain = ~leads & (last - first == 1)
         numbers = np.zeros(len(first), np.int64)
 
-        used, place = np.unique(codes[first[plain]], return_inverse=True)
+        single = codes[first[plain]]
+        used = np.flatnonzero(np.bincount(single, minlength=len(names)))
         after = [names[c] for c in used.tolist()]
         known = np.fromiter(map(self.after_space.get, after, repeat(-1)), np.int64, len(after))
         lacking = np.flatnonzero(known < 0)
         known[lacking] = self._learn([after[i] for i in lacking.tolist()], True)
-        numbers[plain] = known[place]
+        number_of = np.zeros(len(names), np.int64)
+        number_of[used] = known
+        numbers[plain] = number_of[single]
 
         others = np.flatnonzero(~plain)
         spans = zip(first[others].tolist(), last[others].tolist(), leads[others].tolist())
@@ -102,8 +119,7 @@ class ChunkTable:
 
         starts = self.starts[numbers]
         lengths = self.starts[numbers + 1] - starts
-        ends = np.cumsum(lengths)
-        ids = self.ids[np.arange(ends[-1] if n else 0) + np.repeat(starts - ends + lengths, lengths)]
+        ids, ends = gathered(self.ids, starts, lengths)
         # a text's ids end where its last chunk's do
         return np.split(ids, ends[np.flatnonzero(leads)[1:] - 1]) if n else []
 

@@ -22,6 +22,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 from operator import attrgetter
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable, grouped
+from listing_analytics.llm.chunks import MAX_CHUNK_CHARS, ChunkTable, gathered, grouped, ragged
 from listing_analytics.staging import stage_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -136,33 +137,62 @@ class Pieces:
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.signs = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def whole(self, chunks: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    def __call__(self, chunks: list[str]) -> list[list[int]]:
+    def pieces(self, chunks: list[str]) -> list[str]:
+        """The pieces of all chunks in their order.
+
+        A chunk that begins with a space before another sign and does not end in white space splits alike between its like,
+        so these are split at once; the others by themselves.
+        """
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        bare = np.fromiter(map(len, map(str.strip, chunks)), np.int64, len(chunks))
+        spaced = np.fromiter(map(str.startswith, chunks, repeat(" ")), bool, len(chunks))
+        found, done = [], 0
+        for i in np.flatnonzero(~spaced | (bare == 0) | (size - bare > 1)).tolist():
+            found += self.split("".join(chunks[done:i]))
+            found += self.split(chunks[i])
+            done = i + 1
+        return found + self.split("".join(chunks[done:]))
+
+    def _learn(self, pieces: list[str]) -> None:
+        model, signs, id_of, space = self.tokenizer.model.tokenize, self.signs, attrgetter("id"), chr(self.signs[32])
+        lengths, ids = [], []
+        for p in pieces:
+            # all printable ASCII signs but the space stand for themselves
+            plain = p.isascii() and p.isprintable()
+            tokens = model(p.replace(" ", space) if plain else p.encode().decode("latin-1").translate(signs))
+            lengths.append(len(tokens))
+            ids.extend(map(id_of, tokens))
+        self.known.update(zip(pieces, range(len(self.starts) - 1, len(self.starts) - 1 + len(pieces))))
+        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(lengths, dtype=np.int64)))
+        self.ids = np.concatenate((self.ids, np.array(ids, np.uint32)))
+
+    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not self.plain or self.added("\0".join(chunks)):
-            return self.whole(chunks)
-        known, model, signs = self.known, self.tokenizer.model.tokenize, self.signs
-        if len(known) > MAX_PIECES:
-            known.clear()
-        space, id_of, found = chr(signs[32]), attrgetter("id"), []
-        for chunk in chunks:
-            if chunk[:1] == " " and chunk.isascii() and chunk[1:].isalpha():
-                # a space and letters: one piece, a byte a letter
-                found.append(list(map(id_of, model(space + chunk[1:]))))
-                continue
-            ids: list[int] = []
-            for piece in self.split(chunk):
-                own = known.get(piece)
-                if own is None:
-                    own = tuple(map(id_of, model(piece.encode().decode("latin-1").translate(signs))))
-                    if len(piece) <= MAX_CHUNK_CHARS:
-                        known[piece] = own
-                ids += own
-            found.append(ids)
-        return found
+            return ragged(self.whole(chunks))
+        if len(self.starts) > MAX_PIECES or len(self.ids) > 16 * MAX_PIECES:
+            self.clear()
+        pieces, known = self.pieces(chunks), self.known
+        new = [p for p in dict.fromkeys(pieces) if p not in known]
+        self._learn(new)
+        numbers = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        for p in new:
+            if len(p) > MAX_CHUNK_CHARS:
+                del known[p]
+        starts = self.starts[numbers]
+        ids, ends = gathered(self.ids, starts, self.starts[numbers + 1] - starts)
+        # a chunk ends with a piece: their places in the text tell how many pieces it has, and these its ids
+        piece_stops, stops = (np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) for x in (pieces, chunks))
+        upto = np.append(0, ends)[np.searchsorted(piece_stops, stops, "right")]
+        return np.diff(upto, prepend=0), ids
 
 
 _tables: dict[str, ChunkTable] = {}
@@ -205,7 +235,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
         if pieces:
             yield close()
         table.clear()
-        table.encode_chunks.known = {}
+        table.encode_chunks.clear()
 
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     (

@@ -357,3 +357,19 @@ def test_resampling_rejects_toxic_documents_of_small_tables(spark):
     docs = spark.createDataFrame(good + toxic, SCHEMA)
     labels = spark.createDataFrame([(i, 1, int(i >= 1000)) for i, *_ in good[::2] + toxic[:8]], "doc_id long, quality int, toxic int")
     assert {r.doc_id for r in resampling.resample(docs, labels).collect()} == {i for i, *_ in good}
+
+
+def test_new_words_of_a_group_are_split_at_once():
+    coder = directcodes.Pieces(public_tokenizers.path(directcodes.VOCABULARY))
+    split, texts = coder.split, []
+    coder.split = lambda text: texts.append(text) or split(text)
+    chunks = [f" w{i}rt,é{'!' * (i % 3)}" for i in range(500)]
+    chunks += [" a\n", "  b", "", " ", "c", " \x1cd", " d\x1c", " 12　", " it's", " " + "long" * 200, "\u0000", " z"]
+    lengths, ids = coder(chunks)
+    assert len(texts) < 30
+    # as the whole tokenizer gives each chunk, also when the pieces are known and when the table was emptied
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == coder.whole(chunks)
+    assert all(len(p) <= directcodes.MAX_CHUNK_CHARS for p in coder.known)
+    again = coder(chunks[::-1])
+    assert [x.tolist() for x in np.split(again[1], np.cumsum(again[0])[:-1])] == coder.whole(chunks[::-1])
+    assert [x.tolist() for x in coder([])] == [[], []]
