@@ -25,10 +25,12 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listing_analytics.operators.kernel import packed_sums
@@ -43,6 +45,8 @@ WIDTH = 24
 NOISE, SHARED_NOISE = 10, 128
 HEAD = 200_000
 BATCH = 8192
+#: Rows of a batch whose noise is worked on at once: as much as stays near the processor.
+NOISE_ROWS = 512
 RATE = 0.1
 SEED = 5
 ROUNDS = 3
@@ -107,7 +111,7 @@ class Vocabulary:
             found = counts.where(F.col("n") >= least).select("word", "n").toArrow()
             rows = sorted(((n, w) for w, n in zip(found.column("word").to_pylist(), found.column("n").to_pylist()) if w), key=lambda x: (-x[0], x[1]))
         self.end_count = self._count_of_end(counts)
-        self.place = {w: i for i, (_, w) in enumerate(rows)}
+        self.words = pa.array([w for _, w in rows], pa.large_binary())
         n_known = min(classes - 2, len(rows))
         # the last place stands for words that are not in the table
         self.counts = np.array([n for n, _ in rows] + [0], np.int64)
@@ -126,8 +130,13 @@ class Vocabulary:
         row = counts.where(F.octet_length("word") == 0).first()
         return row.n if row else 0
 
+    @cached_property
+    def place(self) -> dict[bytes, int]:
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
+
     def places(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.place.get, words, repeat(-1)), np.int32, len(words))
+        """Numbers of the words in the table, -1 where it lacks one."""
+        return pc.fill_null(pc.index_in(pa.array(words, pa.large_binary()), value_set=self.words), -1).to_numpy()
 
 
 class Model:
@@ -165,10 +174,12 @@ class Model:
             own, q_drawn = self.q[w], self.q[drawn]
             right = np.einsum("ij,ij->i", predicted, own) - behind
             down = predicted @ q_drawn.T
-            np.subtract(behind, down, out=down)
-            np.exp(down, out=down)
-            down += 1
-            np.divide(-share * np.float32(NOISE / SHARED_NOISE), down, out=down)
+            for lo in range(0, len(down), NOISE_ROWS):
+                some = down[lo:lo + NOISE_ROWS]
+                np.subtract(behind, some, out=some)
+                np.exp(some, out=some)
+                some += 1
+                np.divide(-share[lo:lo + NOISE_ROWS] * np.float32(NOISE / SHARED_NOISE), some, out=some)
             up = share / (1 + np.exp(right))[:, None]
             d_predicted = up * own + down @ q_drawn
             grads = [np.zeros_like(x) for x in (self.r, self.q, self.c)]
@@ -215,7 +226,8 @@ class Model:
 
 def _add_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sums of rows with the same place."""
-    order = np.argsort(at, kind="stable")
+    # short numbers are sorted by their digits, in the same order
+    order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
     sorted_ = at[order]
     starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
     total = np.zeros((n, rows.shape[1]), np.float32)
@@ -228,10 +240,11 @@ def _groups(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, wanted) -
 
     Two ends stand before each text, and its end behind it.
     """
-    ids, words, places, size = [], [], [], 0
+    ids, words, size = [], [], 0
 
     def close() -> tuple:
-        lengths = np.array([len(p) + 1 for p in places])
+        lengths = np.array([len(own) + 1 for own in words])
+        places = np.split(vocabulary.places(list(chain.from_iterable(words))), np.cumsum(lengths - 1)[:-1])
         tokens = np.concatenate([x for p in places for x in (np.zeros(2, np.int32), vocabulary.token[p], np.zeros(1, np.int32))])
         keep = np.ones(len(tokens), bool)
         begins = np.concatenate(([0], np.cumsum(lengths + 2)[:-1]))
@@ -245,11 +258,10 @@ def _groups(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, wanted) -
                 own = words_of(text.as_py())
                 ids.append(doc_id)
                 words.append(own)
-                places.append(vocabulary.places(own))
                 size += len(own) + 1
                 if size >= TOKENS:
                     yield close()
-                    ids, words, places, size = [], [], [], 0
+                    ids, words, size = [], [], 0
     if ids:
         yield close()
 
@@ -260,8 +272,11 @@ def token_triples(docs: DataFrame, vocabulary, held_out=is_held_out) -> DataFram
     k = words.classes
 
     def row(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        triple, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        times = np.bincount(place, np.concatenate([p[1] for p in parts]), len(triple))
+        found = np.concatenate([p[0] for p in parts])
+        order = np.argsort(found, kind="stable")  # quick on sorted parts
+        found = found[order]
+        starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        triple, times = found[starts], np.add.reduceat(np.concatenate([p[1] for p in parts])[order], starts)
         cells = [np.diff(triple, prepend=0).astype("<i8").tobytes(), times.astype("<u4").tobytes()]
         return pa.RecordBatch.from_arrays([*(pa.array([c], pa.binary()) for c in cells), pa.array([int(times.sum())])], ["triples", "times", "seen"])
 
@@ -355,20 +370,23 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
             logs = model.log_chance(one, two, token, norm.value)
             sums = np.add.reduceat(logs, begins)
             others = np.add.reduceat((token == OTHER).astype(np.int64), begins)
-            columns: dict = {c: [] for c in ("n_known", "log_sum", "other_log_sum", "rare")}
+            columns: dict = {c: [] for c in ("n_known", "log_sum", "other_log_sum")}
+            rare_words, rare_times, rare_ends = [], [], [0]
             for own, at in zip(texts, places):
                 logs = known.log[at]
                 columns["n_known"].append(int((at >= 0).sum()) + (known.end_count > 0))
                 columns["log_sum"].append(float(logs.sum()) + end_log)
                 columns["other_log_sum"].append(float(logs[known.token[at] == OTHER].sum()))
-                rare = Counter(own[i] for i in np.flatnonzero(at < 0))
-                columns["rare"].append([{"word": w, "n": n} for w, n in rare.items()])
-            rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
+                rare = Counter(map(own.__getitem__, np.flatnonzero(at < 0).tolist()))
+                rare_words += rare
+                rare_times += rare.values()
+                rare_ends.append(len(rare_words))
+            rare_pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int32())], ["word", "n"])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, batch_kind), pa.array(np.arange(place, place + len(ids))), pa.array([held_out(i) for i in ids]),
                  pa.array(lengths.astype(np.int64)), pa.array(columns["n_known"], pa.int64()), pa.array(columns["log_sum"]),
                  pa.array(columns["other_log_sum"]), pa.array(sums / math.log(10)), pa.array(others),
-                 pa.array(columns["rare"], rare_kind)],
+                 pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), rare_pairs)],
                 ["doc_id", "place", "held_out", "n_tokens", "n_known", "log_sum", "other_log_sum", "model_sum", "n_other", "rare"],
             )
             place += len(ids)

@@ -373,3 +373,18 @@ def test_new_words_of_a_group_are_split_at_once():
     again = coder(chunks[::-1])
     assert [x.tolist() for x in np.split(again[1], np.cumsum(again[0])[:-1])] == coder.whole(chunks[::-1])
     assert [x.tolist() for x in coder([])] == [[], []]
+
+
+def test_words_of_a_group_meet_the_vocabulary_at_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"the cat {'sat ' * (i % 3)}É{i % 5}\n") for i in range(40)] + [(40, None), (41, " ")], "doc_id long, text string")
+    vocabulary = bilinear.Vocabulary(bilinear.word_counts(docs), head=4)
+    calls, whole = [], vocabulary.places
+    monkeypatch.setattr(vocabulary, "places", lambda words: calls.append(len(words)) or whole(words))
+    batches = docs.toArrow().to_batches()
+    groups = list(bilinear._groups(iter(batches), vocabulary, lambda i: True))
+    assert len(groups) == 1 and len(calls) == 1
+    ids, words, places, lengths, _, _, tokens = groups[0]
+    assert ids == list(range(42)) and [len(p) + 1 for p in places] == lengths.tolist() and words[40:] == [[], []]
+    table = vocabulary.words.to_pylist()
+    assert 1 < len(table) <= 4 and all([table.index(w) if w in table else -1 for w in own] == p.tolist() for own, p in zip(words, places))
+    assert len(tokens) == lengths.sum()
