@@ -115,6 +115,8 @@ def minimise(evaluate, theta: np.ndarray, iterations: int = ITERATIONS, toleranc
             length *= _SHRINK
         else:
             break
+        if new_value >= value:  # rounding hides what further steps gain
+            break
         memory.add(moved - theta, new_gradient - gradient)
         theta, value, gradient = moved, new_value, new_gradient
         history.append(value)
