@@ -8,7 +8,8 @@ one document cannot hold a repeat; a first pass finds those of several, as 32 bi
 leaves a bit table of fixed size. Segments that the table lets through by chance do no harm.
 
 *What repeats.* Equal segments are one, with the least id that has it. A segment that is alone under its gram repeats as a
-whole. The others, by buckets of their grams, are cut into shards; each shard's suffixes are sorted and its transform taken;
+whole. The others, by buckets of their grams, have the gram that is in all their strings written as one symbol, told from
+others by its bytes, and are cut into shards; each shard's suffixes are sorted and its transform taken;
 the transforms are merged by iterative interleave refinement: round h takes the interleave that is in the order of the
 first h - 1 symbols, deals the shards' symbols in that order into their buckets, and has the order of the first h
 symbols, with the places where it is not equal to its neighbour. Common prefixes and repeated intervals come from these
@@ -19,19 +20,22 @@ their spans meet the texts. What is written between is deleted once the spans ar
 
 Defined cases: a null text is empty. A null id is above all others and its rows are not above each other. Rows with
 equal ids do not remove from each other. Texts shorter than `WIDTH` bytes stay whole. Strings are told apart by their
-bytes; equal segments are found by 128 bits, the hashes of the segment and of its gram, rows of one id by 64 bits of their text.
+bytes; equal segments are found by their length and 123 bits, the hashes of the segment and of its gram, rows of one id by 64 bits of their text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
+from listing_analytics.llm.words import byte_groups
 from listing_analytics.staging import stage_path
 
 WIDTH = 50
@@ -40,10 +44,16 @@ GRAM = 34
 TABLE_BITS = 27
 BUCKET_BITS = 12
 SHARDS = 2
+#: Bits for the number of strings in a segment, `WIDTH - GRAM + 1` at most.
+PLACES = 5
 #: Bytes of segments in a group that is merged, about.
 GROUP_BYTES = 1 << 18
 #: Occurrences meet their segments in so many joins, one after the other: the disk that shuffles need is that of one.
 SLICES = 4
+#: Equal segments are counted in so many parts, one after the other, for the same reason.
+COUNT_SLICES = 2
+#: Bytes of text whose hashes are worked on at once: as much as stays near the processor.
+TEXT_BYTES = 1 << 14
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _NO_ID = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -68,44 +78,51 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return total ^ (total >> np.uint64(32))
 
 
-def segments(data: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last string start of each segment, and the hash of its gram; all strings are in one segment each."""
+def segments(
+    data: np.ndarray, lengths: np.ndarray, width: int = WIDTH, gram: int = GRAM
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last string start of each segment, the hash of its gram, and its text's number.
+
+    `data` has texts of `lengths` one after the other; all their strings are in one segment each.
+    """
     none = np.zeros(0, np.int64)
-    if len(data) < width:
-        return none, none, np.zeros(0, np.uint64)
+    if lengths.max(initial=0) < width:
+        return none, none, np.zeros(0, np.uint64), none
     with np.errstate(over="ignore"):
         hashes = gram_hashes(data, gram)
-    value, place, size = hashes, np.arange(len(hashes), dtype=np.int32), 1
     wanted = width - gram + 1
-
-    def least(shift: int) -> None:
-        nonlocal value, place
-        left, right = value[:-shift], value[shift:]
-        take = right < left
-        value, place = np.where(take, right, left), np.where(take, place[shift:], place[:-shift])
-
+    least, size = hashes, 1
     while size * 2 <= wanted:
-        least(size)
+        least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < wanted:
-        least(wanted - size)
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    last = np.append(first[1:], len(place)) - 1
+        least = np.minimum(least[:size - wanted], least[wanted - size:])
+    # the leftmost gram of least hash is another one behind a string that begins with it, and where a lesser one comes in
+    begins = np.ones(len(least), bool)
+    begins[1:] = (hashes[:len(least) - 1] == least[:-1]) | (least[1:] < least[:-1])
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    begins[starts[starts < len(least)]] = True
+    first = np.flatnonzero(begins)
+    text = np.searchsorted(ends, first, "right")
+    stop = np.minimum(np.append(first[1:], len(least)), (ends - width + 1)[text])
+    own = first < stop  # not a string across texts
+    first, text = first[own], text[own]
     # the least hashes are small numbers: mixed again, their leading bits are spread evenly
     with np.errstate(over="ignore"):
-        chosen = hashes[place[first]] * np.uint64(_BASE)
+        chosen = least[first] * np.uint64(_BASE)
         chosen = (chosen ^ (chosen >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-    return first, last, chosen
+    return first, stop[own] - 1, chosen, text
 
 
-def _distinct(values: np.ndarray) -> np.ndarray:
-    values = np.sort(values)
-    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
-
-
-def _texts(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    for text in batch.column("text"):
-        yield np.frombuffer((text.as_py() or "").encode(), np.uint8)
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' UTF-8 bytes one after the other, and their lengths; null is empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, places, content = texts.buffers()
+    if not len(texts) or content is None:
+        return np.zeros(0, np.uint8), np.zeros(len(texts), np.int64)
+    ends = np.frombuffer(places, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    return np.frombuffer(content, np.uint8)[ends[0]:ends[-1]], np.diff(ends)
 
 
 def repeated_grams(docs: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits: int = TABLE_BITS) -> np.ndarray:
@@ -113,12 +130,21 @@ def repeated_grams(docs: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [_distinct(segments(data)[2]) for data in _texts(batch)]
+            own, rows, n = [], [], 0
+            for block in byte_groups(batch, "text", TEXT_BYTES):
+                _, _, grams, text = segments(*bytes_of(block.column("text")))
+                own.append(grams)
+                rows.append(text + n)
+                n += len(block)
             if not own:
                 continue
-            found, times = np.unique(np.concatenate(own), return_counts=True)
+            found, row = np.concatenate(own), np.concatenate(rows)
+            order = np.argsort(found)
+            found, row = found[order], row[order]
+            cuts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))) if len(found) else []
             # once, or twice if several rows of the batch have it
-            found = np.repeat(found, np.minimum(times, 2))
+            if len(cuts):
+                found = np.repeat(found[cuts], 1 + (np.minimum.reduceat(row, cuts) != np.maximum.reduceat(row, cuts)))
             bucket = (found >> np.uint64(64 - bucket_bits)).astype(np.int32)
             cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else []
             short = (found >> np.uint64(32 - bucket_bits)).astype(np.uint32)
@@ -135,11 +161,11 @@ def repeated_grams(docs: DataFrame, bucket_bits: int = BUCKET_BITS, table_bits:
         packed = np.packbits(bits, bitorder="little").tobytes() if bits.any() else None
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "bits": pa.array([packed], pa.binary())})
 
-    rows = (
-        docs.select("text").mapInArrow(collect, "bucket int, grams binary")
-        .groupBy("bucket").applyInArrow(merge, "bucket int, bits binary").where("bits IS NOT NULL")
-    )
     with shuffles_deleted(docs.sparkSession):
+        rows = (
+            docs.select("text").mapInArrow(collect, "bucket int, grams binary")
+            .groupBy("bucket").applyInArrow(merge, "bucket int, bits binary").where("bits IS NOT NULL")
+        )
         return _table(rows.collect(), bucket_bits, table_bits)
 
 
@@ -177,67 +203,69 @@ def in_table(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
 
 
 def candidates(docs: DataFrame, table) -> DataFrame:
-    """`id, row, gram, hash, start, places, segment` of the segments whose grams the broadcast bit table has.
+    """`id, row, gram, hash, start, segment` of the segments whose grams the broadcast bit table has.
 
-    Of equal segments that are written together, only the first has its bytes.
+    The hash ends with the number of the segment's strings (`PLACES` bits). Of equal segments that are written together, only
+    the first has its bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
-        names = ["id", "row", "gram", "hash", "start", "places", "segment"]
+        names = ["id", "row", "gram", "hash", "start", "segment"]
 
-        def out(ids, rows, grams, starts, parts) -> pa.RecordBatch:
-            hashes = np.array([xxhash.xxh3_64_intdigest(p) for p in parts], np.uint64).view(np.int64)
+        def out(found: list[tuple], parts: list[bytes]) -> pa.RecordBatch:
+            ids, rows, grams, starts, places = (np.concatenate(c) for c in zip(*found))
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
+            hashes = (hashes << np.uint64(PLACES) | places.astype(np.uint64)).view(np.int64)
             seen: set[bytes] = set()
             first = [None if p in seen else seen.add(p) or p for p in parts]
-            columns = [np.concatenate(ids), np.concatenate(rows), np.concatenate(grams).view(np.int64), hashes, np.concatenate(starts)]
-            places = pa.array(np.fromiter(map(len, parts), np.int16, len(parts)) - (WIDTH - 1), pa.int16())
-            return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), places, pa.array(first, pa.binary())], names)
+            columns = [ids, rows, grams.view(np.int64), hashes, starts.astype(np.int32)]
+            return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(first, pa.binary())], names)
 
-        ids, rows, grams, starts, parts = [], [], [], [], []
+        found, parts = [], []
         for batch in batches:
-            for doc_id, row, data in zip(batch.column("id").to_pylist(), batch.column("row").to_pylist(), _texts(batch)):
-                first, last, gram = segments(data)
+            for block in byte_groups(batch, "text", TEXT_BYTES):
+                data, lengths = bytes_of(block.column("text"))
+                first, last, gram, text = segments(data, lengths)
                 hit = np.flatnonzero(in_table(bits, gram))
                 if not len(hit):
                     continue
-                content = data.tobytes()
-                parts += [content[a:b] for a, b in zip(first[hit].tolist(), (last[hit] + WIDTH).tolist())]
-                ids.append(np.full(len(hit), doc_id))
-                rows.append(np.full(len(hit), row, np.int64))
-                grams.append(gram[hit])
-                starts.append(first[hit].astype(np.int32))
+                first, last, text, content = first[hit], last[hit], text[hit], data.tobytes()
+                parts += [content[a:b] for a, b in zip(first.tolist(), (last + WIDTH).tolist())]
+                ids, rows = (block.column(c).to_numpy()[text] for c in ("id", "row"))
+                found.append((ids, rows, gram[hit], first - (np.cumsum(lengths) - lengths)[text], last - first + 1))
                 if len(parts) > 300_000:
-                    yield out(ids, rows, grams, starts, parts)
-                    ids, rows, grams, starts, parts = [], [], [], [], []
+                    yield out(found, parts)
+                    found, parts = [], []
         if parts:
-            yield out(ids, rows, grams, starts, parts)
+            yield out(found, parts)
 
-    return docs.mapInArrow(run, "id long, row long, gram long, hash long, start int, places short, segment binary")
+    return docs.mapInArrow(run, "id long, row long, gram long, hash long, start int, segment binary")
 
 
 class Shard:
     """Suffixes of strings, each string followed by a mark, in the order of their first `depth` symbols."""
 
-    def __init__(self, strings: list[bytes], depth: int, wide: bool):
-        lengths = np.array([len(s) + 1 for s in strings])
-        data = np.frombuffer(b"".join(strings), np.uint8)
-        shift = int(wide)  # 0 is the mark; where a byte of 0 occurs, symbols are wider
-        text = np.zeros(lengths.sum(), np.uint16 if shift else np.uint8)
+    def __init__(self, symbols: np.ndarray, lengths: np.ndarray, depth: int):
+        lengths = lengths + 1
+        text = np.zeros(lengths.sum(), symbols.dtype)  # 0 is the mark
         ends = np.cumsum(lengths) - 1
         body = np.ones(len(text), bool)
         body[ends] = False
-        text[body] = data.astype(text.dtype) + shift
-        rank, size = text.astype(np.int64), 1
+        text[body] = symbols
+        rank, size, base = text.astype(np.int64), 1, int(text.max()) + 1
+        while size < depth and base ** (size + 1) < 1 << 62:  # symbols that fit in a number are sorted at once
+            rank = rank * base + np.roll(text, -size)
+            size += 1
+        self.order = np.argsort(rank, kind="stable")
         while size < depth:
-            both = rank * (int(rank.max()) + 1) + np.roll(rank, -size)
-            order = np.argsort(both, kind="stable")
-            rank = np.empty_like(rank)
-            rank[order] = np.concatenate(([0], np.cumsum(both[order][1:] != both[order][:-1])))
+            ordered = rank[self.order]
+            rank[self.order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
+            rank = rank * (int(rank.max()) + 1) + np.roll(rank, -size)
+            self.order = np.argsort(rank, kind="stable")
             size *= 2
-        self.order = np.argsort(rank, kind="stable")
         self.transform = text[self.order - 1]  # the symbol before each suffix, the last one before the first
-        self.string = np.repeat(np.arange(len(strings)), lengths)[self.order]
+        self.string = np.repeat(np.arange(len(lengths)), lengths)[self.order]
         self.offset = self.order - (ends - lengths + 1)[self.string]
 
 
@@ -259,24 +287,70 @@ def merged(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return interleave, interval
 
 
-def least_ids(strings: list[bytes], ids: np.ndarray, width: int = WIDTH, n_shards: int = SHARDS) -> list[np.ndarray]:
-    """For each string the least id among the strings that hold the `width` bytes at each of its places."""
-    parts = [np.arange(i, len(strings), n_shards) for i in range(min(n_shards, len(strings)))]
-    wide = any(b"\0" in x for x in strings)
-    shards = [Shard([strings[j] for j in part], width, wide) for part in parts]
+def symbols(strings: list[bytes], width: int = WIDTH, gram: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of the strings one after the other, above 0, and the strings' lengths in symbols.
+
+    Of segments, the gram of `gram` bytes that all strings of `width` bytes in a segment hold is one symbol: such a string is
+    `width - gram + 1` symbols long, and equal to another one if all these are.
+    """
+    data, lengths = np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings])
+    if not gram:  # where a byte of 0 occurs, symbols are wider
+        return (data.astype(np.uint16) + 1 if (data == 0).any() else data), lengths
+    with np.errstate(over="ignore"):
+        hashes = gram_hashes(data, gram)
+    starts = np.cumsum(lengths) - lengths
+    at = starts + hashes[starts[:, None] + np.arange(width - gram + 1)].argmin(1)  # the leftmost of least hash
+    inside = at[:, None] + np.arange(gram)
+    # all have one length, so that no byte of 0 at an end is lost
+    distinct, number = np.unique(data[inside].view(f"S{gram}").ravel(), return_inverse=True)
+    kind = np.uint16 if len(distinct) < (1 << 16) - 257 else np.uint32
+    found = data.astype(kind) + 1
+    found[at] = (number + 257).astype(kind)
+    keep = np.ones(len(data), bool)
+    keep[inside[:, 1:]] = False
+    return found[keep], lengths - (gram - 1)
+
+
+def least_of_places(
+    strings: list[bytes], ids: np.ndarray, width: int = WIDTH, n_shards: int = SHARDS, gram: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String, place in it and the least id among the strings that hold the `width` bytes there, in the order of the places.
+
+    With `gram` the strings are segments, see `symbols`.
+    """
+    text, lengths = symbols(strings, width, gram)
+    width -= max(gram - 1, 0)
+    number = np.arange(len(strings)) % n_shards
+    parts = [np.flatnonzero(number == i) for i in range(min(n_shards, len(strings)))]
+    of_text = np.repeat(number, lengths)
+    shards = [Shard(text[of_text == i], lengths[part], width) for i, part in enumerate(parts)]
     interleave, interval = merged(shards, width)
     string, offset = np.empty(len(interleave), np.int64), np.empty(len(interleave), np.int64)
     for i, (shard, part) in enumerate(zip(shards, parts)):
         own = interleave == i
         string[own], offset[own] = part[shard.string], shard.offset
-    lengths = np.array([len(s) for s in strings])
     whole = offset + width <= lengths[string]
     begins = np.flatnonzero(np.concatenate(([True], interval[1:] != interval[:-1])))
     least = np.minimum.reduceat(np.where(whole, ids[string], _NO_ID), begins)
     found = least[interval]
     string, offset, found = string[whole], offset[whole], found[whole]
-    order = np.lexsort((offset, string))
-    return np.split(found[order], np.cumsum(np.maximum(lengths - width + 1, 0))[:-1])
+    order = np.argsort(string * (int(lengths.max()) + 1) + offset)
+    return string[order], offset[order], found[order]
+
+
+def least_ids(strings: list[bytes], ids: np.ndarray, width: int = WIDTH, n_shards: int = SHARDS, gram: int = 0) -> list[np.ndarray]:
+    """For each string the least id among the strings that hold the `width` bytes at each of its places."""
+    string, _, found = least_of_places(strings, ids, width, n_shards, gram)
+    return np.split(found, np.searchsorted(string, np.arange(1, len(strings))))
+
+
+def runs_of(string: np.ndarray, offset: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """String, first place, place behind the last and id of each run of places of a string with one least id."""
+    if not len(string):
+        return string, offset.astype(np.int32), offset.astype(np.int32), found
+    first = np.flatnonzero(np.concatenate(([True], (found[1:] != found[:-1]) | (string[1:] != string[:-1]))))
+    last = np.append(first[1:], len(found)) - 1
+    return string[first], offset[first].astype(np.int32), (offset[last] + 1).astype(np.int32), found[first]
 
 
 def compact(df: DataFrame, path: str) -> DataFrame:
@@ -288,7 +362,10 @@ def compact(df: DataFrame, path: str) -> DataFrame:
 
 @contextmanager
 def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
-    """Spark deletes a job's shuffle files as soon as its result is there; lost executors are made up for until then."""
+    """Spark deletes a job's shuffle files as soon as its result is there; lost executors are made up for until then.
+
+    This holds for frames that are made here, or written here, not for others that are only collected here.
+    """
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
@@ -303,19 +380,20 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def repeats(found: DataFrame, folder: str) -> DataFrame:
-    """`gram, hash, runs` of the distinct segments of `candidates`: up to which place in the segment which least id holds."""
+    """`gram, hash, since, upto, least` of the distinct segments of `candidates`: from which place on and up to which which least id holds."""
     key = ["gram", "hash"]
-    distinct = compact(
-        found.groupBy(*key).agg(F.max("places").alias("places"), F.min("id").alias("least"), F.max("id").alias("most")),
-        f"{folder}/segments",
-    )
-    # a gram of one segment in one document came through the table by chance
-    grams = distinct.groupBy("gram").agg(F.count("*").alias("n"), F.min("least").alias("a"), F.max("most").alias("b")).where("a < b")
-    shared = compact(distinct.drop("most").join(grams.select("gram", "n"), "gram"), f"{folder}/shared")
-    delete(found.sparkSession, f"{folder}/segments")
-    whole = shared.where("n = 1").select(
-        *key, F.array(F.struct(F.col("places").cast("int").alias("upto"), F.col("least").alias("id"))).alias("runs")
-    )
+    of_gram, shared = Window.partitionBy("gram"), []
+    for i in range(COUNT_SLICES):
+        own = found.where(F.pmod("gram", F.lit(COUNT_SLICES)) == i)
+        distinct = own.groupBy(*key).agg(F.min("id").alias("least"), F.max("id").alias("most"))
+        # a gram of one segment in one document came through the table by chance
+        counted = distinct.select(
+            *key, "least", F.count("*").over(of_gram).alias("n"), F.min("least").over(of_gram).alias("a"), F.max("most").over(of_gram).alias("b")
+        )
+        shared.append(compact(counted.where("a < b").select(*key, "least", "n"), f"{folder}/shared/{i}"))
+    shared = reduce(DataFrame.unionByName, shared)
+    places = F.col("hash").bitwiseAND(F.lit((1 << PLACES) - 1)).cast("int")
+    whole = shared.where("n = 1").select(*key, F.lit(0).alias("since"), places.alias("upto"), "least")
     several = shared.where("n > 1").select(*key, "least")
     groups = 1 + (several.count() * 2 * WIDTH) // GROUP_BYTES
     table = found.sparkSession.sparkContext.broadcast(gram_table(several))
@@ -330,15 +408,12 @@ def repeats(found: DataFrame, folder: str) -> DataFrame:
     several = several.join(content, key).dropDuplicates(key)
 
     def merge(table: pa.Table) -> pa.Table:
-        least = least_ids([x.as_py() for x in table.column("segment")], table.column("least").to_numpy())
-        runs = []
-        for ids in least:
-            last = np.flatnonzero(np.concatenate((ids[1:] != ids[:-1], [True])))
-            runs.append([{"upto": int(i) + 1, "id": int(ids[i])} for i in last])
-        kind = pa.list_(pa.struct([("upto", pa.int32()), ("id", pa.int64())]))
-        return pa.table({"gram": table.column("gram"), "hash": table.column("hash"), "runs": pa.array(runs, kind)})
-
-    kind = "gram long, hash long, runs array<struct<upto:int,id:bigint>>"
+        least = least_of_places(table.column("segment").to_pylist(), table.column("least").to_numpy(), gram=GRAM)
+        string, since, upto, ids = runs_of(*least)
+        own = table.select(key).take(pa.array(string))
+        return own.append_column("since", pa.array(since)).append_column("upto", pa.array(upto)).append_column("least", pa.array(ids))
+
+    kind = "gram long, hash long, since int, upto int, least long"
     compared = several.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(groups))).groupBy("bucket").applyInArrow(merge, kind)
     return whole.unionByName(compact(compared, f"{folder}/compared"))
 
@@ -360,27 +435,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     parts = []
     for i in range(SLICES):
         own = F.pmod("gram", F.lit(SLICES)) == i
-        ends = F.transform("runs", lambda r, at: F.struct(
-            (F.col("start") + F.when(at == 0, 0).otherwise(F.get("runs", at - 1)["upto"])).cast("long").alias("lo"),
-            (F.col("start") + r["upto"] + WIDTH - 1).cast("long").alias("hi"), (r["id"] < F.col("id")).alias("gone"),
-        ))
+        held = runs.where(own).select("gram", "hash", "least", "since", (F.col("upto") - F.col("since") + WIDTH - 1).alias("size"))
+        joined = occurrences.where(own).select("id", "row", "gram", "hash", "start").join(held.hint("shuffle_hash"), ["gram", "hash"])
         # a span in one number: its start, and its length of fewer than 256 bytes
-        spans = F.transform(F.filter(ends, lambda e: e["gone"]), lambda e: e["lo"] * 256 + e["hi"] - e["lo"])
-        joined = occurrences.where(own).select("id", "row", "gram", "hash", "start").join(runs.where(own), ["gram", "hash"])
-        parts.append(compact(joined.select("id", "row", F.explode(spans).alias("span")), f"{kept}-{i}"))
+        span = (F.col("start") + F.col("since")).cast("long") * 256 + F.col("size")
+        parts.append(compact(joined.where("least < id").select("id", "row", span.alias("span")), f"{kept}-{i}"))
     delete(spark, work)
-    spans = parts[0]
-    for part in parts[1:]:
-        spans = spans.unionByName(part)
+    spans = reduce(DataFrame.unionByName, parts)
     spans = spans.groupBy("id", "row").agg(F.collect_set("span").alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
         for batch in batches:
             out: list = [[] for _ in range(4)]
-            for data, spans in zip(_texts(batch), batch.column("spans")):
+            text, lengths = bytes_of(batch.column("text"))
+            stops = np.cumsum(lengths).tolist()
+            spans = batch.column("spans")
+            places, stop_places = spans.flatten().to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(spans), 0).to_numpy()).tolist()
+            for lo, hi, from_, to in zip([0, *stops], stops, [0, *stop_places], stop_places):
+                data, own = text[lo:hi], places[from_:to]
                 edge = np.zeros(len(data) + 1, np.int32)
-                own = np.array(spans.as_py() or (), np.int64)
                 np.add.at(edge, own >> 8, 1)
                 np.add.at(edge, (own >> 8) + (own & 255), -1)
                 gone = np.cumsum(edge[:-1]) > 0

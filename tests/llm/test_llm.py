@@ -1,8 +1,10 @@
 """Operators of the text folder against brute force on small tables with odd rows."""
 
 import hashlib
+import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -168,6 +170,79 @@ def test_interleave_gives_least_ids():
             assert found.tolist() == expected
 
 
+def texts_with_repeats(draw):
+    """Also bytes of 0, periods, copies, and texts of no string or one."""
+    shared = bytes(draw.choice(b"abc\0") for _ in range(400))
+    own = [bytes(draw.choice(b"abcdefg\0\xff") for _ in range(draw.randint(0, 90))) for _ in range(30)]
+    texts = [x + shared[at:at + draw.randint(0, 200)] + y for x, y, at in zip(own, own[::-1], range(0, 300, 10))]
+    return [*texts, b"", b"a" * 200, b"ab" * 90, b"\0" * 120, b"ba" * 70, shared[:50], shared[:49], shared, shared]
+
+
+def test_segments_of_joined_texts():
+    texts = texts_with_repeats(random.Random(6))
+    lengths = np.array([len(t) for t in texts])
+    starts, expected = np.cumsum(lengths) - lengths, []
+    for number, text in enumerate(texts):
+        if len(text) < bwt.WIDTH:
+            continue
+        hashes, wanted = bwt.gram_hashes(np.frombuffer(text, np.uint8)), bwt.WIDTH - bwt.GRAM + 1
+        places = [p + int(hashes[p:p + wanted].argmin()) for p in range(len(text) - bwt.WIDTH + 1)]
+        for _, own in itertools.groupby(range(len(places)), key=places.__getitem__):
+            own = list(own)
+            expected.append((number, int(starts[number]) + own[0], int(starts[number]) + own[-1]))
+    first, last, gram, number = bwt.segments(np.frombuffer(b"".join(texts), np.uint8), lengths)
+    assert list(zip(number.tolist(), first.tolist(), last.tolist())) == expected
+    alone = [bwt.segments(np.frombuffer(t, np.uint8), np.array([len(t)]))[2] for t in texts]
+    assert np.concatenate(alone).tolist() == gram.tolist()
+
+
+def test_segments_are_merged_with_their_gram_as_one_symbol(monkeypatch):
+    texts = texts_with_repeats(random.Random(7))
+    data = b"".join(texts)
+    first, last, _, _ = bwt.segments(np.frombuffer(data, np.uint8), np.array([len(t) for t in texts]))
+    strings = sorted({data[a:b + bwt.WIDTH] for a, b in zip(first, last)})
+    ids = np.array([random.Random(8).randint(0, 99) for _ in strings])
+    sizes, merged = [], bwt.merged
+    monkeypatch.setattr(bwt, "merged", lambda shards, depth: sizes.append((sum(len(s.order) for s in shards), depth)) or merged(shards, depth))
+    for shards in (1, 2, 5):
+        found = bwt.least_ids(strings, ids, bwt.WIDTH, shards, bwt.GRAM)
+        for own, least in zip(strings, found):
+            assert least.tolist() == [min(i for s, i in zip(strings, ids) if own[p:p + bwt.WIDTH] in s) for p in range(len(own) - bwt.WIDTH + 1)]
+        held = [[-1] * len(least) for least in found]
+        for string, since, upto, least in zip(*bwt.runs_of(*bwt.least_of_places(strings, ids, bwt.WIDTH, shards, bwt.GRAM))):
+            held[string][since:upto] = [int(least)] * (upto - since)
+        assert held == [least.tolist() for least in found]
+    # as many rounds as a string has symbols, over symbols instead of all bytes
+    assert set(sizes) == {(sum(len(s) + 1 - (bwt.GRAM - 1) for s in strings), bwt.WIDTH - bwt.GRAM + 1)}
+
+
+def test_equal_segments_are_counted_in_slices(spark, monkeypatch):
+    written, compact = [], bwt.compact
+    monkeypatch.setattr(bwt, "compact", lambda df, path: written.append(path) or compact(df, path))
+    shared = "a passage of more than fifty bytes that two documents share, and no more"
+    docs = spark.createDataFrame([(i, f"{i} {shared} {i * i}", "a", "x") for i in range(3)], SCHEMA)
+    assert {r.doc_id: r.n_removed for r in bwt.remove_repeats(docs).collect()}[0] == 0
+    assert sum("/shared/" in p for p in written) == bwt.COUNT_SLICES > 1
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_shuffles_of_grams_are_deleted(spark):
+    docs = spark.createDataFrame([(i, f"{i} a passage of more than fifty bytes that all documents share, {i}", "a", "x") for i in range(40)], SCHEMA)
+    before = shuffle_files(spark)
+    assert bwt.repeated_grams(docs.repartition(3)).any()
+    for _ in range(50):  # files go in the background
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
 def test_repeats(spark, odd, empty):
     draw = random.Random(4)
     shared = "".join(draw.choice("abcdefgh ") for _ in range(200))
