@@ -130,11 +130,12 @@ def packed_sums(rows: DataFrame, size: int, groups: int, run) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([run(batches).astype("<f8").tobytes()], pa.binary())], ["sums"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+        total = None
         for batch in batches:
             for sums in batch.column("sums"):  # sorted by task
-                total += np.frombuffer(sums.as_py(), "<f8")
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f8").tobytes()], pa.binary())], ["sums"])
+                total = (0 if total is None else total) + np.frombuffer(sums.as_py(), "<f8")
+        if total is not None:  # a partition that no group fell to sends the driver nothing
+            yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f8").tobytes()], pa.binary())], ["sums"])
 
     tasks = rows.mapInArrow(one, "sums binary").withColumn("task", F.spark_partition_id())
     parts = tasks.repartition(groups, F.col("task") % groups).sortWithinPartitions("task").mapInArrow(add, "sums binary")

@@ -210,3 +210,14 @@ def test_steps_of_limited_memory():
     a, b = a @ a.T + np.eye(30), rng.normal(size=(30, 1))
     found, history = kernel.minimise(lambda x: (float((0.5 * x.T @ a @ x - b.T @ x).item()), a @ x - b), np.zeros((30, 1)), 500, 1e-9)
     assert np.allclose(found, np.linalg.solve(a, b), atol=1e-6) and len(history) < 300
+
+
+def test_packed_sums_send_the_driver_a_row_for_each_group_only(spark, monkeypatch):
+    frame, sent = type(spark.range(0)), []
+    dealt, collect = frame.repartition, frame.collect
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *by: dealt(self, max(n, 50), *by))
+    monkeypatch.setattr(frame, "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    count = lambda batches: np.full(3, float(sum(b.num_rows for b in batches)))
+    assert kernel.packed_sums(spark.range(0, 70, 1, 7), 3, 2, count).tolist() == [70.0] * 3
+    assert len(sent[0]) == 2
+    assert kernel.packed_sums(spark.range(0, 0, 1, 1), 3, 2, count).tolist() == [0.0] * 3
