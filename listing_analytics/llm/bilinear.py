@@ -23,10 +23,9 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cached_property
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +46,8 @@ HEAD = 200_000
 BATCH = 8192
 #: Rows of a batch whose noise is worked on at once: as much as stays near the processor.
 NOISE_ROWS = 512
+#: Rows of a place that are added together with other places' rows.
+FEW_ROWS = 8
 RATE = 0.1
 SEED = 5
 ROUNDS = 3
@@ -56,6 +57,11 @@ TASK_TOKENS = 4_000_000
 TOKENS = 1 << 19
 #: Groups of so many tokens whose counts are merged for training.
 MERGED = 4
+#: Bytes of text divided into words at once, at most.
+TEXT_BYTES = 1 << 20
+#: Words that are counted at once, or meet the vocabulary at once, at least.
+COUNTED = 1 << 20
+LOOKED_UP = 3 << 18
 END, OTHER = 0, 1  # of the model's tokens
 
 
@@ -67,27 +73,48 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """`words_of` each text, one after the other (large binary), and how many each has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    words, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy())
+    full = pc.greater(pc.binary_length(words), 0)  # whitespace at an end of a text has an empty word beyond it
+    before = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))
+    return words.filter(full).cast(pa.large_binary()), np.diff(before[ends], prepend=0)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most `TEXT_BYTES` of text; a longer text is a batch of its own."""
+    for batch in batches:
+        ends, lo = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(), dtype=np.int64), 0
+        while lo < len(batch):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + TEXT_BYTES, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def word_counts(docs: DataFrame, held_out=is_held_out) -> DataFrame:
     """`word (binary), n` over the training documents; the end is the empty word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "n"]
-            )
-            found.clear()
-            return batch
-
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                if not held_out(doc_id):
-                    found.update(words_of(text.as_py()))
-                    found[b""] += 1
-                if len(found) > 1_000_000:
-                    yield flush()
-        yield flush()
+        found, size, ends = [], 0, 0
+
+        def counted(words: pa.Array) -> pa.RecordBatch:
+            values, n = words.value_counts().flatten()
+            return pa.RecordBatch.from_arrays([values.cast(pa.binary()), n], ["word", "n"])
+
+        for batch in _pieces(batches):
+            learnt = [not held_out(i) for i in batch.column("doc_id").to_pylist()]
+            ends += sum(learnt)
+            words, _ = words_in(batch.column("text").filter(pa.array(learnt, pa.bool_())))
+            found.append(words)
+            size += len(words)
+            if size >= COUNTED:
+                yield counted(pa.chunked_array(found))
+                found, size = [], 0
+        if size:
+            yield counted(pa.chunked_array(found))
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([b""], pa.binary()), pa.array([ends])], ["word", "n"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -134,9 +161,9 @@ class Vocabulary:
     def place(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.words.to_pylist())}
 
-    def places(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of the words in the table, -1 where it lacks one."""
-        return pc.fill_null(pc.index_in(pa.array(words, pa.large_binary()), value_set=self.words), -1).to_numpy()
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Numbers of the words (large binary) in the table, -1 where it lacks one."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
 
 
 class Model:
@@ -165,15 +192,19 @@ class Model:
         Noise is drawn by frequency, whose log is the bias: a score less the log of the noise is the inner product less `behind`.
         """
         behind, cumulated = np.float32(math.log(NOISE)), np.cumsum(self.noise)
+        # batches write into the same memory
+        room = np.empty((min(BATCH, len(token)), SHARED_NOISE), np.float32)
+        grads, squares, roots = ([np.empty_like(x) for x in (self.r, self.q, self.c)] for _ in range(3))
         for at in range(0, len(token), BATCH):
             part = slice(at, at + BATCH)
             one, two, w = first[part], second[part], token[part]
             share = (weight[part] / weight[part].sum()).astype(np.float32)[:, None]
-            predicted = self.r[one] @ self.c[0] + self.r[two] @ self.c[1]
+            predicted = (self.r @ self.c[0]).take(one, 0)
+            predicted += (self.r @ self.c[1]).take(two, 0)
             drawn = np.minimum(np.searchsorted(cumulated, random.random(SHARED_NOISE), "right"), len(self.noise) - 1)
-            own, q_drawn = self.q[w], self.q[drawn]
+            own, q_drawn = self.q.take(w, 0), self.q[drawn]
             right = np.einsum("ij,ij->i", predicted, own) - behind
-            down = predicted @ q_drawn.T
+            down = np.matmul(predicted, q_drawn.T, out=room[:len(w)])
             for lo in range(0, len(down), NOISE_ROWS):
                 some = down[lo:lo + NOISE_ROWS]
                 np.subtract(behind, some, out=some)
@@ -181,17 +212,25 @@ class Model:
                 some += 1
                 np.divide(-share[lo:lo + NOISE_ROWS] * np.float32(NOISE / SHARED_NOISE), some, out=some)
             up = share / (1 + np.exp(right))[:, None]
-            d_predicted = up * own + down @ q_drawn
-            grads = [np.zeros_like(x) for x in (self.r, self.q, self.c)]
+            own *= up
+            d_predicted = down @ q_drawn
+            d_predicted += own
+            grads[0].fill(0)
             for i, context in enumerate((one, two)):
                 total = _add_rows(context, d_predicted, len(self.noise))
                 grads[0] += total @ self.c[i].T
                 grads[2][i] = self.r.T @ total
-            grads[1] += _add_rows(w, up * predicted, len(self.noise))
-            np.add.at(grads[1], drawn, down.T @ predicted)
-            for x, g, m in zip((self.r, self.q, self.c), grads, memory):
-                m += g * g
-                x += RATE * g / (np.sqrt(m) + 1e-6)
+            to_drawn = (predicted.T @ down).T
+            predicted *= up
+            grads[1] = _add_rows(w, predicted, len(self.noise))
+            np.add.at(grads[1], drawn, to_drawn)
+            for x, g, m, square, root in zip((self.r, self.q, self.c), grads, memory, squares, roots):
+                m += np.multiply(g, g, out=square)
+                np.sqrt(m, out=root)
+                root += 1e-6
+                g *= RATE
+                g /= root
+                x += g
 
     def norms(self, lo: int, hi: int, second: int) -> np.ndarray:
         """Natural log of the sum over all tokens after each pair of tokens `lo` to `hi` one and 0 to `second` two places before."""
@@ -208,7 +247,7 @@ class Model:
         k, known = len(self.b), len(norm)
         sums = np.empty(len(token))
         inside = (first < known) & (second < known)
-        sums[inside] = norm[first[inside], second[inside]]
+        sums[inside] = norm.take((first.astype(np.int64) * known + second)[inside])
         outside = np.flatnonzero(~inside)
         pairs, place = np.unique(first[outside].astype(np.int64) * k + second[outside], return_inverse=True)
         ahead, behind = (self.r @ self.c[i] for i in (0, 1))
@@ -220,7 +259,8 @@ class Model:
         found = np.empty(len(token))
         for at in range(0, len(token), 1 << 16):
             part = slice(at, at + (1 << 16))
-            found[part] = np.einsum("ij,ij->i", ahead[first[part]] + behind[second[part]], self.q[token[part]]) + self.b[token[part]]
+            predicted = ahead.take(first[part], 0) + behind.take(second[part], 0)
+            found[part] = np.einsum("ij,ij->i", predicted, self.q.take(token[part], 0)) + self.b[token[part]]
         return found - sums
 
 
@@ -230,40 +270,92 @@ def _add_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
     sorted_ = at[order]
     starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
+    sizes = np.diff(starts, append=len(at))
     total = np.zeros((n, rows.shape[1]), np.float32)
-    total[sorted_[starts]] = np.add.reduceat(rows[order], starts)
+    many = sizes > FEW_ROWS
+    if many.any():
+        ends = np.cumsum(sizes[many])
+        total[sorted_[starts[many]]] = np.add.reduceat(rows.take(order[np.repeat(many, sizes)], 0), ends - sizes[many])
+    # most places have few rows: the second rows of all of them, then the third ones are added, in the order of `reduceat`
+    few = np.flatnonzero(~many)
+    few = few[np.argsort(-sizes[few], kind="stable")]
+    starts, sizes = starts[few], sizes[few]
+    sums = rows.take(order[starts], 0)
+    have = np.searchsorted(-sizes, -np.arange(FEW_ROWS))  # how many places have more than 0, 1, ... rows
+    rest = rows.take(order[starts[:have[1]] + 1], 0)
+    for i, m in enumerate(have[2:], 2):
+        rest[:m] += rows.take(order[starts[:m] + i], 0)
+    sums[:have[1]] += rest
+    total[sorted_[starts]] = sums
     return total
 
 
+class Texts(Sequence):
+    """The words of documents, a list for each; `words` has all of them one after the other."""
+
+    def __init__(self, words: pa.Array, sizes: np.ndarray):
+        self.words, self.ends = words, np.cumsum(sizes)
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            return [self[i] for i in range(*at.indices(len(self)))]
+        end, begin = self.ends[at], self.ends[at - 1] if at else 0
+        return self.words.slice(begin, end - begin).to_pylist()
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, wanted) -> Iterator[tuple]:
+    """Ids, words, places of the words and numbers of words of documents with about `LOOKED_UP` words."""
+    ids, words, sizes, n = [], [], [], 0
+    for batch in chain(_pieces(batches), [None]):
+        if ids and (batch is None or n >= LOOKED_UP):
+            found, size = pa.concat_arrays(words), np.concatenate(sizes)
+            words.clear()  # before the next ones are read
+            yield ids, found, vocabulary.places(found), size
+            ids, sizes, n, found = [], [], 0, None
+        if batch is not None:
+            own = batch.column("doc_id").to_pylist()
+            taken = [wanted(i) for i in own]
+            found, size = words_in(batch.column("text").filter(pa.array(taken, pa.bool_())))
+            ids += compress(own, taken)
+            words.append(found)
+            sizes.append(size)
+            n += len(found)
+
+
 def _groups(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, wanted) -> Iterator[tuple]:
     """Documents in groups of about `TOKENS` tokens: ids, words' lists, places, and the tokens with those before.
 
     Two ends stand before each text, and its end behind it.
     """
-    ids, words, size = [], [], 0
+    ids, words, places, sizes = [], pa.array([], pa.large_binary()), np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def close() -> tuple:
-        lengths = np.array([len(own) + 1 for own in words])
-        places = np.split(vocabulary.places(list(chain.from_iterable(words))), np.cumsum(lengths - 1)[:-1])
-        tokens = np.concatenate([x for p in places for x in (np.zeros(2, np.int32), vocabulary.token[p], np.zeros(1, np.int32))])
+    def close(lo: int, hi: int) -> tuple:
+        begin, end = int(sizes[:lo].sum()), int(sizes[:hi].sum())
+        own, at, lengths = words.slice(begin, end - begin), places[begin:end], sizes[lo:hi] + 1
+        tokens = np.zeros(len(at) + 3 * (hi - lo), np.int32)
+        tokens[np.arange(len(at)) + np.repeat(3 * np.arange(hi - lo) + 2, lengths - 1)] = vocabulary.token[at]
         keep = np.ones(len(tokens), bool)
         begins = np.concatenate(([0], np.cumsum(lengths + 2)[:-1]))
         keep[begins] = keep[begins + 1] = False
-        at = np.flatnonzero(keep)
-        return ids, words, places, lengths, tokens[at - 1], tokens[at - 2], tokens[at]
-
-    for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            if wanted(doc_id):
-                own = words_of(text.as_py())
-                ids.append(doc_id)
-                words.append(own)
-                size += len(own) + 1
-                if size >= TOKENS:
-                    yield close()
-                    ids, words, size = [], [], 0
+        kept = np.flatnonzero(keep)
+        by_text = np.split(at, np.cumsum(lengths - 1)[:-1])
+        return ids[lo:hi], Texts(own, lengths - 1), by_text, lengths, tokens[kept - 1], tokens[kept - 2], tokens[kept]
+
+    for new_ids, new_words, new_places, new_sizes in _looked_up(batches, vocabulary, wanted):
+        ids, words = ids + new_ids, pa.concat_arrays([words, new_words])
+        places, sizes = np.concatenate([places, new_places]), np.concatenate([sizes, new_sizes])
+        del new_words, new_places
+        ends, lo = np.cumsum(sizes + 1), 0
+        while (hi := int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + TOKENS)) + 1) <= len(ids):
+            yield close(lo, hi)
+            lo = hi
+        begin = int(sizes[:lo].sum())
+        ids, words, places, sizes = ids[lo:], words.slice(begin), places[begin:], sizes[lo:]
     if ids:
-        yield close()
+        yield close(0, len(ids))
 
 
 def token_triples(docs: DataFrame, vocabulary, held_out=is_held_out) -> DataFrame:
@@ -272,21 +364,25 @@ def token_triples(docs: DataFrame, vocabulary, held_out=is_held_out) -> DataFram
     k = words.classes
 
     def row(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        found = np.concatenate([p[0] for p in parts])
+        found, times = (np.concatenate(p) for p in zip(*parts))
+        parts.clear()  # here and below, what is done with goes before more is made
         order = np.argsort(found, kind="stable")  # quick on sorted parts
-        found = found[order]
+        found, times = found[order], times[order]
+        del order
         starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-        triple, times = found[starts], np.add.reduceat(np.concatenate([p[1] for p in parts])[order], starts)
+        triple, times = found[starts], np.add.reduceat(times, starts)
+        del found, starts
         cells = [np.diff(triple, prepend=0).astype("<i8").tobytes(), times.astype("<u4").tobytes()]
         return pa.RecordBatch.from_arrays([*(pa.array([c], pa.binary()) for c in cells), pa.array([int(times.sum())])], ["triples", "times", "seen"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for _, _, _, _, one, two, token in _groups(batches, vocabulary.value, lambda i: not held_out(i)):
-            parts.append(np.unique((one.astype(np.int64) * k + two) * k + token, return_counts=True))
+            triple, times = np.unique((one.astype(np.int64) * k + two) * k + token, return_counts=True)
+            parts.append((triple, times.astype(np.uint32)))
             if len(parts) == MERGED:
+                del one, two, token, triple, times
                 yield row(parts)
-                parts = []
         if parts:
             yield row(parts)
 
@@ -370,22 +466,29 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
             logs = model.log_chance(one, two, token, norm.value)
             sums = np.add.reduceat(logs, begins)
             others = np.add.reduceat((token == OTHER).astype(np.int64), begins)
-            columns: dict = {c: [] for c in ("n_known", "log_sum", "other_log_sum")}
-            rare_words, rare_times, rare_ends = [], [], [0]
-            for own, at in zip(texts, places):
-                logs = known.log[at]
-                columns["n_known"].append(int((at >= 0).sum()) + (known.end_count > 0))
-                columns["log_sum"].append(float(logs.sum()) + end_log)
-                columns["other_log_sum"].append(float(logs[known.token[at] == OTHER].sum()))
-                rare = Counter(map(own.__getitem__, np.flatnonzero(at < 0).tolist()))
-                rare_words += rare
-                rare_times += rare.values()
-                rare_ends.append(len(rare_words))
-            rare_pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int32())], ["word", "n"])
+            is_end = np.zeros(len(token), bool)
+            is_end[begins + lengths - 1] = True
+            at = np.concatenate(places)
+            logs = np.full(len(token), end_log)
+            logs[~is_end] = known.log[at]
+            log_sums = np.add.reduceat(logs, begins)
+            other_log_sums = np.add.reduceat(np.where(token == OTHER, logs, 0.0), begins)
+            in_table = np.full(len(token), int(known.end_count > 0))
+            in_table[~is_end] = at >= 0
+            # rare words are counted by text
+            rare = np.flatnonzero(at < 0)
+            rare_words = texts.words.take(pa.array(rare)).dictionary_encode()
+            n_rare = max(1, len(rare_words.dictionary))
+            pairs, times = np.unique(np.repeat(np.arange(len(ids)), lengths - 1)[rare] * n_rare + rare_words.indices.to_numpy(), return_counts=True)
+            text, word = np.divmod(pairs, n_rare)
+            rare_ends = np.searchsorted(text, np.arange(len(ids) + 1))
+            rare_pairs = pa.StructArray.from_arrays(
+                [rare_words.dictionary.take(pa.array(word)).cast(pa.binary()), pa.array(times, pa.int32())], ["word", "n"]
+            )
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, batch_kind), pa.array(np.arange(place, place + len(ids))), pa.array([held_out(i) for i in ids]),
-                 pa.array(lengths.astype(np.int64)), pa.array(columns["n_known"], pa.int64()), pa.array(columns["log_sum"]),
-                 pa.array(columns["other_log_sum"]), pa.array(sums / math.log(10)), pa.array(others),
+                 pa.array(lengths.astype(np.int64)), pa.array(np.add.reduceat(in_table, begins)), pa.array(log_sums),
+                 pa.array(other_log_sums), pa.array(sums / math.log(10)), pa.array(others),
                  pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), rare_pairs)],
                 ["doc_id", "place", "held_out", "n_tokens", "n_known", "log_sum", "other_log_sum", "model_sum", "n_other", "rare"],
             )

@@ -9,6 +9,7 @@ import time
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -464,3 +465,39 @@ def test_words_of_a_group_meet_the_vocabulary_at_once(spark, monkeypatch):
     table = vocabulary.words.to_pylist()
     assert 1 < len(table) <= 4 and all([table.index(w) if w in table else -1 for w in own] == p.tolist() for own, p in zip(words, places))
     assert len(tokens) == lengths.sum()
+
+
+def test_words_are_found_for_many_texts_at_once(spark, monkeypatch):
+    texts = [None, "", " ", "\n\t a B\x0b\x0cC\r", "Éa É  ZZ", "\x1cx\x1d \x00", " 12　 a", "".join(map(chr, range(128))), "b " * 300, "x" * 5000]
+    expected = [bilinear.words_of(t) for t in texts]
+    words, sizes = bilinear.words_in(pa.array(["cut", *texts], pa.string()).slice(1))
+    assert words.to_pylist() == [w for own in expected for w in own] and sizes.tolist() == [len(own) for own in expected]
+    assert [len(x) for x in bilinear.words_in(pa.array([], pa.string()))] == [0, 0]
+    docs = spark.createDataFrame(list(enumerate(texts * 3)), "doc_id long, text string")
+    vocabulary, batches = bilinear.Vocabulary(bilinear.word_counts(docs)), docs.toArrow().to_batches()
+    whole = [bilinear._groups(iter(batches), vocabulary, lambda i: i % 7 != 3)]
+    ids, own, _, _, one, two, token = next(whole[0])
+    assert ids == [i for i in range(30) if i % 7 != 3] and list(own) == [expected[i % 10] for i in ids]
+    # groups of few tokens are cut where they were cut text by text, and their words meet the vocabulary together
+    calls, places = [], vocabulary.places
+    monkeypatch.setattr(vocabulary, "places", lambda words: calls.append(len(words)) or places(words))
+    monkeypatch.setattr(bilinear, "words_of", None)
+    monkeypatch.setattr(bilinear, "TOKENS", 20)
+    monkeypatch.setattr(bilinear, "TEXT_BYTES", 100)
+    groups = list(bilinear._groups(iter(batches), vocabulary, lambda i: i % 7 != 3))
+    assert len(calls) == 1 and len(groups) > 2 and [i for g in groups for i in g[0]] == ids
+    assert all(g[3].sum() >= 20 > g[3][:-1].sum() for g in groups[:-1])
+    assert all(np.array_equal(np.concatenate([g[k] for g in groups]), x) for k, x in ((4, one), (5, two), (6, token)))
+    monkeypatch.setattr(bilinear, "LOOKED_UP", 10)
+    again = list(bilinear._groups(iter(batches), vocabulary, lambda i: i % 7 != 3))
+    assert len(calls) > 3 and [g[0] for g in again] == [g[0] for g in groups]
+    assert all(np.array_equal(a[6], g[6]) and list(a[1]) == list(g[1]) for a, g in zip(again, groups))
+
+
+def test_rows_are_added_by_place():
+    draw = np.random.default_rng(8)
+    for n, size in ((1, 1), (1, 40), (7, 300), (300, 300), (70_000, 500), (40, 8)):
+        at, rows = np.minimum(draw.geometric(0.1, size) - 1, n - 1), draw.normal(size=(size, 3)).astype(np.float32)
+        total = np.zeros((n, 3))
+        np.add.at(total, at, rows)
+        assert np.allclose(bilinear._add_rows(at, rows, n), total, atol=1e-4)
