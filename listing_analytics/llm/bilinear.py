@@ -92,6 +92,12 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo = hi
 
 
+def _give_back() -> None:
+    """What a task has freed goes back to the system: a Python worker that waits for its next task keeps little."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def word_counts(docs: DataFrame, held_out=is_held_out) -> DataFrame:
     """`word (binary), n` over the training documents; the end is the empty word."""
 
@@ -115,6 +121,7 @@ def word_counts(docs: DataFrame, held_out=is_held_out) -> DataFrame:
             yield counted(pa.chunked_array(found))
         if ends:
             yield pa.RecordBatch.from_arrays([pa.array([b""], pa.binary()), pa.array([ends])], ["word", "n"])
+        _give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -363,6 +370,11 @@ def token_triples(docs: DataFrame, vocabulary, held_out=is_held_out) -> DataFram
     words = vocabulary.value
     k = words.classes
 
+    def counted(group: tuple) -> tuple[np.ndarray, np.ndarray]:
+        one, two, token = group[-3:]
+        triple, times = np.unique((one.astype(np.int64) * k + two) * k + token, return_counts=True)
+        return triple, times.astype(np.uint32)
+
     def row(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         found, times = (np.concatenate(p) for p in zip(*parts))
         parts.clear()  # here and below, what is done with goes before more is made
@@ -377,14 +389,13 @@ def token_triples(docs: DataFrame, vocabulary, held_out=is_held_out) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
-        for _, _, _, _, one, two, token in _groups(batches, vocabulary.value, lambda i: not held_out(i)):
-            triple, times = np.unique((one.astype(np.int64) * k + two) * k + token, return_counts=True)
-            parts.append((triple, times.astype(np.uint32)))
+        for part in map(counted, _groups(batches, vocabulary.value, lambda i: not held_out(i))):
+            parts.append(part)
             if len(parts) == MERGED:
-                del one, two, token, triple, times
                 yield row(parts)
         if parts:
             yield row(parts)
+        _give_back()
 
     # merges partitions, without a shuffle
     docs = docs.select("doc_id", "text").coalesce(max(1, words.n // TASK_TOKENS))
@@ -412,6 +423,7 @@ def train(docs: DataFrame, vocabulary, held_out=is_held_out, rounds: int = ROUND
                     # equal triples are one, with a weight
                     own.train(triple // (k * k), triple // k % k, triple % k, weight, memory, random)
                     seen += n.as_py()
+            _give_back()
             return np.append(float(seen), own.flat().astype(np.float64) * seen)
 
         total = packed_sums(groups, size, adders, run)
@@ -461,7 +473,10 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
         model = Model(known.frequency)
         model.load(parameters.value)
         place = 0
-        for ids, texts, places, lengths, one, two, token in _groups(batches, known, lambda i: True):
+
+        def row_of_each(group: tuple) -> pa.RecordBatch:
+            nonlocal place
+            ids, texts, places, lengths, one, two, token = group
             begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
             logs = model.log_chance(one, two, token, norm.value)
             sums = np.add.reduceat(logs, begins)
@@ -485,7 +500,7 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
             rare_pairs = pa.StructArray.from_arrays(
                 [rare_words.dictionary.take(pa.array(word)).cast(pa.binary()), pa.array(times, pa.int32())], ["word", "n"]
             )
-            yield pa.RecordBatch.from_arrays(
+            batch = pa.RecordBatch.from_arrays(
                 [pa.array(ids, batch_kind), pa.array(np.arange(place, place + len(ids))), pa.array([held_out(i) for i in ids]),
                  pa.array(lengths.astype(np.int64)), pa.array(np.add.reduceat(in_table, begins)), pa.array(log_sums),
                  pa.array(other_log_sums), pa.array(sums / math.log(10)), pa.array(others),
@@ -493,6 +508,11 @@ def score(docs: DataFrame, held_out=is_held_out, rounds: int = ROUNDS) -> DataFr
                 ["doc_id", "place", "held_out", "n_tokens", "n_known", "log_sum", "other_log_sum", "model_sum", "n_other", "rare"],
             )
             place += len(ids)
+            return batch
+
+        # a group's arrays go before the next one is made
+        yield from map(row_of_each, _groups(batches, known, lambda i: True))
+        _give_back()
 
     from pyspark.sql.pandas.types import to_arrow_type
 
